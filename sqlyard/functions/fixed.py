@@ -89,10 +89,11 @@ SECTION_MARK = "###"
 BLANK_LINE = "\n\n"
 STATEMENT_END = ";"
 
-# One SQL token per match, in this order: quoted text, comment, word before "(", word before "."
-# with what follows the dot, word after a dot, other word, run of other characters, any character.
+# One SQL token per match, in this order: word (with a "(" that follows at once, or with a dot and
+# the word after it), quoted text, comment, word after a dot, run of other characters, any character.
 # Java and RE2 read it alike (no look-around, no repeated groups).
 SQL_TOKEN = "|".join([
+    WORD + r"[\p{L}\p{N}_$#]*(?:\(|" + BLANK + r"*\.[\p{L}\p{N}_$#]*)?",
     r"'[^']*'",
     r'"[^"]*"',
     r"`[^`]*`",
@@ -100,10 +101,7 @@ SQL_TOKEN = "|".join([
     r"--[^\r\n]*",
     r"# [^\r\n]*",
     r"/\*[\s\S]*?\*/",
-    WORD + r"[\p{L}\p{N}_$#]*\(",
-    WORD + r"[\p{L}\p{N}_$#]*" + BLANK + r"*\.[\p{L}\p{N}_$#]*",
     r"\.[\p{L}\p{N}_$#]+",
-    WORD + r"[\p{L}\p{N}_$#]*",
     r"[^\p{L}\p{N}_'" + '"' + r"`\[/#.-]+",
     r"[\s\S]",
 ])

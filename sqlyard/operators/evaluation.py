@@ -39,17 +39,6 @@ def missing_table_rows(joined: DataFrame) -> DataFrame:
     return joined.select("ex_id", "model", F.explode(missing_tables("predicted_sql", "schema")).alias("table_name"))
 
 
-def error_kind_column(condition: Column | str) -> Column:
-    """Error class from Spark's error condition; null where nothing failed."""
-    name = col(condition)
-    return (
-        F.when(name.isNull(), F.lit(None).cast("string"))
-        .when(F.startswith(name, F.lit("TABLE_OR_VIEW_NOT_FOUND")), error_kind("TABLE_OR_VIEW_NOT_FOUND"))
-        .when(F.startswith(name, F.lit("UNRESOLVED_COLUMN")), error_kind("UNRESOLVED_COLUMN"))
-        .otherwise(error_kind("other"))
-    )
-
-
 def error_type(
     predicted: Column | str, pred_norm: Column | str, gold_norm: Column | str, run_error: Column | str
 ) -> Column:
@@ -61,12 +50,13 @@ def error_type(
     return kind.otherwise("logic_error")
 
 
-def run_errors(status: DataFrame) -> DataFrame:
-    """``(ex_id, model, run_error)`` of the predictions that failed."""
-    return (
+def with_run_errors(predictions: DataFrame, status: DataFrame) -> DataFrame:
+    """Add ``run_error``: the class of a prediction's captured error, null where it ran."""
+    failed = (
         status.where((F.col("side") == PRED) & ~F.col("ok"))
-        .select("ex_id", "model", error_kind_column(F.coalesce("error", F.lit("unknown"))).alias("run_error"))
+        .select("ex_id", "model", error_kind(F.coalesce("error", F.lit("unknown"))).alias("run_error"))
     )
+    return predictions.join(failed, ["ex_id", "model"], "left")
 
 
 def with_schema_errors(joined: DataFrame) -> DataFrame:
@@ -75,36 +65,31 @@ def with_schema_errors(joined: DataFrame) -> DataFrame:
     return joined.withColumn("run_error", F.when(lacks, "wrong_table"))
 
 
-def classify_errors(joined: DataFrame, status: DataFrame | None = None) -> DataFrame:
-    """Add ``error_type``: null for exact matches, a class for every other row.
+def classify_errors(joined: DataFrame) -> DataFrame:
+    """Turn ``run_error`` into ``error_type``: null for exact matches, a class for every other row.
 
     Rows that are right by execution but not by text are classed too, as the published counts are.
     """
-    if status is not None:
-        joined = joined.join(run_errors(status), ["ex_id", "model"], "left")
-    elif "run_error" not in joined.columns:
-        joined = joined.withColumn("run_error", F.lit(None).cast("string"))
     kind = error_type("predicted_sql", "pred_norm", "gold_norm", "run_error")
     return joined.withColumn("error_type", F.when(~exact_match(), kind)).drop("run_error")
 
 
-def score(
-    predictions: DataFrame, examples: DataFrame, execution: DataFrame | None = None,
-    status: DataFrame | None = None,
-) -> DataFrame:
+def score(predictions: DataFrame, examples: DataFrame, outcomes: DataFrame | None = None) -> DataFrame:
     """Result records of raw predictions ``(ex_id, model, raw_text)``, any number of models at once.
 
-    ``execution`` is ``(ex_id, model, result_equal)``; without it ``execution_accuracy`` is null.
-    ``bleu`` is unrounded; ``result_records`` rounds it.
+    ``outcomes`` is ``(ex_id, model, result_equal, run_error)``; without it ``execution_accuracy`` is
+    null and no run errors are known. It joins first, while rows are narrow; gold text comes last and
+    is not shuffled again. ``bleu`` is unrounded; ``result_records`` rounds it.
     """
-    joined = join_gold(clean_predictions(predictions), examples, "question")
-    if execution is not None:
-        joined = joined.join(execution.select("ex_id", "model", "result_equal"), ["ex_id", "model"], "left")
+    cleaned = clean_predictions(predictions)
+    if outcomes is not None:
+        cleaned = cleaned.join(outcomes, ["ex_id", "model"], "left")
         # counted only where the text is valid
         executed = is_valid_sql("predicted_sql") & F.coalesce("result_equal", F.lit(False))
     else:
+        cleaned = cleaned.withColumn("run_error", F.lit(None).cast("string"))
         executed = F.lit(None).cast("boolean")
-    classed = classify_errors(joined, status)
+    classed = classify_errors(join_gold(cleaned, examples, "question"))
     return with_bleu(classed, "pred_norm", "gold_norm").select(
         "ex_id", "model", "question", "gold_sql", "predicted_sql",
         exact_match().alias("exact_match"),

@@ -120,7 +120,8 @@ def metric_deltas(scored: DataFrame, base: str, tuned: str) -> DataFrame:
         F.max(F.when(F.col("model") == base, F.col("value"))).alias("base_value"),
         F.max(F.when(F.col("model") == tuned, F.col("value"))).alias("tuned_value"),
     )
-    delta = F.col("tuned_value") - F.col("base_value")
+    # a mean's last bits depend on the order of summing; nine places hide them, + 0.0 drops a minus zero
+    delta = round_even(F.col("tuned_value") - F.col("base_value"), 9) + 0.0
     shown = round_even(delta, 1)
     return wide.select(
         "metric",

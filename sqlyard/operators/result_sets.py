@@ -10,15 +10,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from sqlyard.functions.text import col
 from sqlyard.schemas import CAPTURED_ROWS, CAPTURED_STATUS
 from sqlyard.session import work_folder
 
 PRED, GOLD = "pred", "gold"
 
 
-def _weighted(df: DataFrame, weight: Column, text: Column, is_pair: bool, keys: tuple[str, ...]) -> DataFrame:
+def _weighted(
+    df: DataFrame, keys: tuple[str, ...], weight: Column, text: Column | None = None,
+    is_pair: bool = False, error: Column | None = None,
+) -> DataFrame:
+    none = F.lit(None).cast("string")
     return df.select(
-        *keys, text.alias("row_text"), weight.cast("int").alias("_weight"), F.lit(is_pair).alias("_pair")
+        *keys, (none if text is None else text).alias("row_text"), weight.cast("int").alias("_weight"),
+        F.lit(is_pair).alias("_pair"), (none if error is None else error).alias("_error"),
     )
 
 
@@ -30,36 +36,51 @@ def _verdicts(weighted: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """
     return (
         weighted.groupBy(*keys, "row_text")
-        .agg(F.sum("_weight").alias("_surplus"), F.bool_or("_pair").alias("_pair"))
+        .agg(F.sum("_weight").alias("_surplus"), F.bool_or("_pair").alias("_pair"), F.max("_error").alias("_error"))
         .groupBy(*keys)
-        .agg(F.bool_and(F.col("_surplus") == 0).alias("result_equal"), F.bool_or("_pair").alias("_pair"))
+        .agg(
+            F.bool_and(F.col("_surplus") == 0).alias("result_equal"),
+            F.bool_or("_pair").alias("_pair"), F.max("_error").alias("run_error"),
+        )
     )
 
 
 def _captured(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     weight = F.when(F.col("side") == GOLD, -1).otherwise(1)
-    return _weighted(rows, weight, F.col("row_text"), False, keys)
+    return _weighted(rows, keys, weight, F.col("row_text"))
 
 
 def result_equality(rows: DataFrame, keys: tuple[str, ...] = ("ex_id", "model")) -> DataFrame:
     """Per key: do both sides hold the same multiset of ``row_text``? Keys without rows do not appear."""
-    return _verdicts(_captured(rows, keys), keys).drop("_pair")
+    return _verdicts(_captured(rows, keys), keys).select(*keys, "result_equal")
 
 
-def execution_match(pairs: DataFrame, rows: DataFrame, status: DataFrame | None = None) -> DataFrame:
-    """``(ex_id, model, result_equal)`` for every pair: two empty results are equal, an error never is.
+def outcomes(pairs: DataFrame, rows: DataFrame, status: DataFrame | None = None) -> DataFrame:
+    """``(ex_id, model, result_equal, run_error)`` for every pair.
 
-    Pairs come in as rows of weight zero and errors as rows nothing can balance, so pairs without
-    rows and failed runs need no join.
+    Two empty results are equal, an error on either side never is. ``run_error`` is the class of the
+    prediction's own error, null where it ran. Pairs come in as rows of weight zero and errors as
+    rows nothing can balance, so pairs without rows and failed runs need no join.
     """
     keys = ("ex_id", "model")
-    no_text = F.lit(None).cast("string")
-    parts = _captured(rows, keys).unionByName(_weighted(pairs, F.lit(0), no_text, True, keys))
+    parts = _captured(rows, keys).unionByName(_weighted(pairs, keys, F.lit(0), is_pair=True))
     if status is not None:
-        parts = parts.unionByName(_weighted(status.where(~F.col("ok")), F.lit(1), no_text, False, keys))
+        failed = status.where(~F.col("ok"))
+        kind = F.when(F.col("side") == PRED, error_kind(F.coalesce("error", F.lit("unknown"))))
+        parts = parts.unionByName(_weighted(failed, keys, F.lit(1), error=kind))
     return _verdicts(parts, keys).where("_pair").drop("_pair")
 
 
+def error_kind(condition: Column | str) -> Column:
+    """Error class of a failed query from Spark's error condition; null where nothing failed."""
+    name = col(condition)
+    return (
+        F.when(F.startswith(name, F.lit("TABLE_OR_VIEW_NOT_FOUND")), "wrong_table")
+        .when(F.startswith(name, F.lit("UNRESOLVED_COLUMN")), "wrong_column")
+        .when(name.isNotNull(), "runtime_error")
+    )
+
+
 def same_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row, one flag: are two DataFrames the same multiset of rendered rows?"""
     rendered = [
@@ -95,15 +116,6 @@ def is_safe_query(text: str) -> bool:
     return bool(_READS_ONLY.match(text)) and not _REFUSED.search(text)
 
 
-def error_kind(condition: str | None) -> str:
-    """Error class of a failed query from Spark's error condition."""
-    if (condition or "").startswith("TABLE_OR_VIEW_NOT_FOUND"):
-        return "wrong_table"
-    if (condition or "").startswith("UNRESOLVED_COLUMN"):
-        return "wrong_column"
-    return "runtime_error"
-
-
 def capture_queries(
     spark: SparkSession, queries: Iterable[tuple[int, str, str, str]],
     register: Callable[[SparkSession], None], folder: str | None = None,

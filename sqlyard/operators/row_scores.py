@@ -13,23 +13,30 @@ MAX_ORDER = 4
 _NO_MATCH = 0.1  # stands for zero matches of an order (smoothing method 1)
 
 
-def _grams(words: Column, n: int) -> Column:
-    """Runs of ``n`` words; words hold no blanks, so joining them by one keeps runs apart."""
-    if n == 1:
-        return words
-    runs = F.transform(words, lambda w, i: F.array_join(F.slice(words, i + 1, n), " "))
-    return F.slice(runs, 1, F.greatest(F.size(words) - (n - 1), F.lit(0)))
+def _longer_runs(runs: Column, words: Column, n: int) -> Column:
+    """Runs of ``n`` words from the runs of ``n - 1``; words hold no blanks, so one blank keeps runs apart."""
+    count = F.greatest(F.size(words) - (n - 1), F.lit(0))
+    return F.zip_with(
+        F.slice(runs, 1, count), F.slice(words, n, count), lambda run, word: F.concat(run, F.lit(" "), word)
+    )
 
 
-def clipped_matches(pred_words: Column | str, gold_words: Column | str, n: int) -> Column:
-    """Size of the multiset intersection of two texts' word runs.
+def clipped_matches(pred_runs: Column | str, gold_runs: Column | str) -> Column:
+    """Size of the multiset intersection of two arrays of text.
 
-    Both lists are sorted together, predicted runs before equal gold runs; one walk then lets
-    each gold run use up one predicted run. n log n per row, with no shuffle of runs.
+    Where either side repeats nothing, that is the size of the plain intersection, a hash lookup
+    per element. Otherwise both arrays are sorted together, predicted before equal gold, and one walk
+    lets each gold element use up one predicted element. Nothing is shuffled, and no text is too long.
     """
-    both = F.array_sort(F.concat(
-        F.transform(_grams(col(pred_words), n), lambda g: F.struct(g.alias("run"), F.lit(False).alias("gold"))),
-        F.transform(_grams(col(gold_words), n), lambda g: F.struct(g.alias("run"), F.lit(True).alias("gold"))),
+    pred, gold = col(pred_runs), col(gold_runs)
+    unrepeated = (F.size(F.array_distinct(gold)) == F.size(gold)) | (F.size(F.array_distinct(pred)) == F.size(pred))
+    return F.when(unrepeated, F.size(F.array_intersect(pred, gold))).otherwise(_walk_matches(pred, gold))
+
+
+def _walk_matches(pred: Column, gold: Column) -> Column:
+    both = F.sort_array(F.concat(
+        F.transform(pred, lambda r: F.struct(r.alias("run"), F.lit(False).alias("gold"))),
+        F.transform(gold, lambda r: F.struct(r.alias("run"), F.lit(True).alias("gold"))),
     ))
 
     def state(run: Column, free: Column, hits: Column) -> Column:
@@ -40,7 +47,7 @@ def clipped_matches(pred_words: Column | str, gold_words: Column | str, n: int)
         return (
             F.when(~x["gold"], state(x["run"], free + 1, s["hits"]))
             .when(free > 0, state(x["run"], free - 1, s["hits"] + 1))
-            .otherwise(state(x["run"], free, s["hits"]))
+            .otherwise(state(x["run"], F.lit(0), s["hits"]))
         )
 
     start = state(F.lit(""), F.lit(0), F.lit(0))
@@ -50,17 +57,27 @@ def clipped_matches(pred_words: Column | str, gold_words: Column | str, n: int)
 def with_bleu(rows: DataFrame, pred_norm: str, gold_norm: str, name: str = "bleu") -> DataFrame:
     """Add sentence BLEU of two columns of normalised text: orders 1 to 4, equal weights, method-1 smoothing.
 
-    Each step is its own projection, so Spark computes words and matches once. A longer run can
-    only match where a shorter one does, so each order is looked at only if the one before hit.
+    Each step is its own projection, so Spark computes words, runs and matches once. Equal texts
+    match in full. A longer run can only match where a shorter one does, so an order is looked at
+    only if the one before it hit.
     """
     kept = rows.columns
-    work = rows.withColumns({"_pw": tokens(pred_norm), "_gw": tokens(gold_norm)})
+    work = rows.withColumns({"_p1": tokens(pred_norm), "_g1": tokens(gold_norm)})
+    work = work.withColumns({"_p": F.size("_p1"), "_g": F.size("_g1")})
+    same, none = col(pred_norm) == col(gold_norm), F.array().cast("array<string>")
     for n in range(1, MAX_ORDER + 1):
-        hits = clipped_matches("_pw", "_gw", n)
+        open_ = ~same if n == 1 else ~same & (F.col(f"_hits{n - 1}") > 0)
         if n > 1:
-            hits = F.when(F.col(f"_hits{n - 1}") > 0, hits).otherwise(F.lit(0))
-        work = work.withColumn(f"_hits{n}", hits)
-    work = work.withColumns({"_p": F.size("_pw"), "_g": F.size("_gw")})
+            work = work.withColumns({
+                f"_{side}{n}": F.when(
+                    open_, _longer_runs(F.col(f"_{side}{n - 1}"), F.col(f"_{side}1"), n)
+                ).otherwise(none)
+                for side in "pg"
+            })
+        full = F.greatest(F.col("_p") - (n - 1), F.lit(0))
+        work = work.withColumn(f"_hits{n}", F.when(same, full).when(
+            open_, clipped_matches(f"_p{n}", f"_g{n}")
+        ).otherwise(F.lit(0)))
 
     def log_precision(n: int) -> Column:
         hits = F.col(f"_hits{n}").cast("double")

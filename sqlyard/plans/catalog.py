@@ -94,7 +94,7 @@ def clean_predictions(spark, sf):
 
 
 def clean_documents(spark, sf):
-    docs = derived.table(spark, sf, "documents")
+    docs = derived.dealt(spark, sf, "documents")
     return docs.select("doc_id", clean_prediction("text").alias("cleaned"))
 
 
@@ -103,7 +103,7 @@ def normalized_predictions(spark, sf):
 
 
 def normalized_documents(spark, sf):
-    return derived.table(spark, sf, "documents").select("doc_id", normalize_sql("text").alias("norm"))
+    return derived.dealt(spark, sf, "documents").select("doc_id", normalize_sql("text").alias("norm"))
 
 
 def ddl_statement_rows(spark, sf):
@@ -152,13 +152,13 @@ def bleu_text(spark, sf):
     return with_bleu(pairs, "pred_norm", "gold_norm").select("doc_id", round_even("bleu", 6).alias("bleu"))
 
 
-def _execution(spark, sf) -> DataFrame:
+def _outcomes(spark, sf) -> DataFrame:
     pairs = derived.predictions(spark, sf).select("ex_id", "model")
-    return result_sets.execution_match(pairs, derived.exec_rows(spark, sf), derived.exec_status(spark, sf))
+    return result_sets.outcomes(pairs, derived.exec_rows(spark, sf), derived.exec_status(spark, sf))
 
 
 def result_equality(spark, sf):
-    return _execution(spark, sf)
+    return _outcomes(spark, sf).select("ex_id", "model", "result_equal")
 
 
 def same_rows(spark, sf):
@@ -174,14 +174,13 @@ def same_rows(spark, sf):
 # ---- evaluation -------------------------------------------------------------------------------
 
 def _scored(spark, sf) -> DataFrame:
-    return evaluation.score(
-        derived.predictions(spark, sf), derived.gold(spark, sf), _execution(spark, sf),
-        derived.exec_status(spark, sf),
-    )
+    return evaluation.score(derived.predictions(spark, sf), derived.gold(spark, sf), _outcomes(spark, sf))
 
 
 def _classed(spark, sf) -> DataFrame:
-    return evaluation.classify_errors(_joined(spark, sf), derived.exec_status(spark, sf))
+    cleaned = evaluation.clean_predictions(derived.predictions(spark, sf))
+    known = evaluation.with_run_errors(cleaned, derived.exec_status(spark, sf))
+    return evaluation.classify_errors(evaluation.join_gold(known, derived.gold(spark, sf)))
 
 
 def error_class(spark, sf):
@@ -379,8 +378,7 @@ def exec_pairs(spark, sf):
     ]
     rows, status = result_sets.capture_queries(spark, texts, register)
     pairs = status.where(F.col("side") == "pred").select("ex_id", "model")
-    verdicts = result_sets.execution_match(pairs, rows, status)
-    return verdicts.join(evaluation.run_errors(status), ["ex_id", "model"], "left")
+    return result_sets.outcomes(pairs, rows, status)
 
 
 QUERIES: dict[str, Query] = {

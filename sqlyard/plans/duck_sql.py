@@ -379,14 +379,14 @@ QUERIES: dict[str, str] = {
         {_two('exact_match_rate', 'exact_match')}, {_two('valid_sql_rate', 'valid_sql_rate')},
         {_two('avg_bleu', 'avg_bleu')}, {_two('execution_accuracy_rate', 'execution_accuracy')} FROM summary""",
     "metric_delta": _with(SCORED) + f"""SELECT metric, {_round('b', 1)} AS base_value, {_round('t', 1)} AS tuned_value,
-        {_round('t - b', 1)} AS delta,
-        CASE WHEN t >= b THEN '+' ELSE '' END || printf('%.1f', {_round('t - b', 1)}) || '%' AS delta_text
-        FROM (SELECT metric, max(v) FILTER (model = 'base') AS b, max(v) FILTER (model = 'tuned') AS t FROM (
+        {_round('d', 1)} AS delta,
+        CASE WHEN d >= 0 THEN '+' ELSE '' END || printf('%.1f', {_round('d', 1)}) || '%' AS delta_text
+        FROM (SELECT *, {_round('t - b', 9)} + CAST(0 AS DOUBLE) AS d FROM (SELECT metric, max(v) FILTER (model = 'base') AS b, max(v) FILTER (model = 'tuned') AS t FROM (
             SELECT model, 'exact_match' AS metric, {_rate('exact_match')} AS v FROM scored GROUP BY model
             UNION ALL SELECT model, 'valid_sql', {_rate('valid_sql')} FROM scored GROUP BY model
             UNION ALL SELECT model, 'bleu', avg(bleu) * 100 FROM scored GROUP BY model
             UNION ALL SELECT model, 'execution_accuracy', {_rate('execution_accuracy')} FROM scored GROUP BY model
-        ) GROUP BY metric)""",
+        ) GROUP BY metric))""",
     "length_profile": _describe("documents", {"text_len": 'length("text")'}),
     "example_length_profile": _with(EX) + _describe("ex", _LENGTHS),
     "length_histogram": "WITH " + _histogram("documents", {"text_len": 'length("text")'}),

@@ -18,8 +18,6 @@ def build_session(app: str = "sqlyard", master: str | None = None, **settings) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        # joins on (ex_id, model) may reuse a shuffle by ex_id
-        "spark.sql.requireAllClusterKeysForCoPartition": "false",
     }
     wanted.update({k.replace("__", "."): str(v) for k, v in settings.items()})
     for key, value in wanted.items():
