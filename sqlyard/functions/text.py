@@ -129,6 +129,16 @@ def missing_tables(sql: Column | str, schema: Column | str) -> Column:
 # ---- numbers ----------------------------------------------------------------------------------
 
 def round_even(c: Column | str, places: int = 0) -> Column:
-    """Round ties to even on the scaled double, as array libraries do; same on every engine."""
-    scale = float(10 ** places)
-    return F.rint(col(c).cast("double") * scale) / scale
+    """Round a double as Python does: to the nearest by its exact binary value, exact ties to even.
+
+    Scaling can turn a value just below or above a half into a half; the product's rounding error,
+    found by splitting the value in two short halves, then says which side it was on.
+    """
+    x, scale = col(c).cast("double"), float(10 ** places)
+    y = x * scale
+    split = x * 134217729.0  # 2**27 + 1
+    high = split - (split - x)
+    error = (high * scale - y) + (x - high) * scale
+    tie = y - F.floor(y) == 0.5
+    whole = F.when(tie & (error < 0), F.floor(y)).when(tie & (error > 0), F.ceil(y)).otherwise(F.rint(y))
+    return whole / scale

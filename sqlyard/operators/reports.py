@@ -60,7 +60,7 @@ def error_share(distribution: DataFrame) -> DataFrame:
 
 
 def summary_with_errors(scored: DataFrame) -> DataFrame:
-    """``eval_summary`` plus the error counts as a map, most frequent first (insertion order)."""
+    """``eval_summary`` plus the error counts as a map, written most frequent first."""
     entries = F.sort_array(F.collect_list(F.struct("error_rank", "error_type", "n")))
     maps = error_distribution(scored).groupBy("model").agg(
         F.map_from_entries(F.transform(entries, lambda e: F.struct(e["error_type"], e["n"]))).alias("error_distribution")

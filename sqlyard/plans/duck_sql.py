@@ -59,7 +59,12 @@ def _text(template: str, question: str, schema: str, sql: str) -> str:
 
 def _round(x: str, places: int) -> str:
     scale = f"CAST({10 ** places} AS DOUBLE)"
-    return f"(CAST(round_even(CAST({x} AS DOUBLE) * {scale}, 0) AS DOUBLE) / {scale})"
+    high = "(v * CAST(134217729 AS DOUBLE) - (v * CAST(134217729 AS DOUBLE) - v))"
+    error = f"(({high} * {scale} - v * {scale}) + (v - {high}) * {scale})"
+    tie = f"v * {scale} - floor(v * {scale}) = CAST(0.5 AS DOUBLE)"
+    return f"""(list_transform([CAST({x} AS DOUBLE)], lambda v: CASE WHEN {tie} AND {error} < 0 THEN floor(v * {scale})
+        WHEN {tie} AND {error} > 0 THEN ceil(v * {scale})
+        ELSE CAST(round_even(v * {scale}, 0) AS DOUBLE) END / {scale})[1])"""
 
 
 def _split(key: str) -> str:

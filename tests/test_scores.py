@@ -1,0 +1,200 @@
+import math
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from sqlyard.operators import evaluation, reports, result_sets
+from sqlyard.operators.row_scores import clipped_matches, with_bleu
+
+
+def plain_bleu(pred, gold):
+    """Sentence BLEU with method-1 smoothing, written out."""
+    p, g = pred.split(), gold.split()
+    if not p or not g:
+        return 0.0
+    logs = 0.0
+    for n in range(1, 5):
+        cp = Counter(tuple(p[i:i + n]) for i in range(len(p) - n + 1))
+        cg = Counter(tuple(g[i:i + n]) for i in range(len(g) - n + 1))
+        hits = sum(min(c, cg[k]) for k, c in cp.items())
+        if n == 1 and hits == 0:
+            return 0.0
+        logs += 0.25 * math.log((hits or 0.1) / max(1, sum(cp.values())))
+    brevity = 1.0 if len(p) > len(g) else math.exp(1 - len(g) / len(p))
+    return brevity * math.exp(logs)
+
+
+def test_bleu_against_plain_python(spark):
+    rng = random.Random(7)
+    words = ["select", "a", "b", "from", "t", "=", "and", "1"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 14))) for _ in range(400)]
+    pairs = [(i, rng.choice(texts), rng.choice(texts)) for i in range(600)] + [(600 + i, t, t) for i, t in enumerate(texts)]
+    df = with_bleu(spark.createDataFrame(pairs, "i int, p string, g string"), "p", "g")
+    assert df.columns == ["i", "p", "g", "bleu"]
+    for r in df.collect():
+        assert r["bleu"] == pytest.approx(plain_bleu(r["p"], r["g"]), abs=1e-12), (r["p"], r["g"])
+
+
+def test_bleu_of_a_long_repetitive_text(spark):
+    long_text = " ".join(f"w{i % 97}" for i in range(30_000))
+    row = with_bleu(spark.createDataFrame([(long_text, long_text + " x")], "p string, g string"), "p", "g").first()
+    assert row["bleu"] == pytest.approx(plain_bleu(long_text, long_text + " x"), rel=1e-12)
+
+
+def test_clipped_matches_counts_repeats(spark):
+    rows = [(["a", "a", "b"], ["a", "a", "a", "c"], 2), (["a", "b"], ["b", "a"], 2), ([], ["a"], 0), (["a", "a"], ["b", "b"], 0)]
+    df = spark.createDataFrame(rows, "p array<string>, g array<string>, want int")
+    assert all(r["want"] == r["got"] for r in df.withColumn("got", clipped_matches("p", "g")).collect())
+
+
+def test_published_examples(spark):
+    essendon = 'SELECT venue FROM table_name_50 WHERE away_team = "essendon"'
+    rows = [
+        (1, "base", "SELECT venue FROM table_name_50 WHERE away_team = 'Essendon'", essendon),
+        (1, "tuned", essendon, essendon),
+        (5, "base", "SELECT Country FROM mountain WHERE Height > 5000", "SELECT Country FROM mountain WHERE Height > 5000"),
+    ]
+    preds = spark.createDataFrame([r[:3] for r in rows], "ex_id long, model string, raw_text string")
+    gold = spark.createDataFrame([(1, essendon, "q1"), (5, rows[2][3], "q5")], "ex_id long, gold_sql string, question string")
+    scored = {(r["ex_id"], r["model"]): r for r in evaluation.score(preds, gold).collect()}
+    assert not scored[1, "base"]["exact_match"] and scored[1, "tuned"]["exact_match"] and scored[5, "base"]["exact_match"]
+    assert scored[1, "tuned"]["error_type"] is None and scored[1, "base"]["error_type"] == "logic_error"
+    assert scored[1, "tuned"]["execution_accuracy"] is None
+
+
+@pytest.mark.parametrize("pred,gold,run_error,want", [
+    ("", "SELECT 1", None, "syntax_error"),
+    ("SELECT x", "SELECT 1", "wrong_column", "wrong_column"),
+    ("SELECT a FROM t", "SELECT a FROM t WHERE b", None, "missing_where"),
+    ("SELECT a FROM t WHERE b", "SELECT a FROM t JOIN u WHERE b", None, "missing_join"),
+    ("SELECT a FROM t", "SELECT a FROM t GROUP BY a ORDER BY a", None, "missing_groupby"),
+    ("SELECT a FROM t GROUP  BY a", "SELECT a FROM t GROUP BY a ORDER BY a", None, "missing_orderby"),
+    ("SELECT b FROM t", "SELECT a FROM t", None, "logic_error"),
+    ("SELECT joined FROM t", "SELECT a FROM t JOIN u", None, "logic_error"),
+    ("select a", "SELECT a;", None, None),
+])
+def test_error_classes(spark, pred, gold, run_error, want):
+    joined = evaluation.join_gold(
+        spark.createDataFrame([(1, "m", pred, run_error)], "ex_id long, model string, predicted_sql string, run_error string"),
+        spark.createDataFrame([(1, gold)], "ex_id long, gold_sql string"),
+    )
+    assert evaluation.classify_errors(joined).first()["error_type"] == want
+
+
+def test_outcomes(spark):
+    rows = [
+        (1, "m", "gold", "a"), (1, "m", "gold", "b"), (1, "m", "pred", "b"), (1, "m", "pred", "a"),
+        (2, "m", "gold", "a"), (2, "m", "pred", "a"), (2, "m", "pred", "a"),
+        (4, "m", "gold", "a"), (4, "m", "pred", "a"),
+        (6, "m", "gold", "1"), (6, "m", "pred", "1.0"),
+        (9, "m", "gold", "not asked for"),
+    ]
+    status = [(4, "m", "gold", False, "DIVIDE_BY_ZERO"), (5, "m", "pred", False, "TABLE_OR_VIEW_NOT_FOUND"),
+              (7, "m", "pred", False, None), (7, "m", "gold", False, "X"), (1, "m", "pred", True, None)]
+    got = result_sets.outcomes(
+        spark.createDataFrame([(i, "m") for i in range(1, 8)], "ex_id long, model string"),
+        spark.createDataFrame(rows, "ex_id long, model string, side string, row_text string"),
+        spark.createDataFrame(status, "ex_id long, model string, side string, ok boolean, error string"),
+    ).collect()
+    assert {r["ex_id"]: (r["result_equal"], r["run_error"]) for r in got} == {
+        1: (True, None), 2: (False, None), 3: (True, None), 4: (False, None),
+        5: (False, "wrong_table"), 6: (False, None), 7: (False, "runtime_error"),
+    }
+
+
+def test_same_rows(spark):
+    a = spark.createDataFrame([(1, 0.1 + 0.2, "x|y"), (1, 0.3, "x|y"), (2, None, None)], "a int, b double, c string")
+    b = spark.createDataFrame([(2, None, None), (1, 0.3, "x|y"), (1, 0.3, "x|y")], "z int, y double, x string")
+    same = lambda l, r: result_sets.same_rows(l, r).first()["result_equal"]
+    assert same(a, b)
+    assert not same(a, b.distinct())
+    assert not same(a.select("a"), a.select(F.col("a").cast("string")))
+    assert same(a.limit(0), b.limit(0).select("z"))
+    split_one = spark.createDataFrame([("a|", "b")], "x string, y string")
+    split_two = spark.createDataFrame([("a", "|b")], "x string, y string")
+    assert not same(split_one, split_two)
+
+
+def test_capture(spark):
+    def register(own):
+        own.range(5).createOrReplaceTempView("five")
+
+    texts = [
+        (1, "m", "gold", "SELECT id FROM five"), (1, "m", "pred", "select id from five order by id desc;"),
+        (2, "m", "gold", "SELECT id FROM five"), (2, "m", "pred", "SELECT id FROM six"),
+        (3, "m", "gold", "SELECT id FROM five"), (3, "m", "pred", "DROP VIEW five"),
+        (4, "m", "gold", "SELECT 1 AS a, 2 AS a"), (4, "m", "pred", "SELECT 1, 2"),
+        (5, "m", "gold", "SELECT id FROM five"), (5, "m", "pred", "SELECT nope FROM five"),
+        (6, "m", "gold", "SELECT id FROM five"), (6, "m", "pred", "SELECT java_method('java.util.UUID', 'randomUUID')"),
+        (7, "m", "gold", "SELECT id FROM five"), (7, "m", "pred", "SELECT * FROM parquet.`/root/testdata/sf0.001/region.parquet`"),
+        (8, "m", "gold", "SELECT id FROM five WHERE id > 9"), (8, "m", "pred", "SELECT id, id FROM five WHERE id > 99"),
+    ]
+    rows, status = result_sets.capture_queries(spark, texts, register)
+    pairs = status.where("side = 'pred'").select("ex_id", "model")
+    got = {r["ex_id"]: (r["result_equal"], r["run_error"]) for r in result_sets.outcomes(pairs, rows, status).collect()}
+    assert got == {
+        1: (True, None), 2: (False, "wrong_table"), 3: (False, "runtime_error"), 4: (True, None),
+        5: (False, "wrong_column"), 6: (False, "runtime_error"), 7: (False, got[7][1]), 8: (True, None),
+    }
+    assert got[7][1] is not None
+    assert rows.where("ex_id = 1").count() == 10
+    assert not spark.catalog.tableExists("five")
+
+
+SCORED = [  # ex_id, model, exact, valid, bleu, executed, error
+    (1, "a", True, True, 1.0, True, None), (2, "a", False, True, 0.5, True, "logic_error"),
+    (3, "a", False, False, 0.0, False, "syntax_error"), (4, "a", False, True, 0.25, False, "logic_error"),
+    (1, "b", True, True, 1.0, True, None), (2, "b", True, True, 1.0, True, None),
+    (3, "b", False, True, 0.123456, False, "wrong_table"), (4, "b", True, True, 1.0, True, None),
+]
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    return spark.createDataFrame(
+        [(i, m, "q", "g", f"p{m}", e, v, b, x, t) for i, m, e, v, b, x, t in SCORED],
+        "ex_id long, model string, question string, gold_sql string, predicted_sql string, exact_match boolean, "
+        "valid_sql boolean, bleu double, execution_accuracy boolean, error_type string",
+    )
+
+
+def test_summaries(scored):
+    rows = {r["model"]: r for r in reports.summary_with_errors(scored).collect()}
+    assert tuple(rows["a"])[1:6] == (4, 25.0, 75.0, 0.4375, 50.0)
+    assert rows["a"]["error_distribution"] == {"logic_error": 2, "syntax_error": 1}
+    assert rows["b"]["avg_bleu"] == 0.7809
+    two = reports.model_comparison(scored, "a", "b").first()
+    assert (two["base_exact_match"], two["finetuned_exact_match"], two["num_samples"]) == (25.0, 75.0, 4)
+    deltas = {r["metric"]: r["delta_text"] for r in reports.metric_deltas(scored, "a", "b").collect()}
+    assert deltas == {"exact_match": "+50.0%", "valid_sql": "+25.0%", "bleu": "+34.3%", "execution_accuracy": "+25.0%"}
+    back = {r["metric"]: r["delta_text"] for r in reports.metric_deltas(scored, "b", "a").collect()}
+    assert back["valid_sql"] == "-25.0%"
+    records = reports.comparison_records(scored, "a", "b").collect()
+    assert len(records) == 4 and all(r["base_prediction"] == "pa" and r["finetuned_prediction"] == "pb" for r in records)
+
+
+def test_error_tables(scored):
+    shares = {(r["model"], r["error_type"]): r["share_pct"] for r in reports.error_share(reports.error_distribution(scored)).collect()}
+    assert shares == {("a", "logic_error"): 66.67, ("a", "syntax_error"): 33.33, ("b", "wrong_table"): 100.0}
+    ranks = {(r["model"], r["error_type"]): r["error_rank"] for r in reports.error_distribution(scored).collect()}
+    assert ranks["a", "logic_error"] == 1 and ranks["a", "syntax_error"] == 2
+    counts = {r["error_type"]: r["n"] for r in reports.recount_errors(scored).collect()}
+    assert counts == {"unknown": 4, "logic_error": 2, "syntax_error": 1, "wrong_table": 1}
+
+
+def test_no_rows_give_no_rates(scored):
+    empty = scored.where("false")
+    assert reports.eval_summary(empty).count() == 0
+    assert reports.model_comparison(empty, "a", "b").first()["base_exact_match"] is None
+    unknown = scored.withColumn("execution_accuracy", F.lit(None).cast("boolean"))
+    assert reports.eval_summary(unknown).first()["execution_accuracy_rate"] is None
+
+
+def test_score_end_to_end(spark, sf):
+    from sqlyard.plans import catalog
+
+    rows = {r["model"]: r for r in catalog.eval_summary(spark, sf).collect()}
+    assert set(rows) == {"base", "tuned"}
+    assert sum(r["num_samples"] for r in rows.values()) == 2 * spark.read.parquet(f"{sf}/orders.parquet").count()
