@@ -130,6 +130,13 @@ CLAUSE_CLASSES = [
     ("order by", "missing_orderby"),
 ]
 
+# Start of a Spark error condition and the error class it means; the empty one fits any other.
+RUN_ERRORS = [
+    ("TABLE_OR_VIEW_NOT_FOUND", "wrong_table"),
+    ("UNRESOLVED_COLUMN", "wrong_column"),
+    ("", "runtime_error"),
+]
+
 # ---- fixed values: SQL keywords ---------------------------------------------------------------
 
 # Words whose case does not count. Reserved words of the SQL standard and of SQLite, without type

@@ -60,15 +60,34 @@ def error_share(distribution: DataFrame) -> DataFrame:
 
 
 def summary_with_errors(scored: DataFrame) -> DataFrame:
-    """``eval_summary`` plus the error counts as a map, written most frequent first."""
-    entries = F.sort_array(F.collect_list(F.struct("error_rank", "error_type", "n")))
-    maps = error_distribution(scored).groupBy("model").agg(
-        F.map_from_entries(F.transform(entries, lambda e: F.struct(e["error_type"], e["n"]))).alias("error_distribution")
+    """``eval_summary`` plus the error counts as a map, written most frequent first.
+
+    One pass over the rows: sums per model and error class, then a dozen rows per model.
+    """
+    def hits(flag: str) -> Column:
+        return F.count_if(F.col(flag))
+
+    sums = scored.groupBy("model", "error_type").agg(
+        F.count("*").alias("n"), F.sum("bleu").alias("bleu"), F.count("bleu").alias("n_bleu"),
+        *[hits(f).alias(f) for f in ("exact_match", "valid_sql", "execution_accuracy")],
+        *[F.count(f).alias(f"{f}_known") for f in ("exact_match", "valid_sql", "execution_accuracy")],
     )
-    none = F.create_map().cast("map<string,bigint>")
-    return (
-        eval_summary(scored).join(maps, "model", "left")
-        .withColumn("error_distribution", F.coalesce("error_distribution", none))
+
+    def rate(flag: str) -> Column:
+        share = F.sum(flag) / F.sum("n") * 100
+        return round_even(F.when(F.sum(f"{flag}_known") > 0, share), 2).alias(f"{flag}_rate")
+
+    classes = F.filter(F.collect_list(F.struct(
+        (-F.col("n")).alias("order"), F.coalesce("error_type", F.lit("")).alias("kind"), "n"
+    )), lambda c: c["kind"] != "")
+    return sums.groupBy("model").agg(
+        F.sum("n").alias("num_samples"),
+        rate("exact_match"), rate("valid_sql"),
+        round_even(F.sum("bleu") / F.sum("n_bleu"), 4).alias("avg_bleu"),
+        rate("execution_accuracy"),
+        F.map_from_entries(F.transform(
+            F.sort_array(classes), lambda c: F.struct(c["kind"].alias("key"), c["n"].alias("value"))
+        )).alias("error_distribution"),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from sqlyard.functions import fixed
 from sqlyard.functions.text import col
 from sqlyard.schemas import CAPTURED_ROWS, CAPTURED_STATUS
 from sqlyard.session import work_folder
@@ -21,10 +22,10 @@ def _weighted(
     df: DataFrame, keys: tuple[str, ...], weight: Column, text: Column | None = None,
     is_pair: bool = False, error: Column | None = None,
 ) -> DataFrame:
-    none = F.lit(None).cast("string")
     return df.select(
-        *keys, (none if text is None else text).alias("row_text"), weight.cast("int").alias("_weight"),
-        F.lit(is_pair).alias("_pair"), (none if error is None else error).alias("_error"),
+        *keys, (F.lit(None) if text is None else text).cast("string").alias("row_text"),
+        weight.cast("int").alias("_weight"), F.lit(is_pair).alias("_pair"),
+        (F.lit(None) if error is None else error).cast("int").alias("_error"),
     )
 
 
@@ -32,7 +33,8 @@ def _verdicts(weighted: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Equal where every distinct row weighs zero in sum.
 
     The first sum spreads by key and text, so one key with very many rows is shared among tasks;
-    the second takes one partial verdict per task and key.
+    the second takes one partial verdict per task and key. Every value summed up has a fixed width,
+    so Spark aggregates by hash, without sorting.
     """
     return (
         weighted.groupBy(*keys, "row_text")
@@ -40,7 +42,7 @@ def _verdicts(weighted: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         .groupBy(*keys)
         .agg(
             F.bool_and(F.col("_surplus") == 0).alias("result_equal"),
-            F.bool_or("_pair").alias("_pair"), F.max("_error").alias("run_error"),
+            F.bool_or("_pair").alias("_pair"), F.max("_error").alias("_error"),
         )
     )
 
@@ -66,19 +68,30 @@ def outcomes(pairs: DataFrame, rows: DataFrame, status: DataFrame | None = None)
     parts = _captured(rows, keys).unionByName(_weighted(pairs, keys, F.lit(0), is_pair=True))
     if status is not None:
         failed = status.where(~F.col("ok"))
-        kind = F.when(F.col("side") == PRED, error_kind(F.coalesce("error", F.lit("unknown"))))
-        parts = parts.unionByName(_weighted(failed, keys, F.lit(1), error=kind))
-    return _verdicts(parts, keys).where("_pair").drop("_pair")
+        code = F.when(F.col("side") == PRED, _error_code(F.coalesce("error", F.lit("unknown"))))
+        parts = parts.unionByName(_weighted(failed, keys, F.lit(1), error=code))
+    return _verdicts(parts, keys).where("_pair").select(*keys, "result_equal", _error_name("_error").alias("run_error"))
+
+
+def _error_code(condition: Column | str) -> Column:
+    """Place in ``fixed.RUN_ERRORS``, from 1, of Spark's error condition; null where nothing failed."""
+    name = col(condition)
+    code = F.when(name.isNull(), F.lit(None).cast("int"))
+    for place, (start, _) in enumerate(fixed.RUN_ERRORS, 1):
+        code = code.when(F.startswith(name, F.lit(start)), place)
+    return code
+
+
+def _error_name(code: Column | str) -> Column:
+    name = F.lit(None).cast("string")
+    for place, (_, kind) in enumerate(fixed.RUN_ERRORS, 1):
+        name = F.when(col(code) == place, kind).otherwise(name)
+    return name
 
 
 def error_kind(condition: Column | str) -> Column:
     """Error class of a failed query from Spark's error condition; null where nothing failed."""
-    name = col(condition)
-    return (
-        F.when(F.startswith(name, F.lit("TABLE_OR_VIEW_NOT_FOUND")), "wrong_table")
-        .when(F.startswith(name, F.lit("UNRESOLVED_COLUMN")), "wrong_column")
-        .when(name.isNotNull(), "runtime_error")
-    )
+    return _error_name(_error_code(condition))
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -73,25 +73,25 @@ def _through_piece(state: Column, head: Column, patience: int, min_delta: float)
     return F.aggregate(head, start, meet, lambda acc: acc["s"])
 
 
-def _join_pieces(pieces: DataFrame, size: int, patience: int, min_delta: float) -> DataFrame:
-    """Pieces ``(run_id, pos, head)`` to larger ones, each of ``size`` neighbouring positions."""
-    def tail(e: Column, piece_no: Column, parts: Column) -> Column:
-        later = F.filter(parts, lambda p, i: i > piece_no)
+def _single(e: Column) -> Column:
+    """One evaluation as a piece."""
+    head = F.struct(e["step"].alias("step"), e["loss"].alias("loss"), _improved_at(e["step"], e["loss"]).alias("tail"))
+    return F.struct(e["step"].alias("pos"), F.array(head).alias("head"))
+
+
+def _joined(parts: DataFrame, patience: int, min_delta: float) -> DataFrame:
+    """``(run_id, pos, parts)``, parts in step order, to one piece ``(run_id, pos, head)`` each."""
+    def tail(e: Column, part_no: Column) -> Column:
+        later = F.filter("parts", lambda p, i: i > part_no)
         return F.aggregate(later, e["tail"], lambda s, p: _through_piece(s, p["head"], patience, min_delta))
 
     firsts = F.slice(F.flatten(F.transform(
         F.slice("parts", 1, patience),  # every part holds at least one evaluation
-        lambda p, i: F.transform(p["head"], lambda e: F.struct(i.alias("piece"), e.alias("e"))),
+        lambda p, i: F.transform(p["head"], lambda e: F.struct(i.alias("part"), e.alias("e"))),
     )), 1, patience)
-    return (
-        pieces.groupBy("run_id", F.floor(F.col("pos") / size).alias("pos"))
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "head"))).alias("parts"))
-        .withColumn("firsts", firsts)
-        .select("run_id", "pos", F.transform("firsts", lambda f: F.struct(
-            f["e"]["step"].alias("step"), f["e"]["loss"].alias("loss"),
-            tail(f["e"], f["piece"], F.col("parts")).alias("tail"),
-        )).alias("head"))
-    )
+    return parts.withColumn("firsts", firsts).select("run_id", "pos", F.transform("firsts", lambda f: F.struct(
+        f["e"]["step"].alias("step"), f["e"]["loss"].alias("loss"), tail(f["e"], f["part"]).alias("tail"),
+    )).alias("head"))
 
 
 def plateau(
@@ -104,16 +104,20 @@ def plateau(
     lowest loss seen, ``n_evals`` and ``last_step`` count up to the stop. Rows without a loss
     are skipped, rows after the stop ignored.
     """
-    single = log.where(F.col("eval_loss").isNotNull()).select(
-        "run_id", F.col("step").cast("long").alias("pos"),
-        F.array(F.struct(
-            F.col("step").cast("long").alias("step"), F.col("eval_loss").cast("double").alias("loss"),
-            _improved_at(F.col("step"), F.col("eval_loss")).alias("tail"),
-        )).alias("head"),
+    def stretch(position: str) -> Column:
+        return F.floor(F.col(position) / piece).alias("pos")
+
+    # only step and loss move in the first shuffle
+    evaluations = log.where(F.col("eval_loss").isNotNull()).select(
+        "run_id", F.col("step").cast("long").alias("step"), F.col("eval_loss").cast("double").alias("loss")
+    )
+    first = evaluations.groupBy("run_id", stretch("step")).agg(
+        F.sort_array(F.collect_list(F.struct("step", "loss"))).alias("parts")
+    ).withColumn("parts", F.transform("parts", _single))
+    second = _joined(first, patience, min_delta).groupBy("run_id", stretch("pos")).agg(
+        F.sort_array(F.collect_list(F.struct("pos", "head"))).alias("parts")
     )
-    pieces = single
-    for _ in range(2):
-        pieces = _join_pieces(pieces, piece, patience, min_delta)
+    pieces = _joined(second, patience, min_delta)
     none = F.lit(None)
     start = _struct(none, F.lit(0), none, none, none, F.lit(0), none)
     end = F.aggregate(

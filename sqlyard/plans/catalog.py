@@ -331,7 +331,7 @@ def jsonl_roundtrip(spark, sf):
 
 def _stored_report(spark, sf):
     folder = work_folder(spark, "report")
-    scored = _scored(spark, sf)
+    scored = tables.stored(_scored(spark, sf), "scored")
     tables.write_report(evaluation.result_records(scored), reports.summary_with_errors(scored), folder)
     return tables.read_report(spark, folder)
 

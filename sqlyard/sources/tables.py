@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from sqlyard import schemas
 from sqlyard.operators.reports import recount_errors
+from sqlyard.session import work_folder
 
 
 class MissingInputError(FileNotFoundError):
@@ -61,8 +62,19 @@ def read_splits(spark: SparkSession, folder: str, split: str | None = None) -> D
     return rows.where(F.col("split") == split) if split else rows
 
 
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    """The same rows read back from the shared work folder: computed once, whoever reads them, and safe
+    from lost executors."""
+    folder = work_folder(rows.sparkSession, purpose)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def write_report(records: DataFrame, summary: DataFrame, folder: str) -> None:
-    """Records as parquet and the summary as JSON, below one folder."""
+    """Records as parquet and the summary as JSON, below one folder.
+
+    Both usually come from one scored table; pass that through ``stored`` first.
+    """
     records.write.mode("overwrite").parquet(f"{folder}/results")
     summary.write.mode("overwrite").json(f"{folder}/summary")
 
