@@ -121,6 +121,7 @@ def model_comparison(scored: DataFrame, base: str, tuned: str) -> DataFrame:
 
     sides = (("base", base), ("finetuned", tuned))
     return s.agg(
+        F.lit(base).alias("base_model"), F.lit(tuned).alias("finetuned_model"),
         F.max("num_samples").alias("num_samples"),
         *[of(m, "exact_match_rate").alias(f"{side}_exact_match") for side, m in sides],
         *[of(m, "valid_sql_rate").alias(f"{side}_valid_sql_rate") for side, m in sides],

@@ -37,43 +37,69 @@ def train_test_split(
     return rows.withColumn("split", split_column(key, test_size, seed))
 
 
-def cap_splits(
-    rows: DataFrame, caps: dict[str, int], seed: int = fixed.DEFAULT_SEED, key: str = "ex_id"
-) -> DataFrame:
-    """At most ``caps[split]`` rows per split: the first ones in shuffled order. Others stay whole.
+def _with_order(rows: DataFrame, seed: int, key: str) -> DataFrame:
+    return rows.withColumn("_order", F.struct(shuffle_key(key, seed).alias("h"), F.col(key).alias("k")))
 
-    No sort of the table, whatever the cap. Pass 1 counts keys per digest prefix and finds the
-    prefix in which the cap falls; pass 2 ranks only that prefix (1/65,536 of the keys) and
-    finds the last key kept; pass 3 filters the wide rows against one such key per split.
-    Passes 1 and 2 read the key column alone.
-    """
-    if not caps:
-        return rows
-    keyed = rows.withColumn("_order", F.struct(shuffle_key(key, seed).alias("h"), F.col(key).alias("k")))
-    keys = keyed.where(F.col("split").isin(list(caps))).select(
-        "split", "_order", F.substring("_order.h", 1, _BUCKET_DIGITS).alias("_bucket")
-    )
-    cap = F.lit(None).cast("long")
-    for split, size in caps.items():
-        cap = F.when(F.col("split") == split, F.lit(size)).otherwise(cap)
 
-    earlier = Window.partitionBy("split").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+def _first_out(ordered: DataFrame, size: Column) -> DataFrame:
+    """``(split, _out)``: the first key, in shuffled order, beyond the ``size`` wanted of each split.
+
+    A split with no more rows than wanted has none. No sort of the table, whatever the size: keys
+    are counted per digest prefix, which shows the prefix in which the size is reached, and only
+    that prefix (1/65,536 of the keys) is ranked. Both passes read the key column alone.
+    ``size`` may use ``_total``, the rows of the split.
+    """
+    keys = ordered.select("split", "_order", F.substring("_order.h", 1, _BUCKET_DIGITS).alias("_bucket"))
+    # windows over at most 65,536 counts per split
+    whole = Window.partitionBy("split")
+    earlier = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     edge = (
         keys.groupBy("split", "_bucket").agg(F.count("*").alias("_n"))
-        .withColumn("_room", cap - F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .withColumn("_total", F.sum("_n").over(whole))
+        .withColumn("_room", size - F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .where((F.col("_room") >= 0) & (F.col("_room") < F.col("_n")))
         .select("split", "_bucket", "_room")
-    )  # the one prefix per split in which its cap falls
-    # first key left out: one row per split whose cap binds
-    rank = Window.partitionBy("split").orderBy("_order")
-    first_out = (
+    )  # one prefix per split at most
+    return (
         keys.join(F.broadcast(edge), ["split", "_bucket"])
-        .withColumn("_rank", F.row_number().over(rank))
+        .withColumn("_rank", F.row_number().over(whole.orderBy("_order")))
         .where(F.col("_rank") == F.col("_room") + 1)
         .select("split", F.col("_order").alias("_out"))
     )
+
+
+def exact_split(
+    rows: DataFrame, test_size: float = fixed.DEFAULT_TEST_SIZE, seed: int = fixed.DEFAULT_SEED,
+    key: str = "ex_id",
+) -> DataFrame:
+    """Like ``train_test_split`` with exactly ``ceil(test_size * rows)`` test rows.
+
+    Costs two passes over the keys; a row's side can change when the table grows.
+    """
+    ordered = _with_order(rows, seed, key)
+    wanted = F.ceil(F.col("_total") * F.lit(test_size))
+    first_out = _first_out(ordered.withColumn("split", F.lit("all")), wanted)
+    out = first_out.select("_out").scalar()  # one key; null when every row is wanted
+    in_test = out.isNull() | (F.col("_order") < out)
+    return ordered.withColumn("split", F.when(in_test, "test").otherwise("train")).select(*rows.columns, "split")
+
+
+def cap_splits(
+    rows: DataFrame, caps: dict[str, int], seed: int = fixed.DEFAULT_SEED, key: str = "ex_id"
+) -> DataFrame:
+    """At most ``caps[split]`` rows per split: the first ones in shuffled order. Others stay whole.
+
+    After two narrow passes over the keys the wide rows are only filtered, against one key per split.
+    """
+    if not caps:
+        return rows
+    size = F.lit(None).cast("long")
+    for split, n in caps.items():
+        size = F.when(F.col("split") == split, F.lit(n)).otherwise(size)
+    ordered = _with_order(rows, seed, key)
+    first_out = _first_out(ordered.where(F.col("split").isin(list(caps))), size)
     return (
-        keyed.join(F.broadcast(first_out), "split", "left")
+        ordered.join(F.broadcast(first_out), "split", "left")
         .where(F.col("_out").isNull() | (F.col("_order") < F.col("_out")))
         .select(*rows.columns)
     )
@@ -83,7 +109,8 @@ def first_rows(rows: DataFrame, n: int, *order: Column | str, fan_in: int = 1024
     """The first ``n`` rows by ``order``, in two steps so that no task sees every task's candidates.
 
     Each task keeps its own first ``n`` rows, groups of tasks keep theirs, then one task merges
-    at most ``n * fan_in`` rows. For small ``n`` only; ``cap_splits`` has no such limit.
+    at most ``n * fan_in`` rows. For small ``n``: beyond 1,000 Spark ranks after the shuffle instead
+    of before it. ``cap_splits`` has no such limit.
     """
     keys = [col(c) for c in order]
     group = Window.partitionBy("_group").orderBy(*keys)

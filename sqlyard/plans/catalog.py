@@ -74,6 +74,11 @@ def split_counts(spark, sf):
     return parts[0].unionByName(parts[1]).groupBy("source", "split").agg(F.count("*").alias("n_rows"))
 
 
+def exact_split_counts(spark, sf):
+    split = sampling.exact_split(derived.table(spark, sf, "documents").select("doc_id"), key="doc_id")
+    return reports.split_counts(split)
+
+
 def capped_split(spark, sf):
     split = sampling.train_test_split(derived.examples(spark, sf))
     return sampling.cap_splits(split, {"train": 2000, "test": 200}).select("ex_id", "split", "question")
@@ -213,6 +218,12 @@ def comparison_records(spark, sf):
     return reports.comparison_records(_scored(spark, sf), BASE, TUNED)
 
 
+def sample_predictions(spark, sf):
+    return sampling.first_rows(comparison_records(spark, sf), 5, "ex_id").select(
+        "ex_id", "question", "gold_sql", "base_prediction", "finetuned_prediction"
+    )
+
+
 def model_comparison(spark, sf):
     return reports.model_comparison(_scored(spark, sf), BASE, TUNED)
 
@@ -344,6 +355,15 @@ def report_recount(spark, sf):
     return reports.recount_errors(_stored_report(spark, sf)[0], "model")
 
 
+def comparison_readback(spark, sf):
+    folder = work_folder(spark, "comparison")
+    scored = tables.stored(_scored(spark, sf), "scored")
+    tables.write_report(
+        reports.comparison_records(scored, BASE, TUNED), reports.model_comparison(scored, BASE, TUNED), folder
+    )
+    return tables.read_comparison(spark, folder)[0]
+
+
 # ---- running query texts ----------------------------------------------------------------------
 
 EXEC_PAIRS = [
@@ -390,6 +410,7 @@ QUERIES: dict[str, Query] = {
     "preview_row": preview_row,
     "preview_prompt": preview_prompt,
     "split_counts": split_counts,
+    "exact_split_counts": exact_split_counts,
     "capped_split": capped_split,
     "first_examples": first_examples,
     "random_sample_k": random_sample_k,
@@ -412,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "result_records": result_records,
     "eval_summary": eval_summary,
     "comparison_records": comparison_records,
+    "sample_predictions": sample_predictions,
     "model_comparison": model_comparison,
     "metric_delta": metric_delta,
     "length_profile": length_profile,
@@ -432,5 +454,6 @@ QUERIES: dict[str, Query] = {
     "jsonl_roundtrip": jsonl_roundtrip,
     "report_readback": report_readback,
     "report_recount": report_recount,
+    "comparison_readback": comparison_readback,
     "exec_pairs": exec_pairs,
 }

@@ -297,10 +297,6 @@ def _exec_pairs() -> str:
 _STATUS = f"""CASE WHEN ex_id % 7 = 0 THEN {_q(fixed.STATUS_NO_QUESTION)}
     WHEN ex_id % 11 = 0 THEN {_q(fixed.STATUS_NO_SCHEMA)} END"""
 
-_REPORT_COUNTS = DISTRIBUTION
-
-_ONE_SAMPLE = "count(*) FILTER (model = 'base')"
-
 
 def _two(column: str, as_name: str) -> str:
     return ", ".join(
@@ -309,6 +305,11 @@ def _two(column: str, as_name: str) -> str:
     )
 
 
+_COMPARISON = f"""SELECT ex_id, max(question) AS question, max(gold_sql) AS gold_sql,
+    {_two('predicted_sql', 'prediction')}, {_two('exact_match', 'exact_match')},
+    {_two(_round('bleu', 4), 'bleu')}, {_two('execution_accuracy', 'exec_accuracy')}
+    FROM scored GROUP BY ex_id"""
+
 QUERIES: dict[str, str] = {
     "prepare_examples": _prepared("generic", True),
     "prepare_instruct": _prepared("mistral-instruct", False),
@@ -328,6 +329,9 @@ QUERIES: dict[str, str] = {
     "split_counts": f"""SELECT source, split, count(*) AS n_rows FROM (
         SELECT 'examples' AS source, {_split('o_orderkey')} AS split FROM orders
         UNION ALL SELECT 'documents', {_split('doc_id')} FROM documents) GROUP BY ALL""",
+    "exact_split_counts": """SELECT split, count(*) AS n_rows FROM (
+        SELECT CASE WHEN row_number() OVER (ORDER BY md5('42|' || doc_id), doc_id) <= ceil(count(*) OVER () * 0.1)
+            THEN 'test' ELSE 'train' END AS split FROM documents) GROUP BY split""",
     "capped_split": _with(EX) + f"""SELECT ex_id, split, question FROM (
         SELECT ex_id, question, {_split('ex_id')} AS split FROM ex)
         QUALIFY row_number() OVER (PARTITION BY split ORDER BY md5('42|' || ex_id), ex_id)
@@ -376,11 +380,11 @@ QUERIES: dict[str, str] = {
         {_round('n / sum(n) OVER (PARTITION BY model) * 100', 2)} AS share_pct FROM dist""",
     "result_records": _with(SCORED) + f"SELECT * REPLACE ({_round('bleu', 4)} AS bleu) FROM scored",
     "eval_summary": _with(SUMMARY) + "SELECT * FROM summary",
-    "comparison_records": _with(SCORED) + f"""SELECT ex_id, max(question) AS question, max(gold_sql) AS gold_sql,
-        {_two('predicted_sql', 'prediction')}, {_two('exact_match', 'exact_match')},
-        {_two(_round('bleu', 4), 'bleu')}, {_two('execution_accuracy', 'exec_accuracy')}
-        FROM scored GROUP BY ex_id""",
-    "model_comparison": _with(SUMMARY) + f"""SELECT max(num_samples) AS num_samples,
+    "comparison_records": _with(SCORED) + _COMPARISON,
+    "sample_predictions": _with(SCORED) + f"""SELECT ex_id, question, gold_sql, base_prediction, finetuned_prediction
+        FROM ({_COMPARISON}) ORDER BY ex_id LIMIT 5""",
+    "comparison_readback": _with(SCORED) + _COMPARISON,
+    "model_comparison": _with(SUMMARY) + f"""SELECT 'base' AS base_model, 'tuned' AS finetuned_model, max(num_samples) AS num_samples,
         {_two('exact_match_rate', 'exact_match')}, {_two('valid_sql_rate', 'valid_sql_rate')},
         {_two('avg_bleu', 'avg_bleu')}, {_two('execution_accuracy_rate', 'execution_accuracy')} FROM summary""",
     "metric_delta": _with(SCORED) + f"""SELECT metric, {_round('b', 1)} AS base_value, {_round('t', 1)} AS tuned_value,

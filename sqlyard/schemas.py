@@ -22,6 +22,18 @@ RESULTS = _table(
     bleu=_D, execution_accuracy=_B, error_type=_S,
 )
 
+COMPARISON = _table(
+    ex_id=_L, question=_S, gold_sql=_S, base_prediction=_S, finetuned_prediction=_S,
+    base_exact_match=_B, finetuned_exact_match=_B, base_bleu=_D, finetuned_bleu=_D,
+    base_exec_accuracy=_B, finetuned_exec_accuracy=_B,
+)
+
+COMPARISON_SUMMARY = _table(
+    base_model=_S, finetuned_model=_S, num_samples=_L, base_exact_match=_D, finetuned_exact_match=_D,
+    base_valid_sql_rate=_D, finetuned_valid_sql_rate=_D, base_avg_bleu=_D, finetuned_avg_bleu=_D,
+    base_execution_accuracy=_D, finetuned_execution_accuracy=_D,
+)
+
 SUMMARY = _table(
     model=_S, num_samples=_L, exact_match_rate=_D, valid_sql_rate=_D, avg_bleu=_D,
     execution_accuracy_rate=_D, error_distribution=MapType(_S, _L),

@@ -97,6 +97,14 @@ def read_report(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
     return results, filled
 
 
+def read_comparison(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """``(records, summary)`` of a stored two-model comparison."""
+    return (
+        read_parquet(spark, f"{folder}/results", schemas.COMPARISON),
+        read_jsonl(spark, f"{folder}/summary", schemas.COMPARISON_SUMMARY),
+    )
+
+
 def error_counts(summary: DataFrame) -> DataFrame:
     """Long form of the summary's error map, most frequent first."""
     return (

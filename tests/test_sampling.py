@@ -1,4 +1,5 @@
 import hashlib
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +54,14 @@ def test_caps_when_one_prefix_holds_many_keys(spark, monkeypatch):
         assert got == set(order[:size])
 
 
+@pytest.mark.parametrize("test_size", [0.0, 0.1, 0.33333, 1.0])
+def test_exact_split(keyed, test_size):
+    got = {r["ex_id"] for r in sampling.exact_split(keyed, test_size).collect() if r["split"] == "test"}
+    order = sorted(range(5000), key=lambda k: (digest(42, k), k))
+    assert got == set(order[:math.ceil(5000 * test_size)])
+    assert sampling.exact_split(keyed, test_size).count() == 5000
+
+
 @pytest.mark.parametrize("fan_in", [1, 2, 1024])
 def test_first_rows(keyed, fan_in):
     got = [r["ex_id"] for r in sampling.first_rows(keyed, 25, F.desc("ex_id"), fan_in=fan_in).collect()]
