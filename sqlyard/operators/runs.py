@@ -62,7 +62,9 @@ def _through_piece(state: Column, head: Column, patience: int, min_delta: float)
     """State after a piece, from the state before it and the piece's first evaluations."""
     def meet(acc: Column, e: Column) -> Column:
         s = acc["s"]
-        gain = s["best"].isNull() | (e["loss"] < s["best"] - F.lit(min_delta))
+        # Spark sorts NaN above every number; as a loss nothing is lower than it
+        lower = (e["loss"] < s["best"] - F.lit(min_delta)) & ~F.isnan(s["best"])
+        gain = s["best"].isNull() | lower
         return (
             F.when(acc["done"] | s["stop"].isNotNull(), acc)
             .when(gain, F.struct(_follow(s, e["tail"]).alias("s"), F.lit(True).alias("done")))

@@ -281,7 +281,8 @@ def run_history(spark, sf):
 def plateau_stream_rows(spark, sf):
     """The events read as a stream to its end; the rows it wrote are the result."""
     schema = derived.table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    events = source.option("maxFilesPerTrigger", 64).parquet(sf)  # bounds a run's rows per batch
     log = events.select(
         F.col("user_id").cast("string").alias("run_id"), F.col("event_id").alias("step"),
         F.col("value").alias("eval_loss"),

@@ -23,7 +23,11 @@ def plateau_stream(log: DataFrame, patience: int = PATIENCE, min_delta: float =
     """
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         best, wait, stopped = state.get if state.exists else (None, 0, False)
-        rows = pd.concat(list(batches)).dropna(subset=["eval_loss"]).sort_values("step")
+        if stopped:
+            for _ in batches:  # nothing is kept of a run that has ended
+                pass
+            return
+        rows = pd.concat([b[["step", "eval_loss"]] for b in batches]).sort_values("step")
         out = []
         for step, loss in zip(rows["step"], rows["eval_loss"]):
             if stopped:
@@ -37,6 +41,7 @@ def plateau_stream(log: DataFrame, patience: int = PATIENCE, min_delta: float =
         state.update((best, wait, stopped))
         yield pd.DataFrame(out, columns=["run_id", "step", "eval_loss", "best_loss", "wait", "stopped"])
 
-    return log.groupBy("run_id").applyInPandasWithState(
+    evaluations = log.where(log["eval_loss"].isNotNull())
+    return evaluations.groupBy("run_id").applyInPandasWithState(
         update, OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout
     )

@@ -65,6 +65,14 @@ def test_small_gains_do_not_move_the_best(spark):
     assert result(r) == walk(points) and r["stop_step"] is None and r["best_loss"] != r["low_loss"]
 
 
+def test_nan_never_improves_and_is_never_improved_on(spark):
+    nan = float("nan")
+    points = {"first": [nan, 0.5, 0.4, 0.3, 0.2, 0.1, 0.0], "later": [0.5, nan, 0.4, nan, nan, nan, nan, nan, 0.1]}
+    log = spark.createDataFrame([(r, i, v) for r, vs in points.items() for i, v in enumerate(vs)], LOG)
+    got = {r["run_id"]: (r["stop_step"], r["wait"], str(r["best_loss"])) for r in runs.plateau(log).collect()}
+    assert got == {r: (w[2], w[1], str(w[0])) for r, w in ((r, walk(list(enumerate(vs)))) for r, vs in points.items())}
+
+
 def test_checkpoints(spark):
     log = spark.createDataFrame(
         [("a", s, v) for s, v in ((1, 0.9), (2, 0.1), (3, 0.5), (4, 0.1), (5, 0.7))] + [("b", 1, 0.3), ("c", 1, None), ("c", 2, 2.0)], LOG
