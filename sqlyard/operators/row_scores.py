@@ -13,12 +13,17 @@ MAX_ORDER = 4
 _NO_MATCH = 0.1  # stands for zero matches of an order (smoothing method 1)
 
 
-def _longer_runs(runs: Column, words: Column, n: int) -> Column:
-    """Runs of ``n`` words from the runs of ``n - 1``; words hold no blanks, so one blank keeps runs apart."""
+def word_runs(words: Column | str, n: int) -> Column:
+    """Every run of ``n`` neighbouring words, as text.
+
+    Zipping the list with its own shifts and casting the tuples costs no function call per word.
+    Words hold no blanks, so the text tells runs apart.
+    """
+    if n == 1:
+        return col(words)
     count = F.greatest(F.size(words) - (n - 1), F.lit(0))
-    return F.zip_with(
-        F.slice(runs, 1, count), F.slice(words, n, count), lambda run, word: F.concat(run, F.lit(" "), word)
-    )
+    shifts = [F.slice(words, k + 1, count).alias(f"w{k}") for k in range(n)]
+    return F.arrays_zip(*shifts).cast("array<string>")
 
 
 def clipped_matches(pred_runs: Column | str, gold_runs: Column | str) -> Column:
@@ -69,15 +74,13 @@ def with_bleu(rows: DataFrame, pred_norm: str, gold_norm: str, name: str = "bleu
         open_ = ~same if n == 1 else ~same & (F.col(f"_hits{n - 1}") > 0)
         if n > 1:
             work = work.withColumns({
-                f"_{side}{n}": F.when(
-                    open_, _longer_runs(F.col(f"_{side}{n - 1}"), F.col(f"_{side}1"), n)
-                ).otherwise(none)
-                for side in "pg"
+                f"_{side}{n}": F.when(open_, word_runs(f"_{side}1", n)).otherwise(none) for side in "pg"
             })
         full = F.greatest(F.col("_p") - (n - 1), F.lit(0))
-        work = work.withColumn(f"_hits{n}", F.when(same, full).when(
-            open_, clipped_matches(f"_p{n}", f"_g{n}")
-        ).otherwise(F.lit(0)))
+        hits = F.when(same, full).when(open_, clipped_matches(f"_p{n}", f"_g{n}")).otherwise(F.lit(0))
+        work = work.withColumn(f"_hits{n}", hits)
+        if n > 1:
+            work = work.drop(f"_p{n}", f"_g{n}")
 
     def log_precision(n: int) -> Column:
         hits = F.col(f"_hits{n}").cast("double")
