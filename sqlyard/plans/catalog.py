@@ -151,10 +151,8 @@ def bleu(spark, sf):
 
 
 def bleu_text(spark, sf):
-    pairs = derived.long_pairs(spark, sf).select(
-        "doc_id", normalize_sql("pred_text").alias("pred_norm"), normalize_sql("gold_text").alias("gold_norm")
-    )
-    return with_bleu(pairs, "pred_norm", "gold_norm").select("doc_id", round_even("bleu", 6).alias("bleu"))
+    scored = with_bleu(derived.long_pairs(spark, sf), "pred_norm", "gold_norm")
+    return scored.select("doc_id", round_even("bleu", 6).alias("bleu"))
 
 
 def _outcomes(spark, sf) -> DataFrame:

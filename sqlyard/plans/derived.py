@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sqlyard.functions.text import normalize_sql
 from sqlyard.sources.tables import spread
 
 MODELS = ["base", "tuned"]  # their position is also the shift of their prediction form
@@ -140,19 +141,19 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def long_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document beside one benchmark text, whole: ``(doc_id, pred_text, gold_text)``.
+    """Every document beside one benchmark text, whole and normalised: ``(doc_id, pred_norm, gold_norm)``.
 
-    Items are dealt out by document key. The join is an equality of item keys; Spark
-    broadcasts the benchmark only while its size is below the session's limit.
+    Items are dealt out by document key and normalised before the join, once each. The join is
+    an equality of item keys; Spark broadcasts the benchmark only while its size is below the
+    session's limit.
     """
     items = table(spark, sf_dir, "benchmark")
     size = items.agg(F.count("*")).scalar()
-    docs = dealt(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("pred_text"))
-    return (
-        docs.withColumn("item_id", F.col("doc_id") % size)
-        .join(items.withColumnRenamed("text", "gold_text"), "item_id")
-        .select("doc_id", "item_id", "pred_text", "gold_text")
+    docs = dealt(spark, sf_dir, "documents").select(
+        "doc_id", (F.col("doc_id") % size).alias("item_id"), normalize_sql("text").alias("pred_norm")
     )
+    gold_texts = items.select("item_id", normalize_sql("text").alias("gold_norm"))
+    return docs.join(gold_texts, "item_id").select("doc_id", "pred_norm", "gold_norm")
 
 
 class FirstTablePredictor:
