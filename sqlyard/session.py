@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,15 +24,12 @@ def build_session(app: str = "sqlyard", master: str | None = None, **settings) -
     return builder.getOrCreate()
 
 
-def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder path below ``spark.checkpoint.dir``, which every executor can reach.
-
-    Where the setting is missing, a local session gets a folder of this machine; a cluster
-    session gets an error, since a machine-local folder would be lost with its machine.
-    """
+def shared_base(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or a folder in the warehouse where that is unset: both are shared by all machines."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="sqlyard-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return (base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
+
+
+def work_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder path that the driver and every executor can reach."""
+    return f"{shared_base(spark)}/{purpose}-{uuid.uuid4().hex}"
