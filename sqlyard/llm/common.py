@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +18,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The two columns an operator reads, whatever else the table holds; ids as long."""
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """The two columns an operator reads, whatever else the table holds; ids as long.
+
+    Columns named in ``carry`` come along in a struct of that name and go to the result row untouched.
+    """
+    along = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carry")] if carry else []
+    return docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), *along)
+
+
+def carried(rows: DataFrame, schema: str) -> str:
+    """The result schema with the carried struct at its end, if there is one."""
+    return f"{schema}, carry {rows.schema['carry'].dataType.simpleString()}" if "carry" in rows.columns else schema
+
+
+def with_carry(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    along = {"carry": batch.column("carry")} if "carry" in batch.schema.names else {}
+    return pa.RecordBatch.from_pydict(columns | along)
 
 
 def byte_values(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sqlyard.llm.common import byte_values, id_and_text, text_slices
+from sqlyard.llm.common import byte_values, carried, id_and_text, text_slices, with_carry
 
 #: A-Z becomes a-z; digits, letters and all bytes beyond ASCII stay; everything else parts words.
 _FOLD = bytes(
@@ -23,6 +24,16 @@ def words(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_FOLD).split()
 
 
+def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the stretches from the first to the last word of each span."""
+    at = [m.span() for m in re.finditer(rb"[^ ]+", text.translate(_FOLD))]
+    kept, done = [], 0
+    for first, stop in spans:
+        kept.append(text[done: at[first][0]])
+        done = at[stop - 1][1]
+    return b"".join([*kept, text[done:]])
+
+
 class WaveletRanks:
     """How often a symbol occurs before a place of a sequence: one bit plane per binary digit, zeros sorted before ones."""
 
@@ -184,7 +195,8 @@ def _search_shard(texts: list[list[bytes]], phrases: Phrases) -> tuple[np.ndarra
 def _mark(blocks: list[Broadcast], shard_bytes: int):
     def run(batches):
         for batch in text_slices(batches, shard_bytes):
-            texts = [words(t) for t in byte_values(batch.column("text"))]
+            raw = byte_values(batch.column("text"))
+            texts = [words(t) for t in raw]
             change = [np.zeros(len(w) + 1, np.int64) for w in texts]
             items: list[set[int]] = [set() for _ in texts]
             for block in blocks:
@@ -205,23 +217,26 @@ def _mark(blocks: list[Broadcast], shard_bytes: int):
                 hits.append(int(hit.sum()))
                 spans.append(list(zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist())))
                 digests.append(hashlib.sha256(",".join(sorted(str(x) for x in owners if x is not None)).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array([len(w) for w in texts], pa.int64()), pa.array(hits, pa.int64()),
-                pa.array([len(x) for x in items], pa.int64()), pa.array(digests, pa.string()), pa.array([h > 0 for h in hits], pa.bool_()),
-                pa.array([sorted(x for x in o if x is not None) for o in items], pa.list_(pa.int64())),
-                pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))),
-            ], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "spans"])
+            yield with_carry(batch, {
+                "doc_id": batch.column("doc_id"), "n_words": pa.array([len(w) for w in texts], pa.int64()),
+                "n_hit": pa.array(hits, pa.int64()), "n_items": pa.array([len(x) for x in items], pa.int64()),
+                "items_sha256": pa.array(digests, pa.string()), "contaminated": pa.array([h > 0 for h in hits], pa.bool_()),
+                "items": pa.array([sorted(x for x in o if x is not None) for o in items], pa.list_(pa.int64())),
+                "spans": pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))),
+                "kept_text": pa.array([without(t, s) if s else None for t, s in zip(raw, spans)], pa.binary()).cast(pa.string()),
+            })
     return run
 
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = 1_000_000, shard_bytes: int = 8 << 20,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (),
 ) -> DataFrame:
     """Which words of each document lie in an occurrence of a benchmark phrase.
 
-    Returns ``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, spans)`` per row; ``spans`` are the merged
-    word ranges to remove. A phrase is ``window`` consecutive words of an item, or the whole of a shorter item.
+    Returns ``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, spans, kept_text)`` per row; ``spans`` are the
+    merged word ranges to remove, ``kept_text`` is what stays where there are any. Columns in ``carry`` come along in
+    a struct ``carry``. A phrase is ``window`` consecutive words of an item, or the whole of a shorter item.
 
     The phrases travel in blocks of at most ``block_words`` words, one broadcast each and searched one after
     another, so a benchmark of any size is searched whole. A task indexes its documents in shards of about
@@ -230,11 +245,11 @@ def contamination(
     Null texts have no words, on either side. Items without an id are searched, count in ``n_items`` as one,
     and are left out of ``items`` and the digest.
     """
-    rows = id_and_text(docs, id_col, text_col)
+    rows = id_and_text(docs, id_col, text_col, carry)
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     context = docs.sparkSession.sparkContext
     blocks = [context.broadcast(p) for p in _blocks(items, window, block_words)]
     return rows.mapInArrow(
-        _mark(blocks, shard_bytes),
-        "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<long>, "
-        "spans array<struct<first: long, stop: long>>")
+        _mark(blocks, shard_bytes), carried(
+            rows, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<long>, "
+            "spans array<struct<first: long, stop: long>>, kept_text string"))

@@ -2,20 +2,87 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import public_tokenizers
 
-from sqlyard.llm import simhash, substring
+import corpus_pipeline
+from sqlyard.llm import leaks, packing, simhash, substring, toxicity
 from sqlyard.llm.common import table
 
 
+def op4_substring_dedup(spark, sf):
+    return substring.remove_repeats(table(spark, sf, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op5_best_fit_packing(spark, sf):
+    return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_benchmark_decontamination(spark, sf):
+    found = leaks.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op9_toxicity(spark, sf):
+    return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op10_simhash_near_duplicates(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
-def op4_substring_dedup(spark, sf):
-    return substring.remove_repeats(table(spark, sf, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+QUERIES = {f.__name__: f for f in (
+    op4_substring_dedup, op5_best_fit_packing, op7_benchmark_decontamination, op9_toxicity, op10_simhash_near_duplicates,
+)} | {"pipeline": corpus_pipeline.run}
 
+def _run(words: int) -> str:
+    """SQL for a word and those after it as a list; without the missing ones at a document's end."""
+    ahead = ", ".join(["word", *(f"lead(word, {j}) OVER ahead" for j in range(1, words))])
+    return f"list_filter([{ahead}], lambda x: x IS NOT NULL)"
 
-QUERIES = {f.__name__: f for f in (op10_simhash_near_duplicates, op4_substring_dedup)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op4_substring_dedup": rf"""
+        WITH w AS MATERIALIZED (
+            SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS i
+            FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents)),
+        runs AS MATERIALIZED (
+            SELECT doc_id, i, array_to_string(run, ' ') AS r
+            FROM (SELECT doc_id, i, {_run(13)} AS run FROM w WINDOW ahead AS (PARTITION BY doc_id ORDER BY i)) WHERE len(run) = 13),
+        firsts AS (SELECT r, min(doc_id) AS holder FROM runs GROUP BY r HAVING min(doc_id) < max(doc_id)),
+        gone AS (
+            SELECT DISTINCT doc_id, i + j AS i
+            FROM runs JOIN firsts USING (r), (SELECT unnest(range(13)) AS j) WHERE holder < doc_id),
+        kept AS (
+            SELECT w.doc_id, count(*) AS n_words, count(gone.i) AS n_removed,
+                coalesce(string_agg(CASE WHEN gone.i IS NULL THEN word END, ' ' ORDER BY w.i), '') AS kept
+            FROM w LEFT JOIN gone ON w.doc_id = gone.doc_id AND w.i = gone.i GROUP BY w.doc_id)
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents LEFT JOIN kept USING (doc_id)""",
+    "op7_benchmark_decontamination": rf"""
+        WITH folded AS (
+            SELECT doc_id AS id, 'd' AS side, coalesce(text, '') AS t FROM documents
+            UNION ALL SELECT item_id, 'b', coalesce(text, '') FROM benchmark),
+        w AS MATERIALIZED (
+            SELECT id, side, unnest(ws) AS word, unnest(range(len(ws))) AS i
+            FROM (SELECT id, side, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM folded)),
+        runs AS MATERIALIZED (
+            SELECT id, side, i, {_run(10)} AS run FROM w WINDOW ahead AS (PARTITION BY side, id ORDER BY i)),
+        phrases AS MATERIALIZED (
+            SELECT DISTINCT id AS item_id, len(run) AS n, array_to_string(run, ' ') AS r
+            FROM runs WHERE side = 'b' AND (len(run) = 10 OR i = 0)),
+        found AS MATERIALIZED (
+            SELECT DISTINCT runs.id, runs.i, k.n, phrases.item_id
+            FROM (SELECT DISTINCT n FROM phrases) k
+                JOIN runs ON side = 'd' AND len(run) >= k.n
+                JOIN phrases ON phrases.n = k.n AND phrases.r = array_to_string(run[1 : k.n], ' ')),
+        hits AS (SELECT id, count(DISTINCT i) AS n_hit FROM (SELECT id, unnest(range(i, i + n)) AS i FROM found) GROUP BY id),
+        owners AS (
+            SELECT id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+            FROM (SELECT DISTINCT id, item_id FROM found) GROUP BY id),
+        counts AS (SELECT id, count(*) AS n_words FROM w WHERE side = 'd' GROUP BY id)
+        SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM documents d LEFT JOIN counts ON counts.id = d.doc_id LEFT JOIN hits ON hits.id = d.doc_id
+            LEFT JOIN owners ON owners.id = d.doc_id""",
+}

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sqlyard.llm.common import WordHashes, byte_values, id_and_text, mix, per_batch, run_hashes
+from sqlyard.llm.common import WordHashes, byte_values, carried, id_and_text, mix, per_batch, run_hashes, with_carry
 from sqlyard.sources.tables import stored
 
 
@@ -140,25 +141,29 @@ def _cut(window: int, seed_words: int):
                 gone = np.cumsum(change[:-1]) > 0
                 step = np.diff(np.r_[0, gone.astype(np.int8), 0])
                 spans.append(list(zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist())))
-                kept = b" ".join(w for w, g in zip(words, gone.tolist()) if not g) if gone.any() else b" ".join(words)
+                cut = bool(gone.any())
+                kept = b" ".join(w for w, g in zip(words, gone.tolist()) if not g) if cut else b" ".join(words)
                 removed.append(int(gone.sum()))
-                kept_texts.append(kept.decode())
+                kept_texts.append(kept.decode() if cut else None)
                 digests.append(hashlib.sha256(kept).hexdigest())
-            return pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found.counts), pa.array(removed, pa.int64()), pa.array(digests, pa.string()),
-                 pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))), pa.array(kept_texts, pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept_sha256", "spans", "kept_text"])
+            return with_carry(batch, {
+                "doc_id": batch.column("doc_id"), "n_words": pa.array(found.counts), "n_removed": pa.array(removed, pa.int64()),
+                "kept_sha256": pa.array(digests, pa.string()),
+                "spans": pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))),
+                "kept_text": pa.array(kept_texts, pa.string()),
+            })
         return work
     return per_batch(build)
 
 
 def remove_repeats(
-    docs: DataFrame, window: int = 13, seed_words: int = 5, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, window: int = 13, seed_words: int = 5, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
 ) -> DataFrame:
     """Removes words of repeats of at least ``window`` words whose first holder is a smaller document.
 
     Returns ``(doc_id, n_words, n_removed, kept_sha256, spans, kept_text)`` per row: word counts, the digest of
-    the kept words joined by one blank, the maximal removed repeats as word ranges, and the kept words.
+    the kept words joined by one blank, the maximal removed repeats as word ranges, and, where words were removed,
+    the kept words. Columns in ``carry`` come along in a struct ``carry``.
 
     Seeds: every run of ``window`` words has one winnowed anchor, so two documents that share a run share its
     anchor. Extension: first an anchor's whole reach is compared with those of all other documents (one row
@@ -169,7 +174,8 @@ def remove_repeats(
     Null text has no words. Rows without an id are kept whole and count as no holder. Rows that repeat an id
     are judged as one document and each returned; repeats inside one document stay.
     """
-    rows = id_and_text(docs, id_col, text_col)
+    everything = id_and_text(docs, id_col, text_col, carry)
+    rows = everything.select("doc_id", "text")
 
     def seeds():
         hashes = WordHashes(3)
@@ -187,10 +193,10 @@ def remove_repeats(
             F.collect_list(F.when(F.col("held"), F.col("part"))).alias("held"),
             F.collect_list(F.when(~F.col("held"), F.col("part"))).alias("opened"),
         ), "reaches")
-    # one exchange of the texts serves both uses below; outer joins keep it the same for both
-    placed = rows.repartition("doc_id").join(reaches, "doc_id", "left")
-    runs = _smallest_holder(placed.select("doc_id", "text", "opened").mapInArrow(_runs_of_open_reaches(window, seed_words), _ROWS))
+    placed = rows.join(reaches.where(F.size("opened") > 0).select("doc_id", "opened"), "doc_id")
+    runs = _smallest_holder(placed.mapInArrow(_runs_of_open_reaches(window, seed_words), _ROWS))
     runs = stored(runs.where("held").groupBy("doc_id").agg(F.collect_list("part").alias("runs")), "runs")
-    return rows.repartition("doc_id").join(reaches.select("doc_id", "held"), "doc_id", "left").join(runs, "doc_id", "left").mapInArrow(
-        _cut(window, seed_words),
-        "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<first: long, stop: long>>, kept_text string")
+    marked = everything.join(reaches.select("doc_id", "held"), "doc_id", "left").join(runs, "doc_id", "left")
+    return marked.mapInArrow(_cut(window, seed_words), carried(
+        everything,
+        "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<first: long, stop: long>>, kept_text string"))

@@ -5,11 +5,13 @@ from __future__ import annotations
 import pickle
 import string
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sqlyard.llm.common import id_and_text, per_batch
@@ -71,8 +73,8 @@ class Scorer:
 
 
 def train(
-    texts: list[str | None], labels: list[int], buckets: int = 1 << 17, dim: int = 8, window: int = 24, rounds: int = 60, pace: float = 0.4,
-    floor: float = 0.05, scale: float = 8.0, seed: int = 1,
+    texts: list[str | None], labels: list[int], buckets: int = 1 << 17, dim: int = 8, window: int = 8, rounds: int = 80, pace: float = 0.2,
+    floor: float = 0.003, scale: float = 8.0, decay: float = 0.015, seed: int = 1,
 ) -> Model:
     """Full-batch descent with momentum on embeddings and softmax together.
 
@@ -127,6 +129,7 @@ def train(
             square += 0.05 * (slope * slope - square)
             size = np.sqrt(square)
             p -= pace * (1 - step / rounds) * mean / (size + floor * size.max() + 1e-12)
+        embedding *= 1 - decay
     return Model(embedding, weights, bias, window)
 
 
@@ -173,3 +176,15 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: st
 
     return rows.mapInArrow(per_batch(build), "doc_id long, score double").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def rejected(scorer: Scorer, text: Column, threshold: float = 0.5) -> Column:
+    """Whether a text scores at least ``threshold``."""
+    model = SparkSession.active().sparkContext.broadcast(scorer)
+
+    @F.pandas_udf("boolean")
+    def judge(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in parts:
+            yield pd.Series([model.value.score(t) >= threshold for t in texts], dtype=bool)
+
+    return judge(text)
