@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator, Sequence
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -159,7 +160,7 @@ def _blocks(items: DataFrame, window: int, most_words: int) -> Iterator[Phrases]
     yield Phrases(block, window)
 
 
-def _search_shard(texts: list[list[bytes]], phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _search_shard(texts: list[list[bytes]], phrases: Phrases | SimpleNamespace) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Document, first word, stop word and phrase of every occurrence in a shard."""
     counts = np.array([len(w) for w in texts], np.int64)
     n = int(counts.sum())
@@ -200,7 +201,7 @@ def _mark(blocks: list[Broadcast], shard_bytes: int):
             change = [np.zeros(len(w) + 1, np.int64) for w in texts]
             items: list[set[int]] = [set() for _ in texts]
             for block in blocks:
-                phrases = block.value
+                phrases = SimpleNamespace(**block.value)
                 doc, first, stop, phrase = _search_shard(texts, phrases)
                 order = np.argsort(doc, kind="stable")
                 begins = np.searchsorted(doc[order], np.arange(len(texts) + 1))
@@ -248,7 +249,7 @@ def contamination(
     rows = id_and_text(docs, id_col, text_col, carry)
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast(p) for p in _blocks(items, window, block_words)]
+    blocks = [context.broadcast(vars(p)) for p in _blocks(items, window, block_words)]
     return rows.mapInArrow(
         _mark(blocks, shard_bytes), carried(
             rows, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<long>, "

@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from sqlyard.llm import leaks, packing, simhash, substring, toxicity
+from sqlyard.llm import leaks, packing, simhash, substring, tokenfiles, toxicity
 from sqlyard.llm.common import table
 
 
+def op2_token_files(spark, sf):
+    return tokenfiles.write_and_read(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("path")
+
+
 def op4_substring_dedup(spark, sf):
     return substring.remove_repeats(table(spark, sf, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -31,7 +35,7 @@ def op10_simhash_near_duplicates(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_substring_dedup, op5_best_fit_packing, op7_benchmark_decontamination, op9_toxicity, op10_simhash_near_duplicates,
+    op2_token_files, op4_substring_dedup, op5_best_fit_packing, op7_benchmark_decontamination, op9_toxicity, op10_simhash_near_duplicates,
 )} | {"pipeline": corpus_pipeline.run}
 
 def _run(words: int) -> str:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pickle
 import string
 import zlib
 from collections.abc import Iterator
@@ -40,10 +39,10 @@ class Model:
     bias: np.ndarray
     window: int
 
-    def scorer(self) -> Scorer:
-        # average and softmax are linear up to the last step, so a word's part of the log-odds is one number
-        part = self.embedding @ (self.weights[:, 1] - self.weights[:, 0])
-        return Scorer(part.astype(np.float64), float(self.bias[1] - self.bias[0]), self.window)
+    def parts(self) -> tuple[np.ndarray, float, int]:
+        """All that scoring needs: average and softmax are linear up to the last step, so a bucket's part of the
+        log-odds is one number."""
+        return self.embedding @ (self.weights[:, 1] - self.weights[:, 0]), float(self.bias[1] - self.bias[0]), self.window
 
 
 def _windows(values: np.ndarray, window: int) -> np.ndarray:
@@ -138,8 +137,8 @@ def held_out(id_col: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % folds == 0, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 12_000, **settings) -> Model:
-    """Trains on labelled rows that are not held out, in one task.
+def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 12_000, **settings) -> tuple[np.ndarray, float, int]:
+    """Trains on labelled rows that are not held out, in one task; returns what a ``Scorer`` is made of.
 
     The sample is bounded: of the labelled rows, the ``most_rows`` whose ids hash smallest, whole texts each.
     """
@@ -151,10 +150,13 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 12_000, **settings)
     def learn(batches):
         table = pa.Table.from_batches(list(batches)).sort_by([("doc_id", "ascending"), ("text", "ascending")])
         model = train(table.column("text").to_pylist(), table.column("toxic").to_pylist(), **settings)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model.scorer())], pa.binary())], ["model"])
+        parts, bias, width = model.parts()
+        yield pa.RecordBatch.from_arrays([pa.array([parts.tobytes()]), pa.array([bias]), pa.array([width])], ["parts", "bias", "width"])
 
-    found = rows.repartition(1).mapInArrow(learn, "model binary").collect()
-    return pickle.loads(found[0]["model"]) if found else train([], [], **settings).scorer()
+    found = rows.repartition(1).mapInArrow(learn, "parts binary, bias double, width long").collect()
+    if not found:
+        return train([], [], **settings).parts()
+    return np.frombuffer(found[0]["parts"], np.float64), found[0]["bias"], found[0]["width"]
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
@@ -164,10 +166,10 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: st
     usable label, or with one class only, every score is that class's. A row's id decides only whether it trains.
     """
     rows = id_and_text(docs, id_col, text_col)
-    scorer = docs.sparkSession.sparkContext.broadcast(fit(rows, labels, **settings))  # one number per bucket
+    parts = docs.sparkSession.sparkContext.broadcast(fit(rows, labels, **settings))  # one number per bucket
 
     def build():
-        model = scorer.value
+        model = Scorer(*parts.value)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             scores = pa.array([model.score(t) for t in batch.column("text").to_pylist()], pa.float64())
@@ -178,13 +180,14 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: st
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def rejected(scorer: Scorer, text: Column, threshold: float = 0.5) -> Column:
-    """Whether a text scores at least ``threshold``."""
-    model = SparkSession.active().sparkContext.broadcast(scorer)
+def rejected(fitted: tuple[np.ndarray, float, int], text: Column, threshold: float = 0.5) -> Column:
+    """Whether a text scores at least ``threshold`` by what ``fit`` returned."""
+    parts = SparkSession.active().sparkContext.broadcast(fitted)
 
     @F.pandas_udf("boolean")
-    def judge(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in parts:
-            yield pd.Series([model.value.score(t) >= threshold for t in texts], dtype=bool)
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = Scorer(*parts.value)
+        for texts in batches:
+            yield pd.Series([model.score(t) >= threshold for t in texts], dtype=bool)
 
     return judge(text)
