@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from sqlyard.llm import leaks, packing, simhash, substring, tokenfiles, toxicity
+from sqlyard.llm import chunks, leaks, packing, simhash, substring, tokenfiles, toxicity
 from sqlyard.llm.common import table
 
 
+def op1_document_fingerprints(spark, sf):
+    return chunks.edit_likeness(table(spark, sf, "documents"))
+
+
 def op2_token_files(spark, sf):
     return tokenfiles.write_and_read(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("path")
 
@@ -35,7 +39,7 @@ def op10_simhash_near_duplicates(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_token_files, op4_substring_dedup, op5_best_fit_packing, op7_benchmark_decontamination, op9_toxicity, op10_simhash_near_duplicates,
+    op1_document_fingerprints, op2_token_files, op4_substring_dedup, op5_best_fit_packing, op7_benchmark_decontamination, op9_toxicity, op10_simhash_near_duplicates,
 )} | {"pipeline": corpus_pipeline.run}
 
 def _run(words: int) -> str:
