@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from sqlyard.llm import chunks, leaks, packing, simhash, substring, tokenfiles, toxicity
+from sqlyard.llm import chunks, leaks, packing, pages, simhash, substring, tokenfiles, toxicity
 from sqlyard.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op5_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_main_text(spark, sf):
+    return pages.main_text(table(spark, sf, "pages"))
+
+
 def op7_benchmark_decontamination(spark, sf):
     found = leaks.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -39,7 +43,7 @@ def op10_simhash_near_duplicates(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_document_fingerprints, op2_token_files, op4_substring_dedup, op5_best_fit_packing, op7_benchmark_decontamination, op9_toxicity, op10_simhash_near_duplicates,
+    op1_document_fingerprints, op2_token_files, op4_substring_dedup, op5_best_fit_packing, op6_main_text, op7_benchmark_decontamination, op9_toxicity, op10_simhash_near_duplicates,
 )} | {"pipeline": corpus_pipeline.run}
 
 def _run(words: int) -> str:
