@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from sqlyard.llm import chunks, leaks, packing, pages, simhash, substring, tokenfiles, toxicity
+from sqlyard.llm import chunks, leaks, lm, packing, pages, simhash, substring, tokenfiles, toxicity
 from sqlyard.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op2_token_files(spark, sf):
     return tokenfiles.write_and_read(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("path")
 
 
+def op3_masked_likelihood(spark, sf):
+    return lm.score(table(spark, sf, "documents"))
+
+
 def op4_substring_dedup(spark, sf):
     return substring.remove_repeats(table(spark, sf, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -43,7 +47,7 @@ def op10_simhash_near_duplicates(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_document_fingerprints, op2_token_files, op4_substring_dedup, op5_best_fit_packing, op6_main_text, op7_benchmark_decontamination, op9_toxicity, op10_simhash_near_duplicates,
+    op1_document_fingerprints, op2_token_files, op3_masked_likelihood, op4_substring_dedup, op5_best_fit_packing, op6_main_text, op7_benchmark_decontamination, op9_toxicity, op10_simhash_near_duplicates,
 )} | {"pipeline": corpus_pipeline.run}
 
 def _run(words: int) -> str:
