@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from sqlyard.llm import chunks, leaks, lm, packing, pages, simhash, substring, tokenfiles, toxicity
+from sqlyard.llm import chunks, edits, leaks, lm, packing, pages, simhash, substring, tokenfiles, toxicity
 from sqlyard.llm.common import table
 
 
@@ -38,6 +38,11 @@ def op7_benchmark_decontamination(spark, sf):
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op8_edited_token_counts(spark, sf):
+    return edits.count_edits(
+        table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op9_toxicity(spark, sf):
     return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -47,7 +52,7 @@ def op10_simhash_near_duplicates(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_document_fingerprints, op2_token_files, op3_masked_likelihood, op4_substring_dedup, op5_best_fit_packing, op6_main_text, op7_benchmark_decontamination, op9_toxicity, op10_simhash_near_duplicates,
+    op1_document_fingerprints, op2_token_files, op3_masked_likelihood, op4_substring_dedup, op5_best_fit_packing, op6_main_text, op7_benchmark_decontamination, op8_edited_token_counts, op9_toxicity, op10_simhash_near_duplicates,
 )} | {"pipeline": corpus_pipeline.run}
 
 def _run(words: int) -> str:
