@@ -52,9 +52,11 @@ def op10_simhash_near_duplicates(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_document_fingerprints, op2_token_files, op3_masked_likelihood, op4_substring_dedup, op5_best_fit_packing, op6_main_text, op7_benchmark_decontamination, op8_edited_token_counts, op9_toxicity, op10_simhash_near_duplicates,
+    op1_document_fingerprints, op2_token_files, op3_masked_likelihood, op4_substring_dedup, op5_best_fit_packing, op6_main_text,
+    op7_benchmark_decontamination, op8_edited_token_counts, op9_toxicity, op10_simhash_near_duplicates,
 )} | {"pipeline": corpus_pipeline.run}
 
+
 def _run(words: int) -> str:
     """SQL for a word and those after it as a list; without the missing ones at a document's end."""
     ahead = ", ".join(["word", *(f"lead(word, {j}) OVER ahead" for j in range(1, words))])

@@ -148,7 +148,10 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 12_000, **settings)
     rows = id_and_text(docs).join(chosen, "doc_id").select("doc_id", "text", "toxic")
 
     def learn(batches):
-        table = pa.Table.from_batches(list(batches)).sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held).sort_by([("doc_id", "ascending"), ("text", "ascending")])
         model = train(table.column("text").to_pylist(), table.column("toxic").to_pylist(), **settings)
         parts, bias, width = model.parts()
         yield pa.RecordBatch.from_arrays([pa.array([parts.tobytes()]), pa.array([bias]), pa.array([width])], ["parts", "bias", "width"])
