@@ -23,9 +23,10 @@ _MANIFEST = "part int, path string, n_docs long, n_tokens long"
 
 
 def sequences_schema(length: int, width: int) -> pa.Schema:
-    """``ids``: ``length`` unsigned numbers of ``width`` bytes; ``mask``: 1 where an id stands, 0 where the last row is filled up."""
+    """``ids``: ``length`` unsigned numbers of ``width`` bytes; ``mask``: a bit each, set where an id stands, not where the last
+    rows are filled up."""
     kind = {2: pa.uint16(), 4: pa.uint32()}[width]
-    return pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length))], {"length": str(length)})
+    return pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length))], {"length": str(length)})
 
 
 class SequenceWriter:
@@ -51,7 +52,7 @@ class SequenceWriter:
             self.parts, self.held = [rest], len(rest)
 
     def _batch(self, flat: np.ndarray, used: int) -> None:
-        mask = (np.arange(len(flat)) < used).astype(np.uint8)
+        mask = np.arange(len(flat)) < used
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), type=f.type) for x, f in zip((flat, mask), self.schema)]
         self.writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
 
@@ -91,11 +92,10 @@ class SequenceFile:
     def __len__(self) -> int:
         return self.batches * self.rows
 
-    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence ``i``, views into the file."""
-        batch, row = self.batch(i // self.rows), i % self.rows
-        span = slice(row * self.length, (row + 1) * self.length)
-        return tuple(c.flatten().to_numpy(zero_copy_only=True)[span] for c in batch.columns)
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of sequence ``i``, both views into the file; the mask is an Arrow array, since numpy has no bits."""
+        ids, mask = (c.values.slice(i % self.rows * self.length, self.length) for c in self.batch(i // self.rows).columns)
+        return ids.to_numpy(zero_copy_only=True), mask
 
     def span(self, first: int, count: int) -> np.ndarray:
         """Ids ``first`` to ``first + count`` of the file's stream, whatever rows they lie in."""
