@@ -18,15 +18,17 @@ def clean_predictions(predictions: DataFrame, raw: str = "raw_text") -> DataFram
     return predictions.withColumn("predicted_sql", clean_prediction(text_or_empty(raw))).drop(raw)
 
 
-def join_gold(predictions: DataFrame, examples: DataFrame, *extra: str) -> DataFrame:
-    """Cleaned predictions beside their example's gold text, both normalised.
+def join_gold(
+    predictions: DataFrame, examples: DataFrame, *extra: str, keywords: list[str] | None = None
+) -> DataFrame:
+    """Cleaned predictions beside their example's gold text, both normalised, with ``keywords`` instead of the fixed list.
 
     Gold is normalised before the join: once per example, not once per model.
     """
-    gold = examples.select("ex_id", "gold_sql", *extra).withColumn("gold_norm", normalize_sql("gold_sql"))
+    gold = examples.select("ex_id", "gold_sql", *extra).withColumn("gold_norm", normalize_sql("gold_sql", keywords))
     return (
         predictions.join(gold, "ex_id")
-        .withColumn("pred_norm", normalize_sql("predicted_sql"))
+        .withColumn("pred_norm", normalize_sql("predicted_sql", keywords))
     )
 
 
@@ -74,7 +76,9 @@ def classify_errors(joined: DataFrame) -> DataFrame:
     return joined.withColumn("error_type", F.when(~exact_match(), kind)).drop("run_error")
 
 
-def score(predictions: DataFrame, examples: DataFrame, outcomes: DataFrame | None = None) -> DataFrame:
+def score(
+    predictions: DataFrame, examples: DataFrame, outcomes: DataFrame | None = None, keywords: list[str] | None = None
+) -> DataFrame:
     """Result records of raw predictions ``(ex_id, model, raw_text)``, any number of models at once.
 
     ``outcomes`` is ``(ex_id, model, result_equal, run_error)``; without it ``execution_accuracy`` is
@@ -89,7 +93,7 @@ def score(predictions: DataFrame, examples: DataFrame, outcomes: DataFrame | Non
     else:
         cleaned = cleaned.withColumn("run_error", F.lit(None).cast("string"))
         executed = F.lit(None).cast("boolean")
-    classed = classify_errors(join_gold(cleaned, examples, "question"))
+    classed = classify_errors(join_gold(cleaned, examples, "question", keywords=keywords))
     return with_bleu(classed, "pred_norm", "gold_norm").select(
         "ex_id", "model", "question", "gold_sql", "predicted_sql",
         exact_match().alias("exact_match"),

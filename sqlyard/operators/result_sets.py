@@ -5,14 +5,16 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
-from pyspark.errors import PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors.exceptions.captured import convert_exception
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from sqlyard.functions import fixed
 from sqlyard.functions.text import col
-from sqlyard.schemas import CAPTURED_ROWS, CAPTURED_STATUS
+from sqlyard.schemas import CAPTURED_STATUS
 from sqlyard.session import work_folder
 
 PRED, GOLD = "pred", "gold"
@@ -120,61 +122,90 @@ def row_text(df: DataFrame) -> Column:
 
 # ---- running query texts ----------------------------------------------------------------------
 
-_READS_ONLY = re.compile(r"\s*(select|with)\b", re.IGNORECASE)
+_QUOTED = re.compile(r"""'(?:[^'\\\\]|\\\\.)*'|"(?:[^"\\\\]|\\\\.)*"|`[^`]*`|--[^\r\n]*|/\*.*?\*/""", re.DOTALL)
 _REFUSED = re.compile(r"\b(reflect|java_method|try_reflect)\s*\(", re.IGNORECASE)
 
 
 def is_safe_query(text: str) -> bool:
-    """Only texts that start as a query and call no JVM method by name may run."""
-    return bool(_READS_ONLY.match(text)) and not _REFUSED.search(text)
+    """Whether a text may run as a subquery: outside quotes and comments its brackets close only what it opened, it is one
+    statement, and it calls no JVM method by name."""
+    bare, depth = _QUOTED.sub(" ", text), 0
+    for mark in re.findall(r"[()]", bare):
+        depth += 1 if mark == "(" else -1
+        if depth < 0:
+            return False
+    return ";" not in bare and not _REFUSED.search(bare)
+
+
+def _as_query(own: SparkSession, text: str) -> DataFrame:
+    """The text as a subquery, where the parser takes nothing that writes; and no command in what it parsed to."""
+    wrapped = f"SELECT * FROM (\n{text}\n)"
+    nodes = [own._jsparkSession.sessionState().sqlParser().parsePlan(wrapped)]
+    while nodes:
+        node = nodes.pop()
+        if re.search("Command|Insert|Create|Drop|Delete|Merge|Update|Script", node.getClass().getSimpleName()):
+            raise AnalysisException("only queries run", errorClass="REFUSED")
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return own.sql(wrapped)
 
 
 def capture_queries(
     spark: SparkSession, queries: Iterable[tuple[int, str, str, str]],
     register: Callable[[SparkSession], None], folder: str | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Run query texts; return their rows and their outcomes as stored tables.
-
-    ``queries`` yields ``(ex_id, model, side, text)``. Equal texts run once. Each distinct text is
-    one Spark job started from here, so this suits a list of hundreds; result rows go from the
-    tasks to ``folder`` and never through the driver. Texts run in a session of their own, in which
-    ``register`` creates the views they may read.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Run query texts, read-only; return ``(rows, uses, status)``.
+
+    ``queries`` yields ``(ex_id, model, side, text)``. Equal texts run once, and ``rows`` ``(text_no, row_text)`` holds their
+    rows once; ``uses`` ``(ex_id, model, side, text_no)`` says who asked for which. Each distinct text is one Spark job
+    started from here, so this is for a bounded list of hundreds; result rows go from the tasks to ``folder``
+    and never through the driver. Texts run in a session of their own, in which ``register`` creates the views
+    they may read. A text that is no plain query does not run and counts as failed.
     """
     folder = folder or work_folder(spark, "captured")
-    uses: dict[str, list[tuple[int, str, str]]] = {}
+    numbers: dict[str, int] = {}
+    uses = []
     for ex_id, model, side, text in queries:
-        uses.setdefault(text.strip().rstrip(";").strip(), []).append((ex_id, model, side))
+        text = text.strip().rstrip(";").strip()
+        uses.append((ex_id, model, side, numbers.setdefault(text, len(numbers))))
 
     own = spark.newSession()
     own.conf.set("spark.sql.runSQLOnFiles", "false")
     register(own)
-    stored, outcomes = [], []
-    for number, (text, users) in enumerate(uses.items()):
-        path = f"{folder}/text={number}"
-        error = _store_result(own, text, users, path)
-        if error is None:
-            stored.append(path)
-        outcomes += [(*user, error is None, error) for user in users]
-    status = spark.createDataFrame(outcomes, CAPTURED_STATUS)
-    if not stored:
-        return spark.createDataFrame([], CAPTURED_ROWS), status
-    return spark.read.schema(CAPTURED_ROWS).parquet(*stored), status
-
-
-def _store_result(own: SparkSession, text: str, users: list[tuple[int, str, str]], path: str) -> str | None:
-    """Write a text's rows once per user; return the error condition, or None when all went well."""
+    errors = {number: _store_result(own, text, number, f"{folder}/text={number}") for text, number in numbers.items()}
+    status = spark.createDataFrame([(e, m, s, errors[n] is None, errors[n]) for e, m, s, n in uses], CAPTURED_STATUS)
+    stored = [f"{folder}/text={number}" for number, error in errors.items() if error is None]
+    schema = "text_no long, row_text string"
+    rows = spark.read.schema(schema).parquet(*stored) if stored else spark.createDataFrame([], schema)
+    return rows, spark.createDataFrame(uses, "ex_id long, model string, side string, text_no long"), status
+
+
+def _store_result(own: SparkSession, text: str, number: int, path: str) -> str | None:
+    """Write a text's rows; return the error condition, or None when all went well."""
     if not is_safe_query(text):
         return "REFUSED"
-    user = F.explode(F.array(*[
-        F.struct(F.lit(e).cast("long").alias("ex_id"), F.lit(m).alias("model"), F.lit(s).alias("side"))
-        for e, m, s in users
-    ]))
     try:
-        result = own.sql(text)
+        result = _as_query(own, text)
         # column names may repeat in a result; rows are compared by position
         result = result.toDF(*[f"c{i}" for i in range(len(result.columns))])
-        rendered = result.select(row_text(result).alias("row_text"), user.alias("user"))
-        rendered.select("user.ex_id", "user.model", "user.side", "row_text").write.mode("overwrite").parquet(path)
-    except PySparkException as failure:
-        return failure.getCondition() or type(failure).__name__
+        result.select(F.lit(number).cast("long").alias("text_no"), row_text(result).alias("row_text")).write.mode("overwrite").parquet(path)
+    except (PySparkException, Py4JJavaError) as failure:
+        found = failure if isinstance(failure, PySparkException) else convert_exception(failure.java_exception)
+        return found.getCondition() or type(found).__name__
     return None
+
+
+def captured_outcomes(rows: DataFrame, uses: DataFrame, status: DataFrame) -> DataFrame:
+    """``(ex_id, model, result_equal, run_error)`` from captured texts; each distinct pair of texts is compared once."""
+    keys, text_of = ("gold_no", "pred_no"), {s: F.max(F.when(F.col("side") == s, F.col("text_no"))) for s in (GOLD, PRED)}
+    asked = uses.groupBy("ex_id", "model").agg(text_of[GOLD].alias("gold_no"), text_of[PRED].alias("pred_no"))
+    pairs = asked.select(*keys).distinct()
+    parts = _weighted(pairs, keys, F.lit(0), is_pair=True)
+    for no, weight in (("gold_no", -1), ("pred_no", 1)):
+        parts = parts.unionByName(_weighted(
+            pairs.join(rows.withColumnRenamed("text_no", no), no), keys, F.lit(weight), F.col("row_text")))
+    equal = _verdicts(parts, keys).select(*keys, "result_equal")
+    code = F.max(F.when(F.col("side") == PRED, _error_code(F.when(~F.col("ok"), F.coalesce("error", F.lit("unknown"))))))
+    ran = status.groupBy("ex_id", "model").agg(F.bool_and("ok").alias("_ok"), code.alias("_error"))
+    return asked.join(equal, list(keys), "left").join(ran, ["ex_id", "model"]).select(
+        "ex_id", "model", (F.col("_ok") & F.coalesce("result_equal", F.lit(True))).alias("result_equal"),
+        _error_name("_error").alias("run_error"))

@@ -99,7 +99,7 @@ def clean_predictions(spark, sf):
 
 
 def clean_documents(spark, sf):
-    docs = derived.dealt(spark, sf, "documents")
+    docs = derived.table(spark, sf, "documents")
     return docs.select("doc_id", clean_prediction("text").alias("cleaned"))
 
 
@@ -108,7 +108,7 @@ def normalized_predictions(spark, sf):
 
 
 def normalized_documents(spark, sf):
-    return derived.dealt(spark, sf, "documents").select("doc_id", normalize_sql("text").alias("norm"))
+    return derived.table(spark, sf, "documents").select("doc_id", normalize_sql("text").alias("norm"))
 
 
 def ddl_statement_rows(spark, sf):
@@ -217,7 +217,12 @@ def comparison_records(spark, sf):
 
 
 def sample_predictions(spark, sf):
-    return sampling.first_rows(comparison_records(spark, sf), 5, "ex_id").select(
+    """The first five examples that both models answered: chosen by key, then joined and cleaned."""
+    answers = derived.predictions(spark, sf)
+    both = answers.groupBy("ex_id").agg(F.count_distinct("model").alias("models")).where("models = 2").select("ex_id")
+    first = F.broadcast(sampling.first_rows(both, 5, "ex_id"))  # five keys
+    found = evaluation.score(answers.join(first, "ex_id", "left_semi"), derived.gold(spark, sf).join(first, "ex_id", "left_semi"))
+    return reports.comparison_records(found, BASE, TUNED).select(
         "ex_id", "question", "gold_sql", "base_prediction", "finetuned_prediction"
     )
 
@@ -279,8 +284,8 @@ def run_history(spark, sf):
 def plateau_stream_rows(spark, sf):
     """The events read as a stream to its end; the rows it wrote are the result."""
     schema = derived.table(spark, sf, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    events = source.option("maxFilesPerTrigger", 64).parquet(sf)  # bounds a run's rows per batch
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)  # bounds a run's rows per batch
+    events = source.parquet(_as_source(sf, "events"))
     log = events.select(
         F.col("user_id").cast("string").alias("run_id"), F.col("event_id").alias("step"),
         F.col("value").alias("eval_loss"),
@@ -291,13 +296,18 @@ def plateau_stream_rows(spark, sf):
 def exact_match_stream(spark, sf):
     """Clean-up, normalising and exact match on a stream: the same column functions, no state."""
     schema = derived.table(spark, sf, "documents").schema
-    docs = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    docs = spark.readStream.schema(schema).parquet(_as_source(sf, "documents"))
     matched = docs.select(
         "doc_id", (normalize_sql(clean_prediction("text")) == normalize_sql("text")).alias("exact_match")
     )
     return _run_stream(spark, matched, "exact-match")
 
 
+def _as_source(sf: str, name: str) -> str:
+    """A table's path as a stream source takes it: a pattern that fits one file and a folder of part files alike."""
+    return f"{sf}/{name}.parque[t]"
+
+
 def _run_stream(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     folder = work_folder(spark, name)
     query = (
@@ -381,6 +391,11 @@ EXEC_PAIRS = [
     ("SELECT COUNT(*) FROM orders", "SELECT SUM(o_total) FROM orders"),
     ("SELECT COUNT(*) FROM orders", "SELECT MAX(CAST(o_orderpriority AS INT)) FROM orders"),
     ("SELECT COUNT(*) FROM orders", "SELECT COUNT(* FROM orders"),
+    ("SELECT COUNT(*) FROM region", "WITH x AS (SELECT * FROM region) INSERT INTO region SELECT * FROM x"),
+    ("SELECT COUNT(*) FROM region", "/* all of them */ SELECT COUNT(*) FROM region -- done"),
+    ("SELECT COUNT(*) FROM nation", "(SELECT COUNT(*) FROM nation)"),
+    ("SELECT r_name FROM region", "SELECT r_name FROM region WHERE r_name <> 'reflect('"),
+    ("SELECT r_name FROM region", "SELECT r_name FROM region) x, (SELECT 1"),
 ]
 
 
@@ -395,9 +410,7 @@ def exec_pairs(spark, sf):
         (i, "model", side, text)
         for i, (gold, pred) in enumerate(EXEC_PAIRS) for side, text in (("gold", gold), ("pred", pred))
     ]
-    rows, status = result_sets.capture_queries(spark, texts, register)
-    pairs = status.where(F.col("side") == "pred").select("ex_id", "model")
-    return result_sets.outcomes(pairs, rows, status)
+    return result_sets.captured_outcomes(*result_sets.capture_queries(spark, texts, register))
 
 
 QUERIES: dict[str, Query] = {

@@ -6,11 +6,10 @@ size and the work on it grow with that table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sqlyard.functions.text import normalize_sql
-from sqlyard.sources.tables import spread
 
 MODELS = ["base", "tuned"]  # their position is also the shift of their prediction form
 
@@ -28,11 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table for work that costs much per row: dealt out when it reads in fewer tasks than there are cores."""
-    return spread(table(spark, sf_dir, name))
-
-
 def _text(*parts) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
@@ -40,7 +34,7 @@ def _text(*parts) -> Column:
 def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw examples ``(ex_id, question, context, answer)``, one per order."""
     k = F.col("o_orderkey")
-    return dealt(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         k.alias("ex_id"),
         _text(" How many lines has order ", k, "? ").alias("question"),
         F.lit("CREATE TABLE lineitem (l_orderkey INT, l_linenumber INT, l_quantity REAL);").alias("context"),
@@ -80,7 +74,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.when(F.col("form") == 0, forms[0])
     for i, form in enumerate(forms[1:], 1):
         raw = raw.when(F.col("form") == i, form)
-    keys = dealt(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ex_id"))
+    keys = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ex_id"))
     return _with_models(keys).select("ex_id", "model", raw.alias("raw_text"))
 
 
@@ -114,7 +108,7 @@ def exec_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = (
         F.when((k % 3 == 0) & (F.col("l_linenumber") == 1), 0).when(k % 5 == 0, 2).otherwise(1)
     )
-    return dealt(spark, sf_dir, "lineitem").select(
+    return table(spark, sf_dir, "lineitem").select(
         k.alias("ex_id"), F.col("l_linenumber").cast("string").alias("row_text"),
         F.inline(F.concat(
             F.array(made("base", "gold"), made("base", "pred"), made("tuned", "gold")),
@@ -148,12 +142,13 @@ def long_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     session's limit.
     """
     items = table(spark, sf_dir, "benchmark")
+    items = items.withColumn("place", F.row_number().over(Window.orderBy("item_id")) - 1)  # a bounded list of test items
     size = items.agg(F.count("*")).scalar()
-    docs = dealt(spark, sf_dir, "documents").select(
-        "doc_id", (F.col("doc_id") % size).alias("item_id"), normalize_sql("text").alias("pred_norm")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.col("doc_id") % size).alias("place"), normalize_sql("text").alias("pred_norm")
     )
-    gold_texts = items.select("item_id", normalize_sql("text").alias("gold_norm"))
-    return docs.join(gold_texts, "item_id").select("doc_id", "pred_norm", "gold_norm")
+    gold_texts = items.select("place", normalize_sql("text").alias("gold_norm"))
+    return docs.join(gold_texts, "place").select("doc_id", "pred_norm", "gold_norm")
 
 
 class FirstTablePredictor:

@@ -113,18 +113,19 @@ def _bleu(source: str, keys: str) -> str:
     """CTEs that end in ``bleu_rows(keys, bleu)`` for ``source(keys, pred_norm, gold_norm)``."""
     on = " AND ".join(f"w.{k.strip()} = h.{k.strip()}" for k in keys.split(","))
     w_keys = ", ".join(f"w.{k.strip()}" for k in keys.split(","))
-    return f"""words AS (
+    side = "SELECT {keys}, '{s}' AS side, unnest({ws}) AS word, unnest(range(len({ws}))) AS i FROM words"
+    gram = ", ".join(["word AS g1", *(
+        "word" + "".join(f" || ' ' || lead(word, {j}) OVER ahead" for j in range(1, n)) + f" AS g{n}" for n in (2, 3, 4))])
+    return f"""words AS MATERIALIZED (
     SELECT {keys}, CASE WHEN pred_norm = '' THEN [] ELSE string_split(pred_norm, ' ') END AS pw,
         CASE WHEN gold_norm = '' THEN [] ELSE string_split(gold_norm, ' ') END AS gw
     FROM {source}
+), placed AS (
+    {side.format(keys=keys, s='p', ws='pw')} UNION ALL {side.format(keys=keys, s='g', ws='gw')}
+), runs AS (
+    SELECT {keys}, side, {gram} FROM placed WINDOW ahead AS (PARTITION BY {keys}, side ORDER BY i)
 ), grams AS (
-    SELECT {keys}, n, 'p' AS side, unnest(list_transform(range(1, len(pw) - n + 2),
-        lambda i: array_to_string(pw[i:i + n - 1], ' '))) AS gram
-    FROM words, (VALUES (1), (2), (3), (4)) o(n)
-    UNION ALL
-    SELECT {keys}, n, 'g', unnest(list_transform(range(1, len(gw) - n + 2),
-        lambda i: array_to_string(gw[i:i + n - 1], ' ')))
-    FROM words, (VALUES (1), (2), (3), (4)) o(n)
+    {' UNION ALL '.join(f'SELECT {keys}, side, {n} AS n, g{n} AS gram FROM runs WHERE g{n} IS NOT NULL' for n in (1, 2, 3, 4))}
 ), counted AS (
     SELECT {keys}, n, gram, count(*) FILTER (side = 'p') AS cp, count(*) FILTER (side = 'g') AS cg
     FROM grams GROUP BY ALL
@@ -278,8 +279,9 @@ _FIRST_EXAMPLE = "(SELECT * FROM ex ORDER BY ex_id LIMIT 1)"
 
 def _exec_pairs() -> str:
     rows = []
+    failing = {6: "'wrong_table'", 7: "'wrong_column'"} | dict.fromkeys((8, 9, 10, 14), "'runtime_error'")
     for i, (gold, pred) in enumerate(EXEC_PAIRS):
-        error = {6: "'wrong_table'", 7: "'wrong_column'", 8: "'runtime_error'", 9: "'runtime_error'"}.get(i, "NULL")
+        error = failing.get(i, "NULL")
         gold, pred = gold.rstrip(";"), pred.rstrip(";")
         if error != "NULL":
             equal = "false"
@@ -287,7 +289,7 @@ def _exec_pairs() -> str:
             equal = "false"  # columns swapped: (text, number) against (number, text)
         else:
             equal = (
-                f"(SELECT count(*) = 0 FROM ((({gold}) EXCEPT ALL ({pred})) UNION ALL (({pred}) EXCEPT ALL ({gold}))))"
+                f"(SELECT count(*) = 0 FROM ((({gold}\n) EXCEPT ALL ({pred}\n)) UNION ALL (({pred}\n) EXCEPT ALL ({gold}\n))))"
             )
         rows.append(f"SELECT CAST({i} AS BIGINT) AS ex_id, 'model' AS model, {equal} AS result_equal, "
                     f"CAST({error} AS VARCHAR) AS run_error")
@@ -361,7 +363,8 @@ QUERIES: dict[str, str] = {
         + f"SELECT ex_id, model, {_round('bleu', 6)} AS bleu FROM bleu_rows",
     "bleu_text": _with(
         f"""pairs AS (SELECT d.doc_id, {_norm('d."text"')} AS pred_norm, {_norm('b."text"')} AS gold_norm
-        FROM documents d JOIN benchmark b ON b.item_id = d.doc_id % (SELECT count(*) FROM benchmark))""",
+        FROM documents d JOIN (SELECT *, row_number() OVER (ORDER BY item_id) - 1 AS place FROM benchmark) b
+            ON b.place = d.doc_id % (SELECT count(*) FROM benchmark))""",
         _bleu("pairs", "doc_id"),
     ) + f"SELECT doc_id, {_round('bleu', 6)} AS bleu FROM bleu_rows",
     "result_equality": _with(KEYS, EXEC) + "SELECT ex_id, model, result_equal FROM executed",

@@ -25,16 +25,6 @@ def _load(path: str, load) -> DataFrame:
         raise
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Deal out a stored table that reads in fewer tasks than the session has cores, before heavy work.
-
-    For scans only. A table of many files already reads in more tasks than that and stays as it is,
-    so large inputs are never shuffled here.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
-
-
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema else spark.read
     return _load(path, lambda: reader.parquet(path))
@@ -48,7 +38,7 @@ def read_examples(spark: SparkSession, path: str) -> DataFrame:
     """Raw examples from parquet or JSON lines, told apart by the path's ending."""
     if path.rstrip("/").endswith((".json", ".jsonl")):
         return read_jsonl(spark, path, schemas.RAW_EXAMPLES)
-    return read_parquet(spark, path)
+    return read_parquet(spark, path, schemas.RAW_EXAMPLES)
 
 
 def write_splits(prepared: DataFrame, folder: str) -> None:

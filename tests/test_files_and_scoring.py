@@ -60,12 +60,6 @@ def test_report_readback_fills_gaps(spark, tmp_path):
     assert [(r["error_type"], r["n"]) for r in tables.error_counts(back).where("model = 'm'").collect()] == [("logic_error", 2), ("unknown", 1)]
 
 
-def test_spread_leaves_split_tables_alone(spark, sf):
-    wide = spark.range(0, 100, 1, 9)
-    assert tables.spread(wide) is wide
-    assert tables.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-
-
 class NoSetting:
     """As much of a session as ``work_folder`` looks at, without a checkpoint setting."""
 

@@ -117,29 +117,43 @@ def test_same_rows(spark):
     assert not same(split_one, split_two)
 
 
-def test_capture(spark):
+def test_capture(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/kept.parquet")
+
     def register(own):
         own.range(5).createOrReplaceTempView("five")
-
-    texts = [
-        (1, "m", "gold", "SELECT id FROM five"), (1, "m", "pred", "select id from five order by id desc;"),
-        (2, "m", "gold", "SELECT id FROM five"), (2, "m", "pred", "SELECT id FROM six"),
-        (3, "m", "gold", "SELECT id FROM five"), (3, "m", "pred", "DROP VIEW five"),
-        (4, "m", "gold", "SELECT 1 AS a, 2 AS a"), (4, "m", "pred", "SELECT 1, 2"),
-        (5, "m", "gold", "SELECT id FROM five"), (5, "m", "pred", "SELECT nope FROM five"),
-        (6, "m", "gold", "SELECT id FROM five"), (6, "m", "pred", "SELECT java_method('java.util.UUID', 'randomUUID')"),
-        (7, "m", "gold", "SELECT id FROM five"), (7, "m", "pred", "SELECT * FROM parquet.`/root/testdata/sf0.001/region.parquet`"),
-        (8, "m", "gold", "SELECT id FROM five WHERE id > 9"), (8, "m", "pred", "SELECT id, id FROM five WHERE id > 99"),
+        own.read.parquet(f"{tmp_path}/kept.parquet").createOrReplaceTempView("kept")
+
+    five, kept = "SELECT id FROM five", "SELECT id FROM kept"
+    pairs = [
+        (five, "select id from five order by id desc;", (True, None)),
+        (five, "SELECT id FROM six", (False, "wrong_table")),
+        (five, "DROP VIEW five", (False, "runtime_error")),
+        ("SELECT 1 AS a, 2 AS a", "SELECT 1, 2", (True, None)),
+        (five, "SELECT nope FROM five", (False, "wrong_column")),
+        (five, "SELECT java_method('java.util.UUID', 'randomUUID')", (False, "runtime_error")),
+        (five, "SELECT * FROM parquet.`/root/testdata/sf0.001/region.parquet`", (False, "any")),
+        ("SELECT id FROM five WHERE id > 9", "SELECT id, id FROM five WHERE id > 99", (True, None)),
+        (kept, "WITH x AS (SELECT * FROM kept) INSERT INTO kept SELECT * FROM x", (False, "runtime_error")),
+        (kept, "WITH x AS (SELECT * FROM kept) INSERT OVERWRITE kept SELECT * FROM x LIMIT 1", (False, "runtime_error")),
+        (kept, "SELECT 1) x; DROP VIEW kept; SELECT * FROM (SELECT 1", (False, "runtime_error")),
+        (kept, "FROM kept INSERT INTO kept SELECT *", (False, "any")),
+        (five, "/* all */ SELECT id FROM five -- done", (True, None)),
+        (five, "(SELECT id FROM five)", (True, None)),
+        ("SELECT ';)' AS a", "SELECT concat(';', ')')", (True, None)),
+        ("SELECT 'reflect(' AS a", "SELECT 'reflect' || '('", (True, None)),
+        (five, "SELECT id FROM five", (True, None)),
     ]
-    rows, status = result_sets.capture_queries(spark, texts, register)
-    pairs = status.where("side = 'pred'").select("ex_id", "model")
-    got = {r["ex_id"]: (r["result_equal"], r["run_error"]) for r in result_sets.outcomes(pairs, rows, status).collect()}
-    assert got == {
-        1: (True, None), 2: (False, "wrong_table"), 3: (False, "runtime_error"), 4: (True, None),
-        5: (False, "wrong_column"), 6: (False, "runtime_error"), 7: (False, got[7][1]), 8: (True, None),
-    }
-    assert got[7][1] is not None
-    assert rows.where("ex_id = 1").count() == 10
+    texts = [(i, "m", side, text) for i, (gold, pred, _) in enumerate(pairs) for side, text in (("gold", gold), ("pred", pred))]
+    rows, uses, status = result_sets.capture_queries(spark, texts, register)
+    found = result_sets.captured_outcomes(rows, uses, status).collect()
+    got = {r["ex_id"]: (r["result_equal"], r["run_error"]) for r in found}
+    for i, (_, pred, (equal, error)) in enumerate(pairs):
+        assert got[i][0] == equal, pred
+        assert got[i][1] is not None if error == "any" else got[i][1] == error, pred
+    assert rows.join(uses.where("ex_id = 0"), "text_no").count() == 10
+    assert rows.join(uses.where(f"ex_id = {len(pairs) - 1} AND side = 'gold'"), "text_no").count() == 5
+    assert spark.read.parquet(f"{tmp_path}/kept.parquet").count() == 3
     assert not spark.catalog.tableExists("five")
 
 

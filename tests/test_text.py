@@ -23,14 +23,28 @@ CLEAN = [
 ]
 
 
-def plain_clean(s):
-    """The rules in plain Python, for comparison."""
-    s = s.strip()
-    s = re.sub(r"^```\w*\s*", "", s)
-    s = re.sub(r"\s*```\s*$", "", s).strip()
+def scanned(s):
+    """What should be left, found by looking at one character after another."""
+    def trim(first, stop):
+        while first < stop and s[first].isspace():
+            first += 1
+        while stop > first and s[stop - 1].isspace():
+            stop -= 1
+        return first, stop
+
+    first, stop = trim(0, len(s))
+    if s.startswith("```", first, stop):
+        first += 3
+        while first < stop and (s[first].isalnum() or s[first] == "_"):
+            first += 1
+        first, _ = trim(first, stop)
+    if stop - first >= 3 and s.endswith("```", first, stop):
+        stop -= 3
+    first, stop = trim(first, stop)
     for mark in ("###", "\n\n", ";"):
-        s = s.split(mark)[0].strip()
-    return s
+        at = next((i for i in range(first, stop) if s.startswith(mark, i, stop)), stop)
+        first, stop = trim(first, at)
+    return s[first:stop]
 
 
 def test_blanks_are_pythons():
@@ -42,7 +56,7 @@ def test_blanks_are_pythons():
 def test_clean_prediction(eval_column):
     got = eval_column([(i,) for i, _ in CLEAN], ["s"], T.clean_prediction("s"))
     assert got == [o for _, o in CLEAN]
-    assert got == [plain_clean(i) for i, _ in CLEAN]
+    assert got == [scanned(i) for i, _ in CLEAN]
 
 
 pieces = st.lists(st.sampled_from(
@@ -53,7 +67,7 @@ pieces = st.lists(st.sampled_from(
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(pieces, min_size=40, max_size=40))
 def test_clean_prediction_like_python(eval_column, texts):
-    assert eval_column([(t,) for t in texts], ["s"], T.clean_prediction("s")) == [plain_clean(t) for t in texts]
+    assert eval_column([(t,) for t in texts], ["s"], T.clean_prediction("s")) == [scanned(t) for t in texts]
 
 
 @pytest.mark.parametrize("sql,want", [
