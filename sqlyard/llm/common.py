@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -88,60 +89,100 @@ def run_hashes(h: np.ndarray, length: int, seed: int) -> np.ndarray:
     return mix(out)
 
 
-#: A space between two characters that are no white space: no pre-token of the byte-level and word-level
-#: vocabularies reaches over it to the left, so texts may be encoded in the parts between.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+_L = "A-Za-zªµºÀ-ÖØ-öø-ÿ"  # all letters of Latin-1
+#: Parts of a Latin-1 text at which the byte-level and word-level pre-tokenizers always cut: a run of letters with the blank
+#: before it, and what lies between two of them. Letters after an apostrophe or two white spaces stay with those, since
+#: a contraction or the end of the white space may reach there.
+_PARTS = re.compile(rf" ?[{_L}]+|(?:[^{_L} ]| (?![{_L}]))+(?:(?<=')[{_L}]+|(?<=\s\s)[{_L}]+)?")
+#: For any other text: before a blank between two characters that are no white space.
+_CUTS = re.compile(r"(?<=\S)(?= \S)")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The character that stands for each byte in byte-level vocabularies: printable ones for themselves, others from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
 
 
 class PieceEncoder:
-    """Token ids of whole texts by the tokenizers library, each distinct part between spaces encoded once.
+    """Token ids of whole texts by the tokenizers library; each distinct part of them is encoded once.
 
-    ``ends`` are ids appended to every text. Parts seen before are kept up to ``most`` of them.
+    ``ends`` are ids appended to every text. Parts seen before are kept up to ``most`` of them. Words go straight to the
+    library's merges, since the steps before change nothing but case and bytes there (tried out on the vocabulary when
+    it is opened); all other parts take the library's full way.
     """
 
-    def __init__(self, path: str, ends: tuple[int, ...] = (), most: int = 1 << 17):
+    def __init__(self, path: str, ends: tuple[int, ...] = (), most: int = 1 << 19):
         from tokenizers import Tokenizer
 
         self.library, self.ends, self.most = Tokenizer.from_file(path), np.array(ends, np.uint32), most
+        self.letters = _byte_letters()
+        self.fold = self._whole(["A"]) == self._whole(["a"])
+        self.blank = self._whole([" a"]) != self._whole(["a"])
+        tried = ["a", "Zebra", "thanonontioniner", "Été", "straße", "ª", "µm", "ÿÀß", "x" * 70]
+        tried += [" " + w for w in tried]
+        self.direct = [self._word(w) for w in tried] == self._whole(tried)
         self._forget()
 
+    def _whole(self, parts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def _word(self, part: str) -> list[int]:
+        part = part.lower() if self.fold else part
+        shown = (part if self.blank else part.lstrip(" ")).encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.library.model.tokenize(shown)]
+
     def _forget(self) -> None:
         self.places: dict[str, int] = {}
-        self.parts: list[np.ndarray] = []
+        self.ids, self.begins, self.sizes = array("I"), array("q"), array("q")
+
+    def _learn(self, fresh: list[str]) -> None:
+        words = [p.strip(" ").isalpha() and p.isprintable() and max(p) < "\u0100" and "  " not in p and self.direct for p in fresh]
+        others = iter(self._whole([p for p, w in zip(fresh, words) if not w]))
+        for part, word in zip(fresh, words):
+            found = self._word(part) if word else next(others)
+            self.begins.append(len(self.ids))
+            self.sizes.append(len(found))
+            self.ids.extend(found)
+
+    def _cut(self, text: str) -> list[str]:
+        if "<|" in text:  # may begin a special token
+            return _CUTS.split(text)
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return _CUTS.split(text)
+        return _PARTS.findall(text.lower() if self.fold else text)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.parts) > self.most:
+        if len(self.places) > self.most:
             self._forget()
         places, fresh, rows = self.places, [], []
         for text in texts:
-            first, *rest = _CUT.split(text) if text else ("",)
-            keys = ["\x00" + first, *rest]  # a first part has no space before it
+            keys = self._cut(text)
             row = list(map(places.get, keys))
             if None in row:
                 for i, place in enumerate(row):
                     if place is None:
                         found = places.get(keys[i])
                         if found is None:
-                            found = places[keys[i]] = len(self.parts) + len(fresh)
-                            fresh.append(first if i == 0 else " " + keys[i])
+                            found = places[keys[i]] = len(places)
+                            fresh.append(keys[i])
                         row[i] = found
-            rows.append(np.array(row, np.int64))
-        if fresh:
-            self.parts.extend(np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(fresh, add_special_tokens=False))
+            rows.append(row)
+        self._learn(fresh)
         if not rows:
             return []
-        used, inverse = np.unique(np.concatenate(rows), return_inverse=True)
-        chosen = [self.parts[i] for i in used]
-        sizes = np.array([len(p) for p in chosen], np.int64)
-        flat, begins = np.concatenate(chosen), np.cumsum(sizes) - sizes
-        out, at = [], 0
+        ids, begins, sizes = (np.frombuffer(a, t) if len(a) else np.zeros(0, t)
+                              for a, t in ((self.ids, np.uint32), (self.begins, np.int64), (self.sizes, np.int64)))
+        out = []
         for row in rows:
-            which = inverse[at: at + len(row)]
-            at += len(row)
+            which = np.array(row, np.int64)
             n = sizes[which]
             stops = np.cumsum(n)
-            where = np.arange(stops[-1]) + np.repeat(begins[which] - (stops - n), n)
-            out.append(np.concatenate([flat[where], self.ends]))
+            where = np.arange(stops[-1] if len(stops) else 0) + np.repeat(begins[which] - (stops - n), n)
+            out.append(np.concatenate([ids[where], self.ends]))
         return out
 
 
