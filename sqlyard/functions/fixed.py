@@ -115,12 +115,33 @@ DDL_PIECES = (
 DDL_STATEMENT_JAVA = DDL_PIECES + "++;?|;"
 DDL_STATEMENT_RE2 = DDL_PIECES + "+;?|;"
 
-# Table names: those a query reads, those a schema declares.
-READ_TABLE = r"(?i)\b(?:from|join)" + BLANK + r'+["`]?([\p{L}_][\p{L}\p{N}_$.]*)'
+# Names in SQL text, for Java's patterns. A name may be quoted, and qualified by others before a dot.
+_QUOTED_NAME = r'''(?:"[^"]*+"|`[^`]*+`|\[[^\[\]]*+\])'''
+NAME = r"(?:" + _QUOTED_NAME + r"|[\p{L}_][\p{L}\p{N}_$]*+)"
+FULL_NAME = NAME + r"(?:\s*+\.\s*+" + NAME + ")*+"
+# Quoted names stay (group 1); text in single quotes and comments go.
+NAMES_OR_TEXT = "(" + _QUOTED_NAME + r")|'[^']*+'|--[^\r\n]*+|/\*[\s\S]*?\*/"
+# A FROM that starts no list of tables.
+OTHER_FROM = (
+    r"(?i)\bis\s++(?:not\s++)?distinct\s++from\b|\b(?:extract|trim|substring|overlay|position)\s*+\([^()]*?\bfrom\b"
+)
+# Words that end a table's name and alias.
+_NO_ALIAS = (
+    r"(?!(?:as|on|using|where|join|inner|left|right|full|cross|natural|outer|lateral|group|order|having|limit|offset|fetch|union"
+    r"|intersect|except|window|qualify|tablesample|set|select|values)\b)"
+)
+TABLE_LIST = (
+    r"(?i)\b(?:from|join)\b\s*+((?:" + _NO_ALIAS + FULL_NAME + r"(?!\s*+\()(?:\s++as\b)?(?:\s*+" + _NO_ALIAS + NAME + r")?\s*+,?\s*+)++)"
+)
+WITH_NAME = (
+    r"(?i)(?:\bwith\s++(?:recursive\s++)?|\)\s*+,\s*+)(" + NAME + r")\s*+(?:\([^()]*+\)\s*+)?as\s*+(?:(?:not\s++)?materialized\s*+)?\("
+)
 DECLARED_TABLE = (
-    r"(?i)\bcreate" + BLANK + r"+table" + BLANK + r"+(?:if" + BLANK + "+not" + BLANK + "+exists"
-    + BLANK + r'+)?["`]?([\p{L}_][\p{L}\p{N}_$.]*)'
+    r"(?i)\bcreate\s++(?:(?:global|local|temp|temporary|external)\s++)*+table\s++(?:if\s++not\s++exists\s++)?(" + FULL_NAME + ")"
 )
+TABLE_BODY = r"(?is)\bcreate\b.*?\btable\b[^(]*\((.*)\)"
+# Starts of parts of a table's body that declare no column.
+NO_COLUMN = ["primary", "foreign", "unique", "check", "constraint", "key", "index", "exclude", "like"]
 
 # Clauses looked for as plain text in normalised SQL, with the class given when one is missing.
 CLAUSE_CLASSES = [

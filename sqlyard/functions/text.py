@@ -106,16 +106,37 @@ def loose_match(a: Column | str, b: Column | str) -> Column:
     return F.lower(strip(a)) == F.lower(strip(b))
 
 
+def _names_only(sql: Column | str) -> Column:
+    """SQL without quoted text and comments; quoted names stay."""
+    return F.regexp_replace(col(sql), fixed.NAMES_OR_TEXT, " $1")
+
+
+def _last_part(name: Column) -> Column:
+    """A name without qualifiers and quotes, in lower case."""
+    part = F.regexp_extract(name, "(" + fixed.NAME + r")\s*$", 1)
+    return F.lower(F.regexp_replace(part, r'''^["`\[]|["`\]]$''', ""))
+
+
+def _found(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+
+
 def read_tables(sql: Column | str) -> Column:
-    """Lower-cased names after FROM and JOIN, once each."""
-    names = F.regexp_extract_all(col(sql), F.lit(fixed.READ_TABLE), F.lit(1))
-    return F.array_distinct(F.transform(names, F.lower))
+    """Lower-cased names of the tables a query reads, once each.
+
+    Takes the lists after FROM and JOIN with their aliases, qualified and quoted names; names that WITH gives and the FROM
+    of functions and of IS DISTINCT FROM are none. Behind a subquery in a list, names are not seen.
+    """
+    bare = F.regexp_replace(_names_only(sql), fixed.OTHER_FROM, " ")
+    items = F.flatten(F.transform(_found(bare, fixed.TABLE_LIST), lambda found: F.split(found, ",")))
+    first = F.transform(items, lambda item: F.regexp_extract(item, r"^\s*(" + fixed.FULL_NAME + ")", 1))
+    names = F.transform(F.filter(first, lambda name: name != ""), _last_part)
+    return F.array_except(F.array_distinct(names), F.transform(_found(bare, fixed.WITH_NAME), _last_part))
 
 
 def declared_tables(schema: Column | str) -> Column:
     """Lower-cased names a DDL text creates, once each."""
-    names = F.regexp_extract_all(col(schema), F.lit(fixed.DECLARED_TABLE), F.lit(1))
-    return F.array_distinct(F.transform(names, F.lower))
+    return F.array_distinct(F.transform(_found(_names_only(schema), fixed.DECLARED_TABLE), _last_part))
 
 
 def missing_tables(sql: Column | str, schema: Column | str) -> Column:
@@ -126,6 +147,34 @@ def missing_tables(sql: Column | str, schema: Column | str) -> Column:
     return F.array_except(read_tables(sql), declared_tables(schema))
 
 
+def declared_columns(schema: Column | str) -> Column:
+    """Lower-cased columns of all tables a DDL text creates, once each."""
+    def columns(statement: Column) -> Column:
+        body = F.regexp_extract(_names_only(statement), fixed.TABLE_BODY, 1)
+        flat = F.regexp_replace(F.regexp_replace(body, r"\([^()]*\)", ""), r"\([^()]*\)", "")
+        first = F.transform(F.split(flat, ","), lambda part: F.regexp_extract(part, r"^\s*(" + fixed.NAME + ")", 1))
+        named = F.filter(first, lambda name: (name != "") & ~F.lower(name).isin(fixed.NO_COLUMN))
+        return F.transform(named, _last_part)
+
+    return F.array_distinct(F.flatten(F.transform(ddl_statements(schema), columns)))
+
+
+def missing_columns(sql: Column | str, schema: Column | str) -> Column:
+    """Columns a query compares or qualifies that no table of its schema declares.
+
+    Only what is certain: names right before or after a comparison, and names after a dot, in a query that is a single
+    SELECT without names of its own making. Where the query has subqueries, WITH or AS, the list is empty.
+    """
+    bare = F.regexp_replace(_names_only(sql), fixed.OTHER_FROM, " ")
+    side = r"(?<![\p{L}\p{N}_$.\"`\]])(" + fixed.FULL_NAME + r")\s*+(?:[<>=]|!=|<>)"
+    other = r"(?:[<>=]|!=|<>)\s*+(" + fixed.FULL_NAME + r")(?!\s*+\()"
+    used = F.concat(_found(bare, side), _found(bare, other))
+    plain = (F.size(_found(bare, r"(?i)\b(select|with|as)\b")) == 1) & (F.size(declared_columns(schema)) > 0)
+    known = F.concat(declared_columns(schema), F.array(*[F.lit(w.lower()) for w in fixed.KEYWORDS]))
+    lacks = F.array_except(F.array_distinct(F.transform(used, _last_part)), known)
+    return F.when(plain, lacks).otherwise(F.array().cast("array<string>"))
+
+
 # ---- numbers ----------------------------------------------------------------------------------
 
 def round_even(c: Column | str, places: int = 0) -> Column:

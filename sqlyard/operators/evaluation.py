@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sqlyard.functions import fixed
 from sqlyard.functions.text import (
-    clean_prediction, col, is_valid_sql, missing_tables, normalize_sql, round_even, text_or_empty,
+    clean_prediction, col, is_valid_sql, missing_columns, missing_tables, normalize_sql, round_even, text_or_empty,
 )
 from sqlyard.operators.result_sets import PRED, error_kind
 from sqlyard.operators.row_scores import with_bleu
@@ -62,9 +62,11 @@ def with_run_errors(predictions: DataFrame, status: DataFrame) -> DataFrame:
 
 
 def with_schema_errors(joined: DataFrame) -> DataFrame:
-    """Without captured runs: call a prediction ``wrong_table`` when its schema lacks a table it reads."""
-    lacks = F.size(missing_tables("predicted_sql", "schema")) > 0
-    return joined.withColumn("run_error", F.when(lacks, "wrong_table"))
+    """Without captured runs: a prediction is ``wrong_table`` when its schema lacks a table it reads, else
+    ``wrong_column`` when it certainly lacks a column. What is not decidable from the texts is left open."""
+    lacks_table = F.size(missing_tables("predicted_sql", "schema")) > 0
+    lacks_column = F.size(missing_columns("predicted_sql", "schema")) > 0
+    return joined.withColumn("run_error", F.when(lacks_table, "wrong_table").when(lacks_column, "wrong_column"))
 
 
 def classify_errors(joined: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sqlyard.functions import fixed
 from sqlyard.functions.text import (
     clean_prediction, ddl_statements, loose_match, normalize_sql, round_even,
 )
@@ -364,13 +365,68 @@ def report_recount(spark, sf):
     return reports.recount_errors(_stored_report(spark, sf)[0], "model")
 
 
-def comparison_readback(spark, sf):
+def _stored_comparison(spark, sf):
     folder = work_folder(spark, "comparison")
     scored = tables.stored(_scored(spark, sf), "scored")
     tables.write_report(
         reports.comparison_records(scored, BASE, TUNED), reports.model_comparison(scored, BASE, TUNED), folder
     )
-    return tables.read_comparison(spark, folder)[0]
+    return tables.read_comparison(spark, folder)
+
+
+def comparison_readback(spark, sf):
+    return _stored_comparison(spark, sf)[0]
+
+
+def _written_examples(spark, sf, kind: str) -> str:
+    """Raw examples with null fields, written in one of the two formats that are read."""
+    k = F.col("ex_id")
+    rows = derived.examples(spark, sf).select(
+        "ex_id", F.when(k % 5 != 0, F.col("question")).alias("question"), F.when(k % 7 != 0, F.col("context")).alias("context"),
+        F.when(k % 11 != 0, F.col("answer")).alias("answer"))
+    folder = f"{work_folder(spark, 'examples')}/examples.{kind}"
+    rows.write.format(kind).save(folder)
+    return folder
+
+
+def read_examples_parquet(spark, sf):
+    return tables.read_examples(spark, _written_examples(spark, sf, "parquet"))
+
+
+def read_examples_json(spark, sf):
+    return tables.read_examples(spark, _written_examples(spark, sf, "json"))
+
+
+def prepare_null_fields(spark, sf):
+    raw = tables.read_examples(spark, _written_examples(spark, sf, "parquet"))
+    return prepare.prepare_examples(raw).select("ex_id", "prompt", "completion", "question", "schema", "gold_sql")
+
+
+def row_at(spark, sf):
+    return sampling.row_at(derived.examples(spark, sf), 7)
+
+
+def missing_input(spark, sf):
+    """The path that the error about an absent table names, beside the number of rows of one that is there."""
+    there = tables.read_parquet(spark, f"{sf}/orders.parquet").agg(F.count("*").alias("n_rows"))
+    try:
+        tables.read_parquet(spark, f"{sf}/absent.parquet")
+        said = ""
+    except tables.MissingInputError as failure:
+        said = str(failure)
+    return there.select("n_rows", F.contains(F.lit(said), F.lit(f"{sf}/absent.parquet")).alias("names_path"))
+
+
+def comparison_summary_readback(spark, sf):
+    return _stored_comparison(spark, sf)[1]
+
+
+def exact_match_own_keywords(spark, sf):
+    """Exact match where the names of the two texts' column count as words without case."""
+    cleaned = evaluation.clean_predictions(derived.predictions(spark, sf)).withColumn(
+        "predicted_sql", F.regexp_replace("predicted_sql", "l_orderkey", "L_OrderKey"))
+    joined = evaluation.join_gold(cleaned, derived.gold(spark, sf), keywords=[*fixed.KEYWORDS, "l_orderkey"])
+    return joined.select("ex_id", "model", evaluation.exact_match().alias("exact_match"))
 
 
 # ---- running query texts ----------------------------------------------------------------------
@@ -468,4 +524,11 @@ QUERIES: dict[str, Query] = {
     "report_recount": report_recount,
     "comparison_readback": comparison_readback,
     "exec_pairs": exec_pairs,
+    "read_examples_parquet": read_examples_parquet,
+    "read_examples_json": read_examples_json,
+    "prepare_null_fields": prepare_null_fields,
+    "row_at": row_at,
+    "missing_input": missing_input,
+    "comparison_summary_readback": comparison_summary_readback,
+    "exact_match_own_keywords": exact_match_own_keywords,
 }

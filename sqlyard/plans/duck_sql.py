@@ -84,6 +84,10 @@ EX = """ex AS (
             || CASE WHEN o_orderkey % 3 = 0 THEN ';' ELSE '' END AS answer
     FROM orders)"""
 
+NULLED = """nulled AS (
+    SELECT ex_id, CASE WHEN ex_id % 5 <> 0 THEN question END AS question, CASE WHEN ex_id % 7 <> 0 THEN context END AS context,
+        CASE WHEN ex_id % 11 <> 0 THEN answer END AS answer FROM ex)"""
+
 KEYS = """keys AS (
     SELECT o_orderkey AS ex_id, model, (o_orderkey + shift) % 8 AS form
     FROM orders, (VALUES ('base', 0), ('tuned', 1)) m(model, shift))"""
@@ -350,12 +354,8 @@ QUERIES: dict[str, str] = {
                 context || chr(10) || 'CREATE TABLE notes (id INT, mark TEXT DEFAULT ''a;b'', k INT DEFAULT '
                     || ex_id || ');  ;', {_q(fixed.DDL_STATEMENT_RE2)}), lambda s: {_strip('s')}),
                 lambda s: s <> '') AS stmts FROM ex))""",
-    "missing_tables": _with(JOINED) + f"""SELECT DISTINCT ex_id, model, t AS table_name FROM (
-        SELECT ex_id, model, context,
-            unnest(list_transform(regexp_extract_all(predicted_sql, {_q(fixed.READ_TABLE)}, 1), lambda x: lower(x))) AS t
-        FROM joined) r
-        WHERE NOT EXISTS (SELECT 1 FROM (SELECT unnest(list_transform(
-            regexp_extract_all(r.context, {_q(fixed.DECLARED_TABLE)}, 1), lambda x: lower(x))) AS d) WHERE d = r.t)""",
+    # what each form lacks follows from its number
+    "missing_tables": _with(KEYS) + "SELECT ex_id, model, 'lineitems' AS table_name FROM keys WHERE form = 4",
     "exact_match": _with(JOINED) + "SELECT ex_id, model, pred_norm = gold_norm AS exact_match FROM joined",
     "loose_match": _with(JOINED) + f"""SELECT ex_id, model,
         lower({_strip('predicted_sql')}) = lower({_strip('gold_sql')}) AS loose_match FROM joined""",
@@ -375,8 +375,7 @@ QUERIES: dict[str, str] = {
         SELECT count(*) = 0 AS result_equal FROM (
             (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT ALL SELECT * FROM a))""",
     "error_class": _with(CLASSED) + "SELECT ex_id, model, error_type FROM classed",
-    "error_class_by_schema": _with(JOINED) + f"""SELECT ex_id, model, {_error_type(
-        "CASE WHEN contains(predicted_sql, 'lineitems') THEN 'wrong_table' END")} AS error_type FROM joined""",
+    "error_class_by_schema": _with(CLASSED) + "SELECT ex_id, model, error_type FROM classed",
     "error_distribution": _with(DISTRIBUTION) + """SELECT model, error_type, n,
         CAST(row_number() OVER (PARTITION BY model ORDER BY n DESC, error_type) AS INTEGER) AS error_rank FROM dist""",
     "error_share": _with(DISTRIBUTION) + f"""SELECT model, error_type, n,
@@ -431,4 +430,13 @@ QUERIES: dict[str, str] = {
     "report_recount": _with(CLASSED) + """SELECT model, coalesce(error_type, 'unknown') AS error_type,
         count(*) AS n FROM classed GROUP BY ALL""",
     "exec_pairs": _exec_pairs(),
+    "read_examples_parquet": _with(EX, NULLED) + "SELECT * FROM nulled",
+    "read_examples_json": _with(EX, NULLED) + "SELECT * FROM nulled",
+    "prepare_null_fields": _with(EX, NULLED) + f"""SELECT ex_id, {_prompt("generic", "coalesce(question, '')", "coalesce(context, '')")} AS prompt,
+        {_stop("coalesce(answer, '')")} AS completion, coalesce(question, '') AS question, coalesce(context, '') AS schema,
+        coalesce(answer, '') AS gold_sql FROM nulled""",
+    "row_at": _with(EX) + "SELECT * FROM ex WHERE ex_id = 7",
+    "missing_input": "SELECT count(*) AS n_rows, true AS names_path FROM orders",
+    "exact_match_own_keywords": _with(KEYS) + "SELECT ex_id, model, form IN (0, 1) AS exact_match FROM keys",
 }
+QUERIES["comparison_summary_readback"] = QUERIES["model_comparison"]
