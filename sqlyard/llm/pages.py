@@ -112,11 +112,6 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
-def _ancestors(path: str) -> list[str]:
-    parts = path.split("/")
-    return ["/".join(parts[: i + 1]) for i in range(len(parts))]
-
-
 def _read(html: str | None) -> Blocks:
     return Blocks((html or "").replace("\x00", ""))
 
@@ -156,31 +151,31 @@ def _importance(counts: DataFrame, keys: list[str]) -> DataFrame:
 def style_trees(pages: DataFrame, borrow: float = 30.0, fade: float = 0.2) -> DataFrame:
     """``(site, path, importance)`` of every element of every site's merged tree.
 
-    A leaf counts by its content. An inner element's importance is ``fade`` its presentation's and the rest the mean of the
-    leaves below it, weighted by pages. A site's figures are mixed with those of the tree of all sites, which weighs as
-    much as ``borrow`` pages, so that a site of one page is still told its menu from its article.
+    A leaf counts by its content. An inner element counts as much as the best leaf below it, and more by ``fade`` of its
+    presentation's importance where that is higher, so nothing is rated below a part of it, however often the parts beside
+    it are repeated. A site's figures are mixed with those of the tree of all sites, which weighs as much as ``borrow``
+    pages, so that a site of one page is still told its menu from its article.
     """
     things = pages.mapInArrow(_features, "site string, path string, kind int, thing long")
     counts = stored(things.groupBy("site", "path", "kind", "thing").agg(F.count("*").alias("n")), "things")
     own = _importance(counts, ["site"])
     every = stored(_importance(counts.groupBy("path", "kind", "thing").agg(F.sum("n").alias("n")), []), "every-site")
     mixed = own.join(every.select("path", "kind", F.col("value").alias("common")), ["path", "kind"]).select(
-        "site", "path", "kind", "pages",
+        "site", "path", "kind",
         ((F.col("value") * F.col("pages") + F.col("common") * borrow) / (F.col("pages") + borrow)).alias("value"))
     parts = F.split("path", "/")
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
-    weight = F.when(F.col("kind") == 0, F.col("pages"))
-    spread = mixed.select("site", F.explode(F.when(F.col("kind") == 0, above).otherwise(F.array("path"))).alias("path"), "kind", "pages", "value")
-    content, shape = F.sum(weight * F.col("value")) / F.sum(weight), F.max(F.when(F.col("kind") == 1, F.col("value")))
-    return spread.groupBy("site", "path").agg(content.alias("content"), shape.alias("shape")).select(
-        "site", "path", F.coalesce(F.when(F.col("shape").isNull(), F.col("content"))
-                                   .otherwise((1 - fade) * F.col("content") + fade * F.col("shape")), F.lit(1.0)).alias("importance"))
+    spread = mixed.select("site", F.explode(F.when(F.col("kind") == 0, above).otherwise(F.array("path"))).alias("path"), "kind", "value")
+    best, shape = F.max(F.when(F.col("kind") == 0, F.col("value"))), F.max(F.when(F.col("kind") == 1, F.col("value")))
+    return spread.groupBy("site", "path").agg(best.alias("best"), shape.alias("shape")).select(
+        "site", "path", F.coalesce(F.greatest("best", (1 - fade) * F.col("best") + fade * F.col("shape")), F.lit(1.0)).alias("importance"))
 
 
 def main_text(pages: DataFrame, least: float = 0.5, least_in_article: float = 0.1) -> DataFrame:
     """``(page_id, url, text, n_chars)`` of every page: kept blocks in page order, two line ends between them.
 
-    A page loses the branches that its site's style tree rates below ``least`` (inside an article or main element: below
+    A page loses the blocks whose element its site's style tree rates below ``least``, and so whole branches only where all
+    that is in them is rated below it (inside an article or main element: below
     ``least_in_article``), and the parts that are never of the article (menus, headers, footers, asides, forms, scripts, adverts,
     notices, comments) by their elements and names. Character references are decoded; white space in a block becomes one blank.
 
@@ -198,7 +193,7 @@ def main_text(pages: DataFrame, least: float = 0.5, least_in_article: float = 0.
             out = []
             for html, cut in zip(batch.column("html").to_pylist(), batch.column("cut").to_pylist()):
                 low_paths = frozenset(cut or ())
-                out.append("\n\n".join(text for path, text, kept in _read(html).blocks if kept and low_paths.isdisjoint(_ancestors(path))))
+                out.append("\n\n".join(text for path, text, kept in _read(html).blocks if kept and path not in low_paths))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])
