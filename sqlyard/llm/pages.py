@@ -15,27 +15,31 @@ from sqlyard.sources.tables import stored
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
-#: Parts that the article is to be without, by their element or by words in class, id and role.
+#: Parts that the article is to be without by their element, and words of class, id or role that name such a part.
 _NEVER = frozenset("head script style noscript template nav footer aside form iframe object svg button select textarea dialog menu".split())
 _NAMES = frozenset("ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies footer header login menu modal "
                    "nav navbar navigation newsletter notice pager pagination popup promo related search share sharing sidebar social sponsor sponsored "
                    "subscribe toolbar widget contentinfo complementary".split())
 #: An element that ends where one of these begins.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What lies around a block: a part that is never of the article; an article or main element; a name outside or inside of it.
+_OUT, _ARTICLE, _NAMED, _NAMED_INSIDE = 1, 2, 4, 8
 _SCOPE = frozenset("table ul ol dl div section article main body aside nav header footer form blockquote".split())
 
 
 class Blocks(HTMLParser):
-    """Reads a page into blocks ``(path, text, kept)`` in page order, and the kinds of children each element had.
+    """Reads a page into blocks ``(path, text, around)`` in page order, and the kinds of children each element had.
 
     A path names the block elements from the top, with their classes and id, numbers masked. Inline elements belong to
-    their block. ``kept`` is false inside the parts named above; a header inside an article is the article's.
+    their block. ``around`` holds the marks above. Parts out by their element are read over; a header inside an article is
+    the article's. A name is a whole word of class, id or role (inside an article: of class or role) and never a heading's.
     """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, str, bool]] = []
-        self.blocks: list[tuple[str, str, bool]] = []
+        self.stack: list[tuple[str, str, int]] = []
+        self.blocks: list[tuple[str, str, int]] = []
         self.styles: dict[str, list[str]] = {}
         self.words: list[str] = []
         self.feed(html)
@@ -45,11 +49,14 @@ class Blocks(HTMLParser):
     def path(self) -> str:
         return "/".join(name for tag, name, _ in self.stack if tag not in _INLINE)
 
+    def around(self) -> int:
+        return self.stack[-1][2] if self.stack else 0
+
     def flush(self) -> None:
         text = " ".join("".join(self.words).split())
         self.words = []
-        if text:
-            self.blocks.append((self.path(), text, all(kept for _, _, kept in self.stack)))
+        if text and not self.around() & _OUT:
+            self.blocks.append((self.path(), text, self.around()))
 
     def handle_starttag(self, tag, attrs):
         if tag in _INLINE or tag in _VOID:
@@ -58,21 +65,46 @@ class Blocks(HTMLParser):
             if tag == "hr":
                 self.flush()
             if tag not in _VOID:
-                self.stack.append((tag, tag, self.allowed(tag, attrs)))
+                self.stack.append((tag, tag, self.marks(tag, attrs)))
             return
         self.flush()
         self.close_before(tag)
         words = sorted({re.sub(r"\d+", "0", w) for k, v in attrs if k in ("class", "id", "role") and v for w in v.lower().split()})
         name = ".".join([tag, *words])
-        self.styles.setdefault(self.path(), []).append(name)
-        self.stack.append((tag, name, self.allowed(tag, attrs)))
+        if not self.around() & _OUT:
+            self.styles.setdefault(self.path(), []).append(name)
+        self.stack.append((tag, name, self.marks(tag, attrs)))
 
-    def allowed(self, tag: str, attrs) -> bool:
-        if tag in _NEVER or tag == "header" and not any(t in ("article", "main") for t, _, _ in self.stack):
-            return False
-        named = {w for k, v in attrs if k in ("class", "id", "role") and v for x in v.lower().split() for w in (x, *re.split(r"[-_]", x))}
+    def marks(self, tag: str, attrs) -> int:
+        """What lies around the text of an element that begins here."""
+        marks = self.around()
         hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and v and re.search(r"display\s*:\s*none", v) for k, v in attrs)
-        return not hidden and (tag in ("html", "body", "article", "main") or not named & _NAMES)
+        if hidden or tag in _NEVER or tag == "header" and not marks & _ARTICLE:
+            return marks | _OUT
+        if tag in ("article", "main"):
+            return marks | _ARTICLE
+        if tag in ("html", "body") or tag in _HEADINGS:
+            return marks
+        keys = ("class", "role") if marks & _ARTICLE else ("class", "id", "role")
+        if any(k in keys and v and not _NAMES.isdisjoint(v.lower().split()) for k, v in attrs):
+            marks |= _NAMED_INSIDE if marks & _ARTICLE else _NAMED
+        return marks
+
+    def open_blocks(self) -> list[tuple[str, str, int]]:
+        """Blocks ``(path, text, around)`` that no name takes away, for the style tree to decide on.
+
+        A named part outside an article goes. But names do not count where they stand around the page's only articles, or,
+        on a page without an article, around more text than is left without them: then they name what wraps the page.
+        """
+        articles = [around & _NAMED for _, _, around in self.blocks if around & _ARTICLE]
+        if articles:
+            wraps = all(articles)
+            gone = [bool(around & _NAMED) and not (wraps and around & _ARTICLE) for _, _, around in self.blocks]
+        else:
+            named = sum(len(text) for _, text, around in self.blocks if around & _NAMED)
+            wraps = 2 * named > sum(len(text) for _, text, _ in self.blocks)
+            gone = [bool(around & _NAMED) and not wraps for _, _, around in self.blocks]
+        return [block for block, g in zip(self.blocks, gone) if not g]
 
     def close_before(self, tag: str) -> None:
         """Elements whose end tag may be left out: a paragraph ends at the next block, an item at the next item."""
@@ -122,7 +154,7 @@ def _features(batches):
         rows = []
         for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
             site, page = host(url), _read(html)
-            seen = {(path, 0, _hash(re.sub(r"\d+", "0", text.replace(site, "") if site else text))) for path, text, _ in page.blocks}
+            seen = {(path, 0, _hash(re.sub(r"\d+", "0", text.replace(site, "") if site else text))) for path, text, _ in page.open_blocks()}
             for path, names in page.styles.items():
                 row = [n for n, before in zip(names, [None, *names]) if n != before]
                 seen.add((path, 1, _hash(" ".join(row))))
@@ -175,9 +207,11 @@ def main_text(pages: DataFrame, least: float = 0.5, least_in_article: float = 0.
     """``(page_id, url, text, n_chars)`` of every page: kept blocks in page order, two line ends between them.
 
     A page loses the blocks whose element its site's style tree rates below ``least``, and so whole branches only where all
-    that is in them is rated below it (inside an article or main element: below
-    ``least_in_article``), and the parts that are never of the article (menus, headers, footers, asides, forms, scripts, adverts,
-    notices, comments) by their elements and names. Character references are decoded; white space in a block becomes one blank.
+    that is in them is rated below it (inside an article or main element: below ``least_in_article``). It loses the parts
+    that are never of the article (menus, headers, footers, asides, forms, scripts) by their elements and, outside an article,
+    parts that a whole word of their class, id or role names (adverts, notices, comments), unless that would take the article
+    itself. Inside an article names alone take nothing. Character references are decoded; white space in a block becomes
+    one blank.
 
     Null html is empty, null or odd urls are one site of their own. A page is read twice and never grouped with
     others: only the branches to cut, a short list per site, are joined to it.
@@ -193,7 +227,7 @@ def main_text(pages: DataFrame, least: float = 0.5, least_in_article: float = 0.
             out = []
             for html, cut in zip(batch.column("html").to_pylist(), batch.column("cut").to_pylist()):
                 low_paths = frozenset(cut or ())
-                out.append("\n\n".join(text for path, text, kept in _read(html).blocks if kept and path not in low_paths))
+                out.append("\n\n".join(text for path, text, _ in _read(html).open_blocks() if path not in low_paths))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])

@@ -23,3 +23,17 @@ def test_repeated_parts_do_not_outvote_the_article(spark):
         own = {i: [words(tag, i, j) for j in range(3)] for i in range(60)}
         found = texts(spark, [f"<html><body>{menu}<{tag} class=text>" + "".join(f"<p>{t}</p>" for t in own[i]) + f"</{tag}></body></html>" for i in own])
         assert found == {i: "\n\n".join(own[i]) for i in own}
+
+
+def test_names_take_no_article(spark):
+    a, b, c, d, e = (words("name", i) for i in range(5))
+    parts = f'<h2 id="related-work">{a}</h2><section id="search">{b}</section><p class="social-impact">{c}</p><div class="related">{d}</div>'
+    htmls = [
+        f"<body><article>{parts}</article></body>",
+        f'<body><div class="content with-sidebar has-comments"><p>{e}</p><p>{e}</p>{parts}</div></body>',
+        f'<body><div class="comments"><main>{parts}</main></div></body>',
+        f'<body><div class="widget"><p>{a}</p><p>{b}</p></div><p>{c}</p></body>',
+        f'<body><div class="ad">{d}</div><article><p>{a}</p></article><div id="comments">{b}</div></body>',
+    ]
+    found = {i: text for h, html in enumerate(htmls) for i, text in texts(spark, [""] * h + [html], f"h{h}.example").items() if i == h}
+    assert found == {0: "\n\n".join([a, b, c, d]), 1: "\n\n".join([e, e, a, c]), 2: "\n\n".join([a, b, c, d]), 3: "\n\n".join([a, b, c]), 4: a}
