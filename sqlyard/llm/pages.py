@@ -16,12 +16,16 @@ from sqlyard.sources.tables import stored
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 #: Parts that the article is to be without by their element, and words of class, id or role that name such a part.
-_NEVER = frozenset("head script style noscript template nav footer aside form iframe object svg button select textarea dialog menu".split())
+_NEVER = frozenset("head title script style noscript template nav footer aside form iframe object svg button select textarea dialog menu".split())
 _NAMES = frozenset("ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies footer header login menu modal "
                    "nav navbar navigation newsletter notice pager pagination popup promo related search share sharing sidebar social sponsor sponsored "
                    "subscribe toolbar widget contentinfo complementary".split())
 #: An element that ends where one of these begins.
-_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+_ROWS = {"tr", "td", "th", "caption", "colgroup"}
+_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": _ROWS, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
+           "optgroup": {"option", "optgroup"}} | {tag: _ROWS | {"thead", "tbody", "tfoot"} for tag in ("thead", "tbody", "tfoot")}
+#: All that a head may hold. An open head ends at anything else.
+_HEAD = frozenset("base link meta noscript script style template title".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: What lies around a block: a part that is never of the article; an article or main element; a name outside or inside of it.
 _OUT, _ARTICLE, _NAMED, _NAMED_INSIDE = 1, 2, 4, 8
@@ -58,7 +62,17 @@ class Blocks(HTMLParser):
         if text and not self.around() & _OUT:
             self.blocks.append((self.path(), text, self.around()))
 
+    def leave_head(self, tag: str | None = None) -> None:
+        """An open head ends at ``body``, and between its elements at text or any element that is none of a head's."""
+        for i, (open_, _, _) in enumerate(self.stack):
+            if open_ == "head" and (tag == "body" or i == len(self.stack) - 1):
+                self.flush()
+                del self.stack[i:]
+                return
+
     def handle_starttag(self, tag, attrs):
+        if tag not in _HEAD:
+            self.leave_head(tag)
         if tag in _INLINE or tag in _VOID:
             if tag in ("br", "hr", "img"):
                 self.words.append(" ")
@@ -107,15 +121,15 @@ class Blocks(HTMLParser):
         return [block for block, g in zip(self.blocks, gone) if not g]
 
     def close_before(self, tag: str) -> None:
-        """Elements whose end tag may be left out: a paragraph ends at the next block, an item at the next item."""
-        ends = _CLOSES.get(tag, set())
+        """Elements whose end tag may be left out: a paragraph ends at the next block, an item at the next item, with all in it."""
+        ends, first = _CLOSES.get(tag, set()), len(self.stack)
         for i in range(len(self.stack) - 1, -1, -1):
             open_ = self.stack[i][0]
             if open_ == "p" or open_ in ends:
-                del self.stack[i:]
-                return
+                first = i
             if open_ in _SCOPE:
-                return
+                break
+        del self.stack[first:]
 
     def handle_endtag(self, tag):
         if tag in _VOID:
@@ -130,6 +144,8 @@ class Blocks(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if not data.isspace():
+            self.leave_head()
         self.words.append(data)
 
 

@@ -37,3 +37,18 @@ def test_names_take_no_article(spark):
     ]
     found = {i: text for h, html in enumerate(htmls) for i, text in texts(spark, [""] * h + [html], f"h{h}.example").items() if i == h}
     assert found == {0: "\n\n".join([a, b, c, d]), 1: "\n\n".join([e, e, a, c]), 2: "\n\n".join([a, b, c, d]), 3: "\n\n".join([a, b, c]), 4: a}
+
+
+def test_left_out_end_tags(spark):
+    a, b, c = (words("tag", i) for i in range(3))
+    htmls = [
+        f"<html><head><title>x</title><body><p>{a}<p>{b}",
+        f"<head><meta charset=utf-8><title>x</title><p>{a}<p>{b}",
+        f"<head><title>x</title><style>p{{}}</style>{a}<hr>{b}",
+        f"<title>x</title><ul><li><p>{a}<li><p>{b}</ul>",
+        f"<head><script>1</script></head><table><thead><tr><th>{a}<tbody><tr><td>{b}<tr><td>{c}</table>",
+    ]
+    two = f"{a}\n\n{b}"
+    assert texts(spark, htmls) == {0: two, 1: two, 2: two, 3: two, 4: f"{two}\n\n{c}"}
+    assert [p for p, _, _ in pages.Blocks(htmls[4]).blocks] == ["table/thead/tr/th", "table/tbody/tr/td", "table/tbody/tr/td"]
+    assert [p for p, _, _ in pages.Blocks(htmls[3]).blocks] == ["ul/li/p", "ul/li/p"]
