@@ -160,6 +160,12 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
+def _page_hash(blocks: list[tuple[str, str, int]]) -> int:
+    """The same for all copies of an article, whatever the parts around it say."""
+    inside = [text for _, text, around in blocks if around & _ARTICLE]
+    return _hash("\n".join(inside or [text for _, text, _ in blocks]))
+
+
 def _read(html: str | None) -> Blocks:
     return Blocks((html or "").replace("\x00", ""))
 
@@ -170,15 +176,17 @@ def _features(batches):
         rows = []
         for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
             site, page = host(url), _read(html)
-            seen = {(path, 0, _hash(re.sub(r"\d+", "0", text.replace(site, "") if site else text))) for path, text, _ in page.open_blocks()}
+            blocks = page.open_blocks()
+            seen = {(path, 0, _hash(re.sub(r"\d+", "0", text.replace(site, "") if site else text))) for path, text, _ in blocks}
             for path, names in page.styles.items():
                 row = [n for n, before in zip(names, [None, *names]) if n != before]
                 seen.add((path, 1, _hash(" ".join(row))))
-            rows += [(site, path, kind, thing) for path, kind, thing in seen]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, _KINDS)], _NAMES_OUT)
+            which = _page_hash(blocks)
+            rows += [(site, which, path, kind, thing) for path, kind, thing in seen]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, _KINDS)], _NAMES_OUT)
 
 
-_KINDS, _NAMES_OUT = [pa.string(), pa.string(), pa.int32(), pa.int64()], ["site", "path", "kind", "thing"]
+_KINDS, _NAMES_OUT = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64()], ["site", "page", "path", "kind", "thing"]
 
 
 def _importance(counts: DataFrame, keys: list[str]) -> DataFrame:
@@ -202,10 +210,10 @@ def style_trees(pages: DataFrame, borrow: float = 30.0, fade: float = 0.2) -> Da
     A leaf counts by its content. An inner element counts as much as the best leaf below it, and more by ``fade`` of its
     presentation's importance where that is higher, so nothing is rated below a part of it, however often the parts beside
     it are repeated. A site's figures are mixed with those of the tree of all sites, which weighs as much as ``borrow``
-    pages, so that a site of one page is still told its menu from its article.
+    pages, so that a site of one page is still told its menu from its article. Copies of an article on a site count once.
     """
-    things = pages.mapInArrow(_features, "site string, path string, kind int, thing long")
-    counts = stored(things.groupBy("site", "path", "kind", "thing").agg(F.count("*").alias("n")), "things")
+    things = pages.mapInArrow(_features, "site string, page long, path string, kind int, thing long")
+    counts = stored(things.groupBy("site", "path", "kind", "thing").agg(F.count_distinct("page").alias("n")), "things")
     own = _importance(counts, ["site"])
     every = stored(_importance(counts.groupBy("path", "kind", "thing").agg(F.sum("n").alias("n")), []), "every-site")
     mixed = own.join(every.select("path", "kind", F.col("value").alias("common")), ["path", "kind"]).select(
@@ -223,11 +231,11 @@ def main_text(pages: DataFrame, least: float = 0.5, least_in_article: float = 0.
     """``(page_id, url, text, n_chars)`` of every page: kept blocks in page order, two line ends between them.
 
     A page loses the blocks whose element its site's style tree rates below ``least``, and so whole branches only where all
-    that is in them is rated below it (inside an article or main element: below ``least_in_article``). It loses the parts
+    that is in them is rated below it; inside an article or main element no block goes for its rating alone. It loses the parts
     that are never of the article (menus, headers, footers, asides, forms, scripts) by their elements and, outside an article,
     parts that a whole word of their class, id or role names (adverts, notices, comments), unless that would take the article
-    itself. Inside an article names alone take nothing. Character references are decoded; white space in a block becomes
-    one blank.
+    itself. Inside an article a name takes a block only with a rating below ``least_in_article``. Character references are
+    decoded; white space in a block becomes one blank.
 
     Null html is empty, null or odd urls are one site of their own. A page is read twice and never grouped with
     others: only the branches to cut, a short list per site, are joined to it.
@@ -243,7 +251,8 @@ def main_text(pages: DataFrame, least: float = 0.5, least_in_article: float = 0.
             out = []
             for html, cut in zip(batch.column("html").to_pylist(), batch.column("cut").to_pylist()):
                 low_paths = frozenset(cut or ())
-                out.append("\n\n".join(text for path, text, _ in _read(html).open_blocks() if path not in low_paths))
+                out.append("\n\n".join(text for path, text, around in _read(html).open_blocks()
+                                       if around & (_ARTICLE | _NAMED_INSIDE) == _ARTICLE or path not in low_paths))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])

@@ -52,3 +52,18 @@ def test_left_out_end_tags(spark):
     assert texts(spark, htmls) == {0: two, 1: two, 2: two, 3: two, 4: f"{two}\n\n{c}"}
     assert [p for p, _, _ in pages.Blocks(htmls[4]).blocks] == ["table/thead/tr/th", "table/tbody/tr/td", "table/tbody/tr/td"]
     assert [p for p, _, _ in pages.Blocks(htmls[3]).blocks] == ["ul/li/p", "ul/li/p"]
+
+
+def test_repeats_and_copies_of_articles_stay(spark):
+    heads = [f"<article><h2>Summary</h2><p>{words('head', i)}</p></article>" for i in range(300)]
+    copies = [f"<div class=text><h1>{words('copy')}</h1><p>{words('copied')}</p></div>"] * 300
+    menu = "<nav><a href=/>Home</a></nav>"
+    assert texts(spark, [menu + h for h in heads]) == {i: f"Summary\n\n{words('head', i)}" for i in range(300)}
+    assert set(texts(spark, [menu + c for c in copies]).values()) == {f"{words('copy')}\n\n{words('copied')}"}
+
+
+def test_odd_pages(spark):
+    rows = [(1, None, None), (2, "http://[", "<p>x y"), (None, "", ""), (3, "http://a", "<nav>menu</nav>")]
+    found = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in pages.main_text(spark.createDataFrame(rows, PAGES)).collect()), key=repr)
+    assert found == sorted([(1, None, "", 0), (2, "http://[", "x y", 3), (None, "", "", 0), (3, "http://a", "", 0)], key=repr)
+    assert pages.main_text(spark.createDataFrame([], PAGES)).collect() == []
