@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sqlyard.llm import chunks, edits, leaks, lm, packing, pages, simhash, substring, tokenfiles, toxicity
+from sqlyard.llm import chunks, edits, leaks, lm, packing, pages, periods, simhash, substring, tokenfiles, toxicity
 from sqlyard.llm.common import table
 
 
@@ -51,9 +52,21 @@ def op10_simhash_near_duplicates(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op13_periodic_runs(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = periods.periodic_runs(docs.select("doc_id", periods.with_planted_period("doc_id", "text").alias("text")))
+    best = periods.strongest("runs")
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"), "n_words")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_document_fingerprints, op2_token_files, op3_masked_likelihood, op4_substring_dedup, op5_best_fit_packing, op6_main_text,
-    op7_benchmark_decontamination, op8_edited_token_counts, op9_toxicity, op10_simhash_near_duplicates,
+    op7_benchmark_decontamination, op8_edited_token_counts, op9_toxicity, op10_simhash_near_duplicates, op13_periodic_runs,
 )} | {"pipeline": corpus_pipeline.run}
 
 
