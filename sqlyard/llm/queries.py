@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sqlyard.llm import chunks, edits, leaks, lm, packing, pages, periods, simhash, substring, tokenfiles, toxicity
+from sqlyard.llm import chunks, edits, leaks, lm, neighbours, packing, pages, periods, ranked, simhash, substring, tokenfiles, toxicity
 from sqlyard.llm.common import table
 
 
@@ -52,6 +52,14 @@ def op10_simhash_near_duplicates(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op11_ranked_search(spark, sf):
+    return ranked.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op12_nearest_neighbours(spark, sf):
+    return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op13_periodic_runs(spark, sf):
     docs = table(spark, sf, "documents")
     found = periods.periodic_runs(docs.select("doc_id", periods.with_planted_period("doc_id", "text").alias("text")))
@@ -66,7 +74,8 @@ def op13_periodic_runs(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     op1_document_fingerprints, op2_token_files, op3_masked_likelihood, op4_substring_dedup, op5_best_fit_packing, op6_main_text,
-    op7_benchmark_decontamination, op8_edited_token_counts, op9_toxicity, op10_simhash_near_duplicates, op13_periodic_runs,
+    op7_benchmark_decontamination, op8_edited_token_counts, op9_toxicity, op10_simhash_near_duplicates, op11_ranked_search,
+    op12_nearest_neighbours, op13_periodic_runs,
 )} | {"pipeline": corpus_pipeline.run}
 
 
@@ -121,4 +130,27 @@ ORACLE_SQL = {
             sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM documents d LEFT JOIN counts ON counts.id = d.doc_id LEFT JOIN hits ON hits.id = d.doc_id
             LEFT JOIN owners ON owners.id = d.doc_id""",
+    "op11_ranked_search": rf"""
+        WITH folded AS (
+            SELECT row_number() OVER () AS id, doc_id, 'd' AS side, NULL AS item_id, text AS t FROM documents
+            UNION ALL SELECT 0, NULL, 'b', item_id, text FROM benchmark),
+        w AS MATERIALIZED (
+            SELECT id, doc_id, side, item_id, unnest(regexp_extract_all(
+                translate(coalesce(t, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM folded),
+        asked AS MATERIALIZED (SELECT DISTINCT item_id, term FROM w WHERE side = 'b'),
+        sizes AS MATERIALIZED (SELECT id, count(*) AS n FROM w WHERE side = 'd' GROUP BY id),
+        totals AS MATERIALIZED (SELECT count(*) AS n_docs, coalesce(sum(n), 0)::BIGINT AS n_terms FROM sizes),
+        tfs AS MATERIALIZED (
+            SELECT id, doc_id, term, count(*) AS tf FROM w WHERE side = 'd' AND term IN (SELECT term FROM asked) GROUP BY id, doc_id, term),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM tfs, totals GROUP BY term, n_docs),
+        norms AS (SELECT id, 100 - 90 + (90 * n * n_docs) // n_terms AS m FROM sizes, totals),
+        scored AS (
+            SELECT item_id, id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+            FROM tfs JOIN weights USING (term) JOIN norms USING (id) JOIN asked USING (term) GROUP BY item_id, id, doc_id)
+        SELECT item_id, (row_number() OVER best)::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+        WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)
+        QUALIFY row_number() OVER best <= 10""",
 }
