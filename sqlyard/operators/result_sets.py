@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
+from py4j.java_gateway import is_instance_of
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.errors.exceptions.captured import convert_exception
@@ -122,30 +123,51 @@ def row_text(df: DataFrame) -> Column:
 
 # ---- running query texts ----------------------------------------------------------------------
 
-_QUOTED = re.compile(r"""'(?:[^'\\\\]|\\\\.)*'|"(?:[^"\\\\]|\\\\.)*"|`[^`]*`|--[^\r\n]*|/\*.*?\*/""", re.DOTALL)
-_REFUSED = re.compile(r"\b(reflect|java_method|try_reflect)\s*\(", re.IGNORECASE)
+#: Plan nodes that do more than read.
+_WRITES = re.compile("Command|Insert|Create|Drop|Delete|Merge|Update|Script")
+#: Built-in functions that call a method of the JVM by name.
+_REFUSED = {"reflect", "java_method", "try_reflect"}
 
 
-def is_safe_query(text: str) -> bool:
-    """Whether a text may run as a subquery: outside quotes and comments its brackets close only what it opened, it is one
-    statement, and it calls no JVM method by name."""
-    bare, depth = _QUOTED.sub(" ", text), 0
-    for mark in re.findall(r"[()]", bare):
-        depth += 1 if mark == "(" else -1
-        if depth < 0:
-            return False
-    return ";" not in bare and not _REFUSED.search(bare)
+def _items(sequence) -> list:
+    return [sequence.apply(i) for i in range(sequence.size())]
 
 
-def _as_query(own: SparkSession, text: str) -> DataFrame:
-    """The text as a subquery, where the parser takes nothing that writes; and no command in what it parsed to."""
+def _calls(own: SparkSession, plan) -> tuple[set[str], set[str]]:
+    """Kinds of all nodes of a parsed plan, in subqueries and WITH parts too, and the functions called anywhere, in lower case."""
+    kinds, names, open_ = set(), set(), [plan]
+    while open_:
+        node = open_.pop()
+        kind = node.getClass().getSimpleName()
+        kinds.add(kind)
+        if kind == "UnresolvedFunction":
+            names.add(_items(node.nameParts())[-1].lower())
+        elif kind == "UnresolvedTableValuedFunction":
+            names.add(_items(node.name())[-1].lower())
+        open_ += _items(node.children()) + _items(node.innerChildren())
+        if is_instance_of(own._sc._gateway, node, "org.apache.spark.sql.catalyst.plans.logical.LogicalPlan"):
+            open_ += _items(node.expressions())
+    return kinds, names
+
+
+def allowed_functions(own: SparkSession) -> set[str]:
+    """Names of the session's built-in functions, without those that call methods by name."""
+    found = {r[0].lower().rpartition(".")[2] for r in own.sql("SHOW SYSTEM FUNCTIONS").collect()}
+    return found - _REFUSED
+
+
+def _as_query(own: SparkSession, text: str, allowed: set[str]) -> DataFrame:
+    """The text as a subquery, where the parser takes nothing that writes.
+
+    The text must be a statement by itself too, so that no bracket in it closes the subquery. What the parser made of it decides:
+    no node of the plan may write or run anything, and every function called must be one of ``allowed``.
+    """
+    parser = own._jsparkSession.sessionState().sqlParser()
+    parser.parsePlan(text)
     wrapped = f"SELECT * FROM (\n{text}\n)"
-    nodes = [own._jsparkSession.sessionState().sqlParser().parsePlan(wrapped)]
-    while nodes:
-        node = nodes.pop()
-        if re.search("Command|Insert|Create|Drop|Delete|Merge|Update|Script", node.getClass().getSimpleName()):
-            raise AnalysisException("only queries run", errorClass="REFUSED")
-        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    kinds, names = _calls(own, parser.parsePlan(wrapped))
+    if any(_WRITES.search(k) for k in kinds) or names - allowed:
+        raise AnalysisException("only queries of built-in functions run", errorClass="REFUSED")
     return own.sql(wrapped)
 
 
@@ -171,7 +193,8 @@ def capture_queries(
     own = spark.newSession()
     own.conf.set("spark.sql.runSQLOnFiles", "false")
     register(own)
-    errors = {number: _store_result(own, text, number, f"{folder}/text={number}") for text, number in numbers.items()}
+    allowed = allowed_functions(own)
+    errors = {number: _store_result(own, text, allowed, number, f"{folder}/text={number}") for text, number in numbers.items()}
     status = spark.createDataFrame([(e, m, s, errors[n] is None, errors[n]) for e, m, s, n in uses], CAPTURED_STATUS)
     stored = [f"{folder}/text={number}" for number, error in errors.items() if error is None]
     schema = "text_no long, row_text string"
@@ -179,12 +202,10 @@ def capture_queries(
     return rows, spark.createDataFrame(uses, "ex_id long, model string, side string, text_no long"), status
 
 
-def _store_result(own: SparkSession, text: str, number: int, path: str) -> str | None:
+def _store_result(own: SparkSession, text: str, allowed: set[str], number: int, path: str) -> str | None:
     """Write a text's rows; return the error condition, or None when all went well."""
-    if not is_safe_query(text):
-        return "REFUSED"
     try:
-        result = _as_query(own, text)
+        result = _as_query(own, text, allowed)
         # column names may repeat in a result; rows are compared by position
         result = result.toDF(*[f"c{i}" for i in range(len(result.columns))])
         result.select(F.lit(number).cast("long").alias("text_no"), row_text(result).alias("row_text")).write.mode("overwrite").parquet(path)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -24,10 +28,24 @@ def build_session(app: str = "sqlyard", master: str | None = None, **settings) -
     return builder.getOrCreate()
 
 
+_LOCAL: list[str] = []  # this process' folder, once a local session has asked for one
+
+
 def shared_base(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a folder in the warehouse where that is unset: both are shared by all machines."""
+    """The folder in ``spark.checkpoint.dir``, which the driver and every executor reach.
+
+    Where the setting is missing, a local session, whose executor is the driver, gets a folder of this machine that goes when the
+    process ends; any other session gets an error, since its executors would each write to a folder of their own.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    return (base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
+    if base:
+        return base.rstrip("/")
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="sqlyard-"))
+        atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
+    return _LOCAL[0]
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:

@@ -142,6 +142,14 @@ def test_capture(spark, tmp_path):
         (five, "(SELECT id FROM five)", (True, None)),
         ("SELECT ';)' AS a", "SELECT concat(';', ')')", (True, None)),
         ("SELECT 'reflect(' AS a", "SELECT 'reflect' || '('", (True, None)),
+        (five, r"SELECT '\\' AS a, reflect('java.util.UUID','randomUUID') AS b, '\\' AS c", (False, "runtime_error")),
+        (five, "SELECT id FROM five WHERE id IN (SELECT builtin.REFLECT('java.lang.Math', 'abs', 1))", (False, "runtime_error")),
+        (five, "WITH x AS (SELECT try_reflect('java.util.UUID', 'randomUUID') AS y) SELECT y FROM x", (False, "runtime_error")),
+        (five, "SELECT id FROM five ORDER BY `java_method`('java.util.UUID', 'randomUUID')", (False, "runtime_error")),
+        (five, "SELECT id FROM five JOIN (SELECT 1 AS one) ON exists(array(1), x -> x = java_method('java.lang.Math', 'abs', x))", (False, "runtime_error")),
+        (five, "SELECT no_such_function(id) FROM five", (False, "runtime_error")),
+        (r"SELECT '\\' AS a, 1 AS b", r"SELECT '\\', abs(-1)", (True, None)),
+        (five, "SELECT id FROM range(5)", (True, None)),
         (five, "SELECT id FROM five", (True, None)),
     ]
     texts = [(i, "m", side, text) for i, (gold, pred, _) in enumerate(pairs) for side, text in (("gold", gold), ("pred", pred))]
