@@ -138,7 +138,8 @@ class PieceEncoder:
         self.ids, self.begins, self.sizes = array("I"), array("q"), array("q")
 
     def _learn(self, fresh: list[str]) -> None:
-        words = [p.strip(" ").isalpha() and p.isprintable() and max(p) < "\u0100" and "  " not in p and self.direct for p in fresh]
+        # a blank at a part's end is a token of its own
+        words = [p.lstrip(" ").isalpha() and p.isprintable() and max(p) < "\u0100" and "  " not in p and self.direct for p in fresh]
         others = iter(self._whole([p for p, w in zip(fresh, words) if not w]))
         for part, word in zip(fresh, words):
             found = self._word(part) if word else next(others)

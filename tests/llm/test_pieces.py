@@ -12,7 +12,8 @@ from sqlyard.llm.common import PieceEncoder, run_hashes
 
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 ODD = ["", " ", "  a", "a  b ", "\n\na b\tc", "don't we'll", "a<|endoftext|> b", "x  y", "x  y", "é ́a", "ΑΣ Σ", "1 2  3",
-       "a \x1c b", "\x85 a", "it's 'sword \'\'s x\'", "a\n\nb", "a \n b", "a\n b", "a\n  b", "(word) 1word2", "ªº µm ×÷", "aж бa", "\xa0\xa0a \xa0b", "A'S", "x  y", "🙂 🙂🙂", "İ I ı", "a\r\n b", "' s", "a 's"]
+       "a \x1c b", "\x85 a", "it's 'sword \'\'s x\'", "a\n\nb", "a \n b", "a\n b", "a\n  b", "(word) 1word2", "ªº µm ×÷", "aж бa", "\xa0\xa0a \xa0b", "A'S", "x  y", "🙂 🙂🙂", "İ I ı", "a\r\n b", "' s", "a 's",
+       "She said “hello” to the world ", "你好 C ", "a – b ", "“ x ”  y ", " “word ", "日本 word word ", "… I ", "Ω a b  "]
 
 
 @pytest.fixture(scope="module", params=FILES)
