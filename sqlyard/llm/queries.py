@@ -5,8 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from sqlyard.llm import chunks, edits, leaks, lm, neighbours, packing, pages, periods, ranked, simhash, substring, tokenfiles, toxicity
+from sqlyard.llm import chunks, edits, leaks, lm, neighbours, packing, pages, periods, ranked, simhash, stages, substring, tokenfiles, toxicity
 from sqlyard.llm.common import table
 
 
@@ -76,7 +75,7 @@ QUERIES = {f.__name__: f for f in (
     op1_document_fingerprints, op2_token_files, op3_masked_likelihood, op4_substring_dedup, op5_best_fit_packing, op6_main_text,
     op7_benchmark_decontamination, op8_edited_token_counts, op9_toxicity, op10_simhash_near_duplicates, op11_ranked_search,
     op12_nearest_neighbours, op13_periodic_runs,
-)} | {"pipeline": corpus_pipeline.run}
+)} | {"pipeline": stages.run}
 
 
 def _run(words: int) -> str:
