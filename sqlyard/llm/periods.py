@@ -256,12 +256,16 @@ def with_planted_period(doc_id: Column | str, text: Column | str) -> Column:
     """The text with a period made by its id: with h the crc32 of the decimal id and n words, one text in ten (h % 10 = 0) repeats
     the words from a = g % n on at period 1 + (n - a) div (3 + g % 8), g = h div 10. Other texts stay as they are."""
     doc_id, text = (F.col(c) if isinstance(c, str) else c for c in (doc_id, text))
-    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
     h = F.crc32(doc_id.cast("string"))
-    n = F.size(words).cast("long")
     g = F.floor(h / 10).cast("long")
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
-    order = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
-    planted = F.array_join(F.transform(order, lambda i: F.get(words, i.cast("int"))), " ")
-    return F.when((h % 10 == 0) & (n > 0), planted).otherwise(text)
+
+    def planted(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+        order = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+        return F.when(n > 0, F.array_join(F.transform(order, lambda i: F.get(words, i.cast("int"))), " "))
+
+    # bound by a function's argument, the words are found once and not again for each of them
+    found = F.get(F.transform(F.array(F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))), planted), F.lit(0))
+    return F.when(h % 10 == 0, F.coalesce(found, text)).otherwise(text)
