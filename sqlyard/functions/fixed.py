@@ -143,6 +143,16 @@ TABLE_BODY = r"(?is)\bcreate\b.*?\btable\b[^(]*\((.*)\)"
 # Starts of parts of a table's body that declare no column.
 NO_COLUMN = ["primary", "foreign", "unique", "check", "constraint", "key", "index", "exclude", "like"]
 
+# One token of a query in group 1, which is empty for comments and blanks: a name with its qualifiers, quoted text, a number,
+# an operator or any other character.
+NAME_TOKEN = (
+    r"--[^\r\n]*+|/\*[\s\S]*?\*/|\s++|(" + FULL_NAME + r"|(?:'[^']*+')++|\"[^\"]*+\"|[0-9][0-9A-Za-z_.]*+|<=|>=|<>|!=|==|\|\||[\s\S])"
+)
+# A text that is a query, after comments and brackets.
+QUERY_START = r"(?is)^(?:\s|\(|--[^\r\n]*|/\*.*?\*/)*+(?:select|with)\b"
+# Names that stand for a row's own number.
+ROW_IDS = ["rowid", "oid", "_rowid_"]
+
 # Clauses looked for as plain text in normalised SQL, with the class given when one is missing.
 CLAUSE_CLASSES = [
     ("where", "missing_where"),

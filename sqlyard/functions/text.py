@@ -147,32 +147,18 @@ def missing_tables(sql: Column | str, schema: Column | str) -> Column:
     return F.array_except(read_tables(sql), declared_tables(schema))
 
 
-def declared_columns(schema: Column | str) -> Column:
-    """Lower-cased columns of all tables a DDL text creates, once each."""
-    def columns(statement: Column) -> Column:
-        body = F.regexp_extract(_names_only(statement), fixed.TABLE_BODY, 1)
-        flat = F.regexp_replace(F.regexp_replace(body, r"\([^()]*\)", ""), r"\([^()]*\)", "")
-        first = F.transform(F.split(flat, ","), lambda part: F.regexp_extract(part, r"^\s*(" + fixed.NAME + ")", 1))
-        named = F.filter(first, lambda name: (name != "") & ~F.lower(name).isin(fixed.NO_COLUMN))
-        return F.transform(named, _last_part)
-
-    return F.array_distinct(F.flatten(F.transform(ddl_statements(schema), columns)))
-
+def declared_columns_of(statement: Column) -> Column:
+    """Lower-cased columns of the table that one DDL statement creates, in order."""
+    body = F.regexp_extract(_names_only(statement), fixed.TABLE_BODY, 1)
+    flat = F.regexp_replace(F.regexp_replace(body, r"\([^()]*\)", ""), r"\([^()]*\)", "")
+    first = F.transform(F.split(flat, ","), lambda part: F.regexp_extract(part, r"^\s*(" + fixed.NAME + ")", 1))
+    named = F.filter(first, lambda name: (name != "") & ~F.lower(name).isin(fixed.NO_COLUMN))
+    return F.transform(named, _last_part)
 
-def missing_columns(sql: Column | str, schema: Column | str) -> Column:
-    """Columns a query compares or qualifies that no table of its schema declares.
 
-    Only what is certain: names right before or after a comparison, and names after a dot, in a query that is a single
-    SELECT without names of its own making. Where the query has subqueries, WITH or AS, the list is empty.
-    """
-    bare = F.regexp_replace(_names_only(sql), fixed.OTHER_FROM, " ")
-    side = r"(?<![\p{L}\p{N}_$.\"`\]])(" + fixed.FULL_NAME + r")\s*+(?:[<>=]|!=|<>)"
-    other = r"(?:[<>=]|!=|<>)\s*+(" + fixed.FULL_NAME + r")(?!\s*+\()"
-    used = F.concat(_found(bare, side), _found(bare, other))
-    plain = (F.size(_found(bare, r"(?i)\b(select|with|as)\b")) == 1) & (F.size(declared_columns(schema)) > 0)
-    known = F.concat(declared_columns(schema), F.array(*[F.lit(w.lower()) for w in fixed.KEYWORDS]))
-    lacks = F.array_except(F.array_distinct(F.transform(used, _last_part)), known)
-    return F.when(plain, lacks).otherwise(F.array().cast("array<string>"))
+def declared_columns(schema: Column | str) -> Column:
+    """Lower-cased columns of all tables a DDL text creates, once each."""
+    return F.array_distinct(F.flatten(F.transform(ddl_statements(schema), declared_columns_of)))
 
 
 # ---- numbers ----------------------------------------------------------------------------------

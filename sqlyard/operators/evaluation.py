@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sqlyard.functions import fixed
+from sqlyard.functions.names import missing_columns
 from sqlyard.functions.text import (
-    clean_prediction, col, is_valid_sql, missing_columns, missing_tables, normalize_sql, round_even, text_or_empty,
+    clean_prediction, col, is_valid_sql, missing_tables, normalize_sql, round_even, text_or_empty,
 )
 from sqlyard.operators.result_sets import PRED, error_kind
 from sqlyard.operators.row_scores import with_bleu

@@ -197,6 +197,16 @@ def error_class_by_schema(spark, sf):
     return evaluation.classify_errors(evaluation.with_schema_errors(joined)).select("ex_id", "model", "error_type")
 
 
+def error_class_forms(spark, sf):
+    """Every error class, from captured errors and from the schema alone, over several schemas and shapes of query."""
+    forms = derived.query_forms(spark, sf)
+    examples = forms.select("ex_id", "schema", "gold_sql")
+    joined = evaluation.join_gold(evaluation.clean_predictions(forms.select("ex_id", "model", "raw_text", "error")), examples, "schema")
+    ran = evaluation.classify_errors(joined.withColumn("run_error", result_sets.error_kind("error")))
+    read = evaluation.classify_errors(evaluation.with_schema_errors(joined))
+    return ran.select("ex_id", F.col("error_type").alias("by_run")).join(read.select("ex_id", F.col("error_type").alias("by_schema")), "ex_id")
+
+
 def error_distribution(spark, sf):
     return reports.error_distribution(_classed(spark, sf))
 
@@ -496,6 +506,7 @@ QUERIES: dict[str, Query] = {
     "same_rows": same_rows,
     "error_class": error_class,
     "error_class_by_schema": error_class_by_schema,
+    "error_class_forms": error_class_forms,
     "error_distribution": error_distribution,
     "error_share": error_share,
     "result_records": result_records,

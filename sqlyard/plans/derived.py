@@ -117,6 +117,50 @@ def exec_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("ex_id", "model", "side", "row_text")
 
 
+_ORDERS = "CREATE TABLE orders (o_orderkey INT, o_custkey INT, o_orderdate DATE, o_totalprice REAL, o_orderstatus TEXT);"
+_CUSTOMERS = "CREATE TABLE customer (c_custkey INT PRIMARY KEY, c_name TEXT, \"c segment\" TEXT);\n" + _ORDERS
+
+# (schema, gold, prediction, error of a captured run); {k} is the order's key
+QUERY_FORMS = [
+    (_ORDERS, "SELECT o_totalprice FROM orders WHERE o_orderkey = {k}", "select o_totalprice from orders where o_orderkey = {k};", None),
+    (_ORDERS, "SELECT o_totalprice FROM orders WHERE o_orderkey = {k}", "  ", "PARSE_EMPTY_STATEMENT"),
+    (_ORDERS, "SELECT o_totalprice FROM orders WHERE o_orderkey = {k}", "SELECT o_totalprice FROM order_list WHERE o_orderkey = {k}", "TABLE_OR_VIEW_NOT_FOUND"),
+    (_ORDERS, "SELECT o_totalprice FROM orders WHERE o_orderkey = {k}", "SELECT price FROM orders WHERE o_orderkey = {k}", "UNRESOLVED_COLUMN.WITH_SUGGESTION"),
+    (_ORDERS, "SELECT o_totalprice FROM orders WHERE o_orderkey = {k}", "SELECT o_totalprice FROM orders WHERE o_key BETWEEN {k} AND {k}", "UNRESOLVED_COLUMN"),
+    (_ORDERS, "SELECT o_totalprice FROM orders WHERE o_orderkey = {k}", "SELECT o_totalprice / 0 FROM orders WHERE o_orderkey = {k}", "DIVIDE_BY_ZERO"),
+    (_ORDERS, "SELECT o_totalprice FROM orders WHERE o_orderkey = {k}", "SELECT o_totalprice FROM orders", None),
+    (_CUSTOMERS, "SELECT c_name FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_orderkey = {k}",
+     "SELECT c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderkey = {k})", None),
+    (_CUSTOMERS, "SELECT c_name FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_orderkey = {k}",
+     "SELECT c.c_name FROM customer AS c JOIN orders o ON c.c_custkey = o.c_custkey WHERE o.o_orderkey = {k}", "UNRESOLVED_COLUMN"),
+    (_CUSTOMERS, "SELECT c_name FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_orderkey = {k}",
+     "SELECT c_name FROM customer JOIN orders ON c_custkey = o_custkey WHERE \"c segment\" = \"BUILDING\" AND rowid = {k}", None),
+    (_ORDERS, "SELECT o_orderstatus, COUNT(*) FROM orders WHERE o_orderkey > {k} GROUP BY o_orderstatus",
+     "SELECT o_orderstatus FROM orders WHERE o_orderkey > {k}", None),
+    (_ORDERS, "SELECT o_orderkey FROM orders WHERE o_orderkey > {k} ORDER BY o_orderdate", "SELECT o_orderkey FROM orders WHERE o_orderkey > {k}", None),
+    (_ORDERS, "SELECT o_orderkey FROM orders WHERE o_orderkey > {k} ORDER BY o_orderdate",
+     "SELECT o_orderkey FROM orders WHERE o_orderkey > {k} ORDER BY order_date", "UNRESOLVED_COLUMN"),
+    (_ORDERS, "SELECT o_orderkey FROM orders WHERE o_orderdate > '1995-01-01' AND o_orderkey <> {k}",
+     "```sql\nSELECT o_orderkey FROM orders WHERE o_orderdate > DATE '1995-01-01' AND o_orderkey <> {k}\n```", None),
+    (_ORDERS, "SELECT MAX(o_totalprice) FROM orders WHERE o_orderkey < {k}",
+     "WITH t AS (SELECT o_totalprice AS p FROM orders WHERE o_orderkey < {k}) SELECT MAX(p) FROM t WHERE p > 0", None),
+    (_ORDERS, "SELECT MAX(o_totalprice) FROM orders WHERE o_orderkey < {k}",
+     "SELECT MAX(p) FROM (SELECT total AS p FROM orders WHERE o_orderkey < {k}) t", "UNRESOLVED_COLUMN"),
+]
+
+
+def query_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(ex_id, model, question, schema, gold_sql, raw_text, error)``: every order with one of the forms above, by its key."""
+    k, form = F.col("o_orderkey"), (F.col("o_orderkey") % len(QUERY_FORMS)).cast("int")
+
+    def part(i: int) -> Column:
+        return F.replace(F.get(F.array(*[F.lit(f[i]).cast("string") for f in QUERY_FORMS]), form), F.lit("{k}"), k.cast("string"))
+
+    return table(spark, sf_dir, "orders").select(
+        k.alias("ex_id"), F.lit("forms").alias("model"), F.lit("?").alias("question"), part(0).alias("schema"), part(1).alias("gold_sql"),
+        part(2).alias("raw_text"), part(3).alias("error"))
+
+
 def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(run_id, step, eval_loss)``: a run per user, steps numbered as events are, in order of time."""
     return table(spark, sf_dir, "events").select(

@@ -316,6 +316,20 @@ _COMPARISON = f"""SELECT ex_id, max(question) AS question, max(gold_sql) AS gold
     {_two(_round('bleu', 4), 'bleu')}, {_two('execution_accuracy', 'exec_accuracy')}
     FROM scored GROUP BY ex_id"""
 
+# (class by captured error, class by schema) of each query form
+FORM_CLASSES = [
+    (None, None), ("syntax_error", "syntax_error"), ("wrong_table", "wrong_table"), ("wrong_column", "wrong_column"), ("wrong_column", "wrong_column"),
+    ("runtime_error", "logic_error"), ("missing_where", "missing_where"), ("missing_join", "missing_join"), ("wrong_column", "wrong_column"),
+    ("logic_error", "logic_error"), ("missing_groupby", "missing_groupby"), ("missing_orderby", "missing_orderby"), ("wrong_column", "wrong_column"),
+    ("logic_error", "logic_error"), ("logic_error", "logic_error"), ("wrong_column", "wrong_column"),
+]
+
+
+def _by_form(values: list[tuple], place: int) -> str:
+    cases = " ".join(f"WHEN {i} THEN {_q(v[place])}" for i, v in enumerate(values) if v[place] is not None)
+    return f"CASE o_orderkey % {len(values)} {cases} END"
+
+
 QUERIES: dict[str, str] = {
     "prepare_examples": _prepared("generic", True),
     "prepare_instruct": _prepared("mistral-instruct", False),
@@ -376,6 +390,9 @@ QUERIES: dict[str, str] = {
             (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT ALL SELECT * FROM a))""",
     "error_class": _with(CLASSED) + "SELECT ex_id, model, error_type FROM classed",
     "error_class_by_schema": _with(CLASSED) + "SELECT ex_id, model, error_type FROM classed",
+    # the class of each form, written out
+    "error_class_forms": f"""SELECT o_orderkey AS ex_id, {_by_form(FORM_CLASSES, 0)} AS by_run, {_by_form(FORM_CLASSES, 1)} AS by_schema
+        FROM orders""",
     "error_distribution": _with(DISTRIBUTION) + """SELECT model, error_type, n,
         CAST(row_number() OVER (PARTITION BY model ORDER BY n DESC, error_type) AS INTEGER) AS error_rank FROM dist""",
     "error_share": _with(DISTRIBUTION) + f"""SELECT model, error_type, n,
