@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,37 +12,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sqlyard.llm.common import byte_values, id_and_text, text_slices
+from sqlyard.sources.tables import stored
 
 #: Class of the places before and behind a text.
 EDGE = 0
 
 
-class Classes(dict):
-    """Token class per word: frequent words own one, the others share the classes behind by hash."""
-
-    def __init__(self, frequent: list[bytes], shared: int, most: int = 1 << 18):
-        super().__init__((w, i + 1) for i, w in enumerate(frequent))
-        self.own, self.shared, self.most = len(frequent), shared, most
-
-    def __missing__(self, word: bytes) -> int:
-        found = 1 + self.own + xxhash.xxh3_64_intdigest(word) % self.shared
-        if len(self) < self.most:
-            self[word] = found
-        return found
+def shape(words: int, breadth: int = 64) -> int:
+    """Groups, and classes in a group, for a corpus of so many distinct words: their product grows as ``breadth`` times the root of it."""
+    return max(2, math.ceil((breadth * max(1, words)) ** 0.25))
 
 
 class Network:
-    """Softmax over classes from tanh of a sum of vectors, one table of vectors per place in the window."""
+    """Softmax over groups of classes, and over the classes of a group, from tanh of a sum of vectors, one table of vectors per place in the window.
+
+    A class's probability is its group's times its own within the group, so a prediction costs the number of groups and of
+    classes in one of them, not of all classes.
+    """
 
-    def __init__(self, classes: int, dim: int, reach: int, seed: int = 1):
+    def __init__(self, groups: int, members: int, dim: int, reach: int, seed: int = 1):
         rng = np.random.default_rng(seed)
-        self.reach = reach
-        self.tables = rng.normal(0, 0.1, (2 * reach, classes, dim)).astype(np.float32)
-        self.out = rng.normal(0, 0.1, (dim, classes)).astype(np.float32)
-        self.bias = np.zeros(classes, np.float32)
+        self.reach, self.groups, self.members = reach, groups, members
+        self.tables = rng.normal(0, 0.1, (2 * reach, groups * members, dim)).astype(np.float32)
+        self.to_group = rng.normal(0, 0.1, (dim, groups)).astype(np.float32)
+        self.group_bias = np.zeros(groups, np.float32)
+        self.to_member = rng.normal(0, 0.1, (groups, dim, members)).astype(np.float32)
+        self.member_bias = np.zeros((groups, members), np.float32)
 
     def parameters(self) -> list[np.ndarray]:
-        return [self.tables, self.out, self.bias]
+        return [self.tables, self.to_group, self.group_bias, self.to_member, self.member_bias]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parameters()])
@@ -56,78 +55,129 @@ class Network:
     def places(self) -> list[int]:
         return [j for j in range(-self.reach, self.reach + 1) if j]
 
-    def forward(self, tokens: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden vectors and class probabilities at the places ``at``, whose own token is never looked at."""
-        hidden, p = self.weights(tokens, at)
-        p /= p.sum(axis=1, keepdims=True)
-        return hidden, p
-
-    def weights(self, tokens: np.ndarray, at: np.ndarray, step: int = 512) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden vectors and probabilities times a factor of each row, few rows at a time so that they stay in the cache."""
-        hidden = self.tables[0].take(tokens[at - self.reach], axis=0)
+    def hidden(self, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Hidden vectors at the places ``at``, whose own token is never looked at."""
+        total = self.tables[0].take(tokens[at - self.reach], axis=0)
         for table, j in zip(self.tables[1:], self.places()[1:]):
-            hidden += table.take(tokens[at + j], axis=0)
-        np.tanh(hidden, out=hidden)
-        p = np.empty((len(at), len(self.bias)), np.float32)
-        # no logit is beyond this, as hidden values are between -1 and 1
-        wide = (np.abs(self.out).sum(axis=0) + np.abs(self.bias)).max() > 40
-        for i in range(0, len(at), step):
-            some = p[i: i + step]
-            np.matmul(hidden[i: i + step], self.out, out=some)
-            some += self.bias
-            if wide:
-                np.clip(some, -40, 40, out=some)
-            np.exp(some, out=some)
-        return hidden, p
-
-    def log_probabilities(self, tokens: np.ndarray, at: np.ndarray, step: int = 512) -> np.ndarray:
+            total += table.take(tokens[at + j], axis=0)
+        return np.tanh(total, out=total)
+
+    def by_group(self, classes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """``(group, rows, members)`` for the groups that occur."""
+        group = classes // self.members
+        order = np.argsort(group, kind="stable")
+        found, begins = np.unique(group[order], return_index=True)
+        for g, rows in zip(found.tolist(), np.split(order, begins[1:])):
+            yield g, rows, classes[rows] - g * self.members
+
+    def log_probabilities(self, tokens: np.ndarray, at: np.ndarray, step: int = 4096) -> np.ndarray:
         out = np.empty(len(at), np.float64)
         for i in range(0, len(at), step):
             some = at[i: i + step]
-            p = self.weights(tokens, some)[1]
-            out[i: i + step] = np.log(p[np.arange(len(some)), tokens[some]] / p.sum(axis=1))
+            hidden, classes, total = self.hidden(tokens, some), tokens[some], out[i: i + step]
+            shares = _softmax(hidden @ self.to_group + self.group_bias)
+            total[:] = np.log(shares[np.arange(len(some)), classes // self.members])
+            for g, rows, member in self.by_group(classes):
+                own = _softmax(hidden[rows] @ self.to_member[g] + self.member_bias[g])
+                total[rows] += np.log(own[np.arange(len(rows)), member])
         return out
 
-    def learn(self, tokens: np.ndarray, at: np.ndarray, squares: list[np.ndarray], rate: float, step: int = 4096) -> None:
+    def learn(self, tokens: np.ndarray, at: np.ndarray, squares: list[np.ndarray], rate: float, step: int = 8192) -> None:
         """One pass of Adagrad over the places in the order given."""
-        classes = len(self.bias)
+        size = self.groups * self.members
         for i in range(0, len(at), step):
             some = at[i: i + step]
-            hidden, error = self.weights(tokens, some)
-            error *= 1 / (len(some) * error.sum(axis=1, keepdims=True))
-            error[np.arange(len(some)), tokens[some]] -= np.float32(1 / len(some))
-            back = (error @ self.out.T) * (1 - hidden * hidden)
-            slopes = [np.empty_like(self.tables), hidden.T @ error, error.sum(axis=0)]
+            hidden, classes, part = self.hidden(tokens, some), tokens[some], np.float32(1 / len(some))
+            error = _softmax(hidden @ self.to_group + self.group_bias)
+            error[np.arange(len(some)), classes // self.members] -= 1
+            error *= part
+            back = error @ self.to_group.T
+            slopes = [np.empty_like(self.tables), hidden.T @ error, error.sum(axis=0), np.zeros_like(self.to_member), np.zeros_like(self.member_bias)]
+            for g, rows, member in self.by_group(classes):
+                held = hidden[rows]
+                error = _softmax(held @ self.to_member[g] + self.member_bias[g])
+                error[np.arange(len(rows)), member] -= 1
+                error *= part
+                back[rows] += error @ self.to_member[g].T
+                slopes[3][g], slopes[4][g] = held.T @ error, error.sum(axis=0)
+            back *= 1 - hidden * hidden
             columns = np.ascontiguousarray(back.T, np.float64)
             for k, j in enumerate(self.places()):
                 side = tokens[some + j]
                 for d, column in enumerate(columns):
-                    slopes[0][k, :, d] = np.bincount(side, column, classes)
+                    slopes[0][k, :, d] = np.bincount(side, column, size)
             for p, slope, square in zip(self.parameters(), slopes, squares):
                 square += slope * slope
                 p -= rate * slope / (np.sqrt(square) + 1e-8)
 
 
-def _tokens(batch: pa.RecordBatch, classes: Classes, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Classes of all texts with edges between, the places of real tokens, and how many each text has."""
-    rows, edge = [], np.zeros(reach, np.int64)
-    for text in byte_values(batch.column("text")):
-        words = (text or b"").lower().split()
-        rows += [edge, np.fromiter(map(classes.__getitem__, words), np.int64, len(words))]
-    counts = np.array([len(r) for r in rows[1::2]], np.int64)
-    tokens = np.concatenate([*rows, edge]) if rows else edge
-    return tokens, np.flatnonzero(tokens != EDGE), counts
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    np.maximum(logits, 1e-30, out=logits)
+    return logits
+
+
+# ---- shards ---------------------------------------------------------------------------------------
+#
+# Texts are cut into words once. A shard is a slice of the documents with a dictionary of its own: codes of all its words in
+# order, the words behind the codes, and how often each occurs.
 
+_SHARDS = "ids array<long>, sizes binary, codes binary, words array<binary>, counts binary"
 
-def vocabulary(rows: DataFrame, own: int) -> list[bytes]:
-    """The most frequent words of all texts, counted in the tasks and then by word; equal counts in the order of the words."""
-    def count(batches):
-        for batch in text_slices(batches):
-            words = pa.array([w for t in byte_values(batch.column("text")) for w in (t or b"").lower().split()], pa.binary())
-            found = words.value_counts()
-            yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "n"])
-    counted = rows.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r["word"]) for r in counted.orderBy(F.desc("n"), "word").limit(own).collect()]
+
+def _cut(batches):
+    for batch in text_slices(batches):
+        code: dict[bytes, int] = {}
+        rows = []
+        for text in byte_values(batch.column("text")):
+            words = (text or b"").lower().split()
+            rows.append(np.fromiter((code.setdefault(w, len(code)) for w in words), np.int32, len(words)))
+        codes = np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int32)
+        raw = [np.array([len(r) for r in rows], np.int64), codes, np.bincount(codes, minlength=len(code)).astype(np.int64)]
+        sizes, codes, counts = (pa.array([x.tobytes()], pa.binary()) for x in raw)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())), sizes, codes, pa.array([list(code)], pa.list_(pa.binary())), counts],
+            ["ids", "sizes", "codes", "words", "counts"])
+
+
+def _array(batch: pa.RecordBatch, column: str, row: int, kind) -> np.ndarray:
+    return np.frombuffer(batch.column(column)[row].as_buffer(), kind)
+
+
+def _count(batches):
+    for batch in batches:
+        for row in range(batch.num_rows):
+            yield pa.RecordBatch.from_arrays([batch.column("words")[row].values, pa.array(_array(batch, "counts", row, np.int64))], ["word", "n"])
+
+
+def _shared(own, first: int, shared: int):
+    """``(shard, code, word)`` of the words without a class of their own."""
+    def run(batches):
+        frequent = own.value
+        for batch in batches:
+            for row, shard in enumerate(batch.column("shard").to_pylist()):
+                words = batch.column("words")[row].values.to_pylist()
+                rest = [i for i, w in enumerate(words) if w not in frequent]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(rest), shard)), pa.array(rest, pa.int32()), pa.array([words[i] for i in rest], pa.binary()),
+                     pa.array([_shared_class(words[i], first, shared) for i in rest], pa.int32())], ["shard", "code", "word", "class"])
+    return run
+
+
+def _shared_class(word: bytes, first: int, shared: int) -> int:
+    return first + xxhash.xxh3_64_intdigest(word) % shared
+
+
+def _tokens(batch: pa.RecordBatch, row: int, frequent: dict[bytes, int], first: int, shared: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Classes of all texts of a shard with edges between, the places of real tokens, their codes, and how many each text has."""
+    words, sizes, codes = batch.column("words")[row].values.to_pylist(), _array(batch, "sizes", row, np.int64), _array(batch, "codes", row, np.int32)
+    of = np.array([frequent.get(w) or _shared_class(w, first, shared) for w in words], np.int64)
+    at = np.arange(len(codes)) + reach * (1 + np.repeat(np.arange(len(sizes)), sizes))
+    tokens = np.full(len(codes) + reach * (len(sizes) + 1), EDGE, np.int64)
+    tokens[at] = of[codes] if len(codes) else 0
+    return tokens, at, codes, sizes
 
 
 def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,62 +191,103 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([weight])], ["values", "weight"])
 
 
-def fit(docs: DataFrame, own: int = 191, shared: int = 64, dim: int = 16, reach: int = 2, rounds: int = 1, rate: float = 0.1) -> tuple[list[bytes], np.ndarray]:
-    """Frequent words and network parameters from every token of every text.
-
-    In each round every task starts from the same parameters, learns from all its texts in turn, and the results are averaged
-    by their numbers of tokens: first among groups of tasks, then among the groups, so no task or driver holds more than a
-    few dozen of them at once. Parameters depend a little on how the input is dealt to tasks.
-    """
-    rows = id_and_text(docs)
-    words = vocabulary(rows, own)
-    size = 1 + len(words) + shared
-    flat = Network(size, dim, reach).flat()
-    for _ in range(rounds):
-        start = docs.sparkSession.sparkContext.broadcast(flat)
-
-        def learn(batches, start=start):
-            classes, net = Classes(words, shared), Network(size, dim, reach).fill(start.value)
+class Model:
+    """Shards of a corpus, the classes of its words, ``shares`` (word, class, log-probability in the class), and the network's parameters."""
+
+    def __init__(self, docs: DataFrame, dim: int, reach: int, rounds: int, rate: float, breadth: int, own_share: float):
+        context = docs.sparkSession.sparkContext
+        self.dim, self.reach = dim, reach
+        cut = docs.mapInArrow(_cut, _SHARDS).select(F.monotonically_increasing_id().alias("shard"), "*")
+        self.shards = stored(cut, "shards")
+        words = stored(self.shards.select("words", "counts").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+        side = shape(words.count(), breadth)
+        own = min(int(side * side * own_share), side * side - 2)
+        self.side, self.first = side, 1 + own
+        self.shared = side * side - self.first
+        frequent = {bytes(r["word"]): i for i, r in enumerate(words.orderBy(F.desc("n"), "word").limit(own).collect(), 1)}
+        self.frequent = context.broadcast(frequent)
+        first, shared = self.first, self.shared
+
+        def rest(batches):
+            for batch in batches:
+                kept = [(w, n, _shared_class(w, first, shared)) for w, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()) if w not in frequent]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*kept) if kept else [[]] * 3, (pa.binary(), pa.int64(), pa.int32()))], ["word", "n", "class"])
+
+        rare = words.mapInArrow(rest, "word binary, n long, class int")
+        totals = rare.groupBy("class").agg(F.sum("n").alias("total"))
+        self.shares = rare.join(totals, "class").select("word", "class", F.log(F.col("n") / F.col("total")).alias("share"))
+        self.flat = Network(side, side, dim, reach).flat()
+        for _ in range(rounds):
+            self._learn(rate)
+
+    def _learn(self, rate: float) -> None:
+        """Every task starts from the same parameters, learns from all its texts in turn, and the results are averaged by their numbers of
+        tokens: first among groups of tasks, then among the groups, so no task or driver holds more than a few dozen at once."""
+        side, dim, reach, first, shared, frequent = self.side, self.dim, self.reach, self.first, self.shared, self.frequent
+        start = self.shards.sparkSession.sparkContext.broadcast(self.flat)
+
+        def learn(batches):
+            net = Network(side, side, dim, reach).fill(start.value)
             squares, seen = [np.full_like(p, 1e-6) for p in net.parameters()], 0
-            for batch in text_slices(batches):
-                tokens, at, _ = _tokens(batch, classes, reach)
-                net.learn(tokens, at, squares, rate)
-                seen += len(at)
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    tokens, at, _, _ = _tokens(batch, row, frequent.value, first, shared, reach)
+                    net.learn(tokens, at, squares, rate)
+                    seen += len(at)
             if seen:
                 values = net.flat().astype(np.float64) * seen
                 yield pa.RecordBatch.from_arrays([pa.array([values.tobytes()], pa.binary()), pa.array([float(seen)])], ["values", "weight"])
 
         schema = "values binary, weight double"
-        learned = rows.select("text").mapInArrow(learn, schema)
-        groups = learned.repartition(64).mapInArrow(_sum, schema)
-        total = groups.repartition(1).mapInArrow(_sum, schema).collect()
+        learned = self.shards.select("sizes", "codes", "words").mapInArrow(learn, schema)
+        total = learned.repartition(64).mapInArrow(_sum, schema).repartition(1).mapInArrow(_sum, schema).collect()
         if total:
-            flat = (np.frombuffer(total[0]["values"], np.float64) / total[0]["weight"]).astype(np.float32)
-    return words, flat
-
-
-def score(
-    docs: DataFrame, own: int = 191, shared: int = 64, dim: int = 16, reach: int = 2, id_col: str = "doc_id", text_col: str = "text", **settings
-) -> DataFrame:
-    """``(doc_id, n_tokens, log_likelihood, mean_log_likelihood)`` per row of ``docs``, by a network fitted on all of them.
-
-    A token is the class of a lower-case word; every token is predicted from ``reach`` words on either side, itself masked.
-    Null and empty texts have no tokens, a sum of 0 and no mean. Sums are rounded to six digits.
+            self.flat = (np.frombuffer(total[0]["values"], np.float64) / total[0]["weight"]).astype(np.float32)
+
+    def score(self) -> DataFrame:
+        """``(doc_id, n_tokens, total)`` per document: for every token the log-probability of its class, from both sides, and of the word in it."""
+        side, dim, reach, first, shared, frequent = self.side, self.dim, self.reach, self.first, self.shared, self.frequent
+        start = self.shards.sparkSession.sparkContext.broadcast(self.flat)
+        asked = self.shards.select("shard", "words").mapInArrow(_shared(frequent, first, shared), "shard long, code int, word binary, class int")
+        known = asked.join(self.shares.select("word", "share"), "word").groupBy("shard").agg(F.collect_list(F.struct("code", "share")).alias("shares"))
+
+        def run(batches):
+            net = Network(side, side, dim, reach).fill(start.value)
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    tokens, at, codes, sizes = _tokens(batch, row, frequent.value, first, shared, reach)
+                    share, held = np.zeros(len(batch.column("words")[row].values)), batch.column("shares")[row]
+                    if held.is_valid:
+                        share[held.values.field("code").to_numpy()] = held.values.field("share").to_numpy()
+                    found = net.log_probabilities(tokens, at) + share[codes]
+                    total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), found, len(sizes))
+                    yield pa.RecordBatch.from_arrays([batch.column("ids")[row].values, pa.array(sizes), pa.array(total)], ["doc_id", "n_tokens", "total"])
+
+        placed = self.shards.select("shard", "ids", "sizes", "codes", "words").join(known, "shard", "left").drop("shard")
+        return placed.mapInArrow(run, "doc_id long, n_tokens long, total double")
+
+
+def fit(
+    docs: DataFrame, dim: int = 16, reach: int = 2, rounds: int = 1, rate: float = 0.1, breadth: int = 64, own_share: float = 0.75,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> Model:
+    """A model of every word of every text. ``own_share`` of the classes belong to a most frequent word each, the others are shared by hash."""
+    return Model(id_and_text(docs, id_col, text_col), dim, reach, rounds, rate, breadth, own_share)
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """``(doc_id, n_tokens, log_likelihood, mean_log_likelihood)`` per row of ``docs``, by a model fitted on all of them.
+
+    A token is a lower-case word, each predicted from ``reach`` words on either side, itself masked: the probability of its class, by
+    the network, times that of the word in its class, by the word's count among the class's words in the whole corpus. The vocabulary is
+    every distinct word, kept as a distributed table that is joined to the shards' dictionaries; the number of classes follows the
+    square root of its size. So different words score differently where their counts or classes do.
+
+    Null and empty texts have no tokens, a sum of 0 and no mean. Rows that repeat an id, or have none, are scored each; repeated rows
+    count as often as they occur. An empty table gives no rows. A very long text is in one shard, whose memory grows with it. Sums
+    are rounded to six digits; parameters depend a little on how the input is dealt to tasks.
     """
-    rows = id_and_text(docs, id_col, text_col)
-    words, flat = fit(rows, own, shared, dim, reach, **settings)
-    model = docs.sparkSession.sparkContext.broadcast((words, flat))
-
-    def run(batches):
-        frequent, values = model.value
-        classes = Classes(frequent, shared)
-        net = Network(1 + len(frequent) + shared, dim, reach).fill(values)
-        for batch in text_slices(batches):
-            tokens, at, counts = _tokens(batch, classes, reach)
-            found = np.bincount(np.repeat(np.arange(len(counts)), counts), net.log_probabilities(tokens, at), len(counts))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(found)], ["doc_id", "n_tokens", "total"])
-
     total = F.round("total", 6)
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, total double").select(
+    return fit(docs, id_col=id_col, text_col=text_col, **settings).score().select(
         "doc_id", "n_tokens", total.alias("log_likelihood"),
         F.when(F.col("n_tokens") > 0, F.round(F.col("total") / F.col("n_tokens"), 6)).alias("mean_log_likelihood"))

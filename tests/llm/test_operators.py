@@ -300,29 +300,73 @@ def test_likelihood(spark, docs, none):
     assert lm.score(none).collect() == []
 
 
+def test_likelihood_of_every_word(spark):
+    """Against sums of softmax by softmax, on a corpus with more words than classes."""
+    rng = random.Random(12)
+    vocabulary = [f"v{i}" for i in range(300)]
+    rows = [(i, " ".join(vocabulary[min(int(rng.expovariate(0.02)), 299)] for _ in range(rng.randrange(60)))) for i in range(80)]
+    rows += [(i, f"one{i} two{i} same") for i in range(100, 140)] + [(7, None), (None, "same v1 v2"), (7, "same v1 v2")]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, word string, share int").repartition(3)
+    model = lm.fit(docs, breadth=4)
+    own, side = model.frequent.value, model.side
+    shares = {bytes(r["word"]): r["share"] for r in model.shares.collect()}
+    counts = defaultdict(int)
+    for _, t in rows:
+        for w in (t or "").encode().split():
+            counts[w] += 1
+    assert len(counts) == len(own) + len(shares) > side * side
+    of = {w: own.get(w) or lm._shared_class(w, model.first, model.shared) for w in counts}
+    for w, share in shares.items():
+        assert abs(share - np.log(counts[w] / sum(n for v, n in counts.items() if v not in own and of[v] == of[w]))) < 1e-12
+    net = lm.Network(side, side, model.dim, model.reach).fill(model.flat)
+
+    def slow(words):
+        total, padded = 0.0, [0] * model.reach + [of[w] for w in words] + [0] * model.reach
+        for i, w in enumerate(words):
+            near = [padded[i + model.reach + j] for j in net.places()]
+            hidden = np.tanh(sum(net.tables[k][c].astype(float) for k, c in enumerate(near)))
+            for logits, place in ((hidden @ net.to_group + net.group_bias, of[w] // side), (hidden @ net.to_member[of[w] // side] + net.member_bias[of[w] // side], of[w] % side)):
+                total += logits[place] - np.log(np.exp(logits).sum())
+            total += shares.get(w, 0.0)
+        return total
+
+    got = model.score().collect()
+    assert len(got) == len(rows)
+    for r in got:
+        near = [slow((t or "").encode().split()) for i, t in rows if i == r.doc_id and len((t or "").split()) == r.n_tokens]
+        assert min(abs(r.total - x) for x in near) < 1e-3
+    assert len({round(r.total, 5) for r in got if (r.doc_id or 0) >= 100}) > 20
+
+
+def test_classes_follow_the_vocabulary():
+    assert [lm.shape(n) ** 2 for n in (0, 1, 50, 10**4, 10**6, 10**8)] == sorted(lm.shape(n) ** 2 for n in (0, 1, 50, 10**4, 10**6, 10**8))
+    assert lm.shape(10**8) ** 2 > 5 * lm.shape(10**6) ** 2 > 25 * lm.shape(10**4) ** 2
+
+
 def test_network_slopes():
-    net = lm.Network(7, 3, 2)
-    tokens = np.array([0, 0, 1, 2, 3, 4, 5, 6, 1, 0, 0])
+    net = lm.Network(3, 4, 3, 2)
+    net.fill(np.random.default_rng(0).normal(0, 0.5, net.flat().size))
+    tokens = np.array([0, 0, 1, 2, 11, 4, 5, 6, 1, 0, 0])
     at = np.arange(2, 9)
-    before = -net.log_probabilities(tokens, at).mean()
     seen = net.flat().astype(np.float64)
     rates = [np.zeros_like(p) for p in net.parameters()]
+    before = -net.log_probabilities(tokens, at).mean()
     net.learn(tokens, at, rates, 1e-3)
     assert -net.log_probabilities(tokens, at).mean() < before
     slope = np.sqrt(np.concatenate([r.ravel() for r in rates]))
-    for k in (7 * 3 + 4, 2 * 21 + 5, 84 + 3, 84 + 21 + 2):
-        for sign in (1,):
-            moved = seen.copy()
-            moved[k] += 1e-2
-            up = -lm.Network(7, 3, 2).fill(moved).log_probabilities(tokens, at).mean()
-            moved[k] -= 2e-2
-            down = -lm.Network(7, 3, 2).fill(moved).log_probabilities(tokens, at).mean()
-            assert abs(abs(up - down) / 2e-2 - slope[k]) < 1e-3
 
+    def loss(k, by):
+        moved = seen.copy()
+        moved[k] += by
+        return -lm.Network(3, 4, 3, 2).fill(moved).log_probabilities(tokens, at).mean()
 
-def test_masked_token_is_not_seen():
-    net = lm.Network(7, 3, 2)
-    a, b = np.array([0, 0, 1, 2, 3, 4, 5, 0, 0]), np.array([0, 0, 1, 2, 6, 4, 5, 0, 0])
-    assert np.allclose(net.forward(a, np.array([4]))[1], net.forward(b, np.array([4]))[1])
+    for k in np.random.default_rng(1).choice(len(seen), 60, replace=False):
+        assert abs(abs(loss(k, 1e-2) - loss(k, -1e-2)) / 2e-2 - slope[k]) < 2e-3
 
 
+def test_masked_token_is_not_seen():
+    net = lm.Network(3, 4, 3, 2)
+    a, b = np.array([0, 0, 1, 2, 3, 4, 5, 0, 0]), np.array([0, 0, 1, 2, 6, 4, 5, 0, 0])
+    assert np.allclose(net.hidden(a, np.array([4])), net.hidden(b, np.array([4])))
+    every = [net.log_probabilities(np.array([0, 0, 1, 2, c, 4, 5, 0, 0]), np.array([4]))[0] for c in range(12)]
+    assert abs(np.exp(every).sum() - 1) < 1e-5
