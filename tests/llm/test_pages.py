@@ -67,3 +67,69 @@ def test_odd_pages(spark):
     found = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in pages.main_text(spark.createDataFrame(rows, PAGES)).collect()), key=repr)
     assert found == sorted([(1, None, "", 0), (2, "http://[", "x y", 3), (None, "", "", 0), (3, "http://a", "", 0)], key=repr)
     assert pages.main_text(spark.createDataFrame([], PAGES)).collect() == []
+
+
+def site_of_sixty(inside="", outside="", lead=""):
+    """Sixty pages of one host with own articles; what is put beside and inside them may use ``{i}`` in words."""
+    own = {i: [words("own", i, j) for j in range(4)] for i in range(60)}
+
+    def fill(part, i):
+        return part.replace("{i}", words("fill", i))
+    htmls = [f"<body>{lead}<article><h1>{own[i][0]}</h1><p>{own[i][1]}</p>{fill(inside, i)}<p>{own[i][2]}</p><p>{own[i][3]}</p></article>{fill(outside, i)}</body>" for i in own]
+    return htmls, {i: "\n\n".join(own[i]) for i in own}
+
+
+def test_comments_and_adverts_inside_the_article(spark):
+    for part in ('<section class="comments"><p>{i}</p><p>so true {i}</p></section>', '<div class="ad">{i}</div>', '<div class="reader-comments"><p>{i}</p></div>',
+                 '<div id="comment-list"><p>{i}</p></div>', "<p>Subscribe to our letter today</p>", '<div class="ad-slot">Buy now</div>', '<p class="newsletter">{i}</p>'):
+        htmls, want = site_of_sixty(inside=part)
+        assert texts(spark, htmls) == want, part
+
+
+def test_names_of_several_words_outside(spark):
+    htmls, want = site_of_sixty(outside='<div class="comment-list"><p>{i}</p></div><div id="ad_slot_3">{i}</div><div class="post-comments"><div>{i}</div></div>')
+    assert texts(spark, htmls) == want
+
+
+def test_one_page_of_a_host(spark):
+    a, b, c = (words("one", i) for i in range(3))
+    menu = "<ul><li><a href=/>Home</a><li><a href=/n>News</a><li><a href=/c>Contact us</a></ul>"
+    plain = f"<body>{menu}<div class=text><p>{a}</p><p>{b}</p><p>{c} <a href=x>there</a></p></div><div>&copy; 2020 A house</div></body>"
+    marked = f"<body>{menu}<h1>{a}</h1><main><p>{b}</p><p>{c}</p></main><div>All rights reserved</div></body>"
+    for k, (html, want) in enumerate(((plain, f"{a}\n\n{b}\n\n{c} there"), (marked, f"{a}\n\n{b}\n\n{c}"))):
+        assert texts(spark, [html], f"single{k}.example") == {0: want}
+
+
+def test_hidden_and_inline_parts(spark):
+    parts = {
+        "<p>Hello <svg><title>x</title><path d=1 /></svg> world</p>": "Hello world", "<p>one<script>two</script> three</p>": "one three",
+        "<p>a <span hidden>no</span>b <i style='display: none'>no</i><b aria-hidden=true>no</b>c</p>": "a b c", "<p>go <button>press</button>on</p>": "go on",
+        "<p><ruby>漢<rt>kan</rt></ruby> <math><mi>x</mi></math> <my-part>own</my-part></p>": "漢kan x own", "<div hidden><p>no</p></div><p>yes</p>": "yes",
+        "<p>a<template><p>no</p></template> b</p>": "a b", "<p>x <select><option>1<option>2</select> y</p>": "x y",
+    }
+    for html, want in parts.items():
+        assert texts(spark, [html], "inline.example") == {0: want}, html
+
+
+def test_deep_and_long_pages(spark):
+    import time
+
+    def seconds(n):
+        html = "<div>word " * n + "</p></i>" * n
+        start = time.perf_counter()
+        page = pages.Blocks(html)
+        page.priors()
+        assert len(page.blocks) == n and max(len(p) for p, _, _ in page.blocks) < 200
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(40_000) < 16 * max(seconds(5_000), 0.02)
+    deep, long = "<div>" * 10_000 + "deep", "<p>" + "many words " * 100_000
+    found = texts(spark, [deep, long], "big.example")
+    assert found[0] == "deep" and len(found[1]) == 1_099_999
+
+
+def test_repeated_ids_and_other_columns(spark):
+    rows = [(1, "http://a.example", f"<p>{words(i)}</p>", "x", 1.0) for i in range(3)]
+    found = pages.main_text(spark.createDataFrame(rows, PAGES + ", path string, importance double"))
+    assert sorted(r.text for r in found.collect()) == sorted(words(i) for i in range(3)) and found.columns == ["page_id", "url", "text", "n_chars"]
