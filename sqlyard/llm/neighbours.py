@@ -11,39 +11,39 @@ from pyspark.sql import functions as F
 
 from sqlyard.sources.tables import stored
 
-#: Bits of the first digit and of each further one in a hash string, and the dimensions that a digit of that many bits looks at.
-_FIRST_BITS, _NEXT_BITS = 7, 4
-_FIRST_DIMS, _NEXT_DIMS = 64, 8
+#: Bits of the first digit of a hash string, and the most directions it looks at. Each further digit is one bit.
+_FIRST_BITS, _FIRST_DIMS = 7, 64
 
 
 class Digits:
     """Hash strings of unit vectors of one dimension, one long per tree.
 
-    A digit says which of some random orthogonal directions, or of their opposites, is nearest to the vector; near vectors agree in
-    it more often than far ones. The first digit of a string looks at up to 64 directions, each further one at up to 8.
+    The first digit says which of up to 64 random orthogonal directions, or of their opposites, is nearest to the vector; near vectors
+    agree in it more often than in as many bits. Each further digit is the side of a random plane, so that prefixes grow in steps of two.
     """
 
     def __init__(self, dim: int, trees: int, digits: int, seed: int = 1):
         rng = np.random.default_rng([seed, dim])
-        self.widths = [min(dim, _FIRST_DIMS)] + [min(dim, _NEXT_DIMS)] * (digits - 1)
-        self.planes = [[np.linalg.qr(rng.normal(size=(dim, w)))[0].astype(np.float32) for w in self.widths] for _ in range(trees)]
+        self.first = [np.linalg.qr(rng.normal(size=(dim, min(dim, _FIRST_DIMS))))[0].astype(np.float32) for _ in range(trees)]
+        self.planes = [rng.normal(size=(dim, digits - 1)).astype(np.float32) for _ in range(trees)]
+        self.weights = np.int64(1) << np.arange(digits - 2, -1, -1, dtype=np.int64)
 
     def strings(self, unit: np.ndarray) -> np.ndarray:
         unit = unit.astype(np.float32)
-        out = np.zeros((len(self.planes), len(unit)), np.int64)
+        out = np.zeros((len(self.first), len(unit)), np.int64)
         rows = np.arange(len(unit))
-        for key, planes in zip(out, self.planes):
-            for k, plane in enumerate(planes):
-                sides = unit @ plane
-                nearest = np.abs(sides).argmax(axis=1)
-                key <<= _NEXT_BITS if k else _FIRST_BITS
-                key |= 2 * nearest + (sides[rows, nearest] > 0)
+        for key, first, planes in zip(out, self.first, self.planes):
+            sides = unit @ first
+            nearest = np.abs(sides).argmax(axis=1)
+            key += 2 * nearest + (sides[rows, nearest] > 0)
+            key <<= len(self.weights)
+            key += (unit @ planes > 0) @ self.weights
         return out
 
 
 def prefix(key: Column, level: int, digits: int) -> Column:
     """The first ``level`` digits of a hash string."""
-    return F.shiftright(key, _NEXT_BITS * (digits - level)) if level else F.lit(0).cast("long")
+    return F.shiftright(key, digits - level) if level else F.lit(0).cast("long")
 
 
 def _vectors(batch: pa.RecordBatch, column: str = "vec") -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -95,22 +95,25 @@ def _plant(trees: int, digits: int):
     return run
 
 
-def _levels(entries: DataFrame, asking: DataFrame, digits: int, enough: int) -> tuple[DataFrame, int]:
+def _levels(entries: DataFrame, asking: DataFrame, digits: int, enough: int, at_once: int = 4) -> tuple[DataFrame, int]:
     """``(asker, level)``: for each asking node the longest prefix at which all trees together hold ``enough`` matches; and the longest of all.
 
-    All trees go down one digit at a time, together; a node stops before the level where they hold too few. That is where it would
-    come to rest on its way up from the longest matches. Only nodes still on their way are counted for.
+    All trees go down together, ``at_once`` digits at a time; a node stops before the level where they hold too few. That is where it
+    would come to rest on its way up from the longest matches. The descent ends where no node has enough left.
     """
-    found, active, deepest = asking.select("asker", F.lit(0).alias("level")).distinct(), asking, 0
-    for level in range(1, digits + 1):
-        short = prefix(F.col("key"), level, digits).alias("short")
-        counts = entries.select("dim", "tree", short).groupBy("dim", "tree", "short").agg(F.count("*").alias("n"))
-        passed = stored(active.select("asker", "dim", "tree", short).join(counts, ["dim", "tree", "short"]).groupBy("asker").agg(
-            F.sum("n").alias("n")).where(F.col("n") >= enough).select("asker"), "level")
-        if passed.isEmpty():
+    found, deepest = asking.select("asker", F.lit(0).alias("level")).distinct(), 0
+    for first in range(1, digits + 1, at_once):
+        levels = range(first, min(first + at_once, digits + 1))
+        short = F.inline(F.array(*[F.struct(F.lit(n).alias("level"), prefix(F.col("key"), n, digits).alias("short")) for n in levels]))
+        counts = entries.select("dim", "tree", short).groupBy("dim", "tree", "level", "short").agg(F.count("*").alias("n"))
+        passed = stored(asking.select("asker", "dim", "tree", short).join(counts, ["dim", "tree", "level", "short"]).groupBy("asker", "level").agg(
+            F.sum("n").alias("n")).where(F.col("n") >= enough).groupBy("asker").agg(F.max("level").alias("level")), "level")
+        reached = passed.agg(F.max("level").alias("level")).first()["level"]
+        if reached is None:
+            break
+        found, deepest = found.union(passed), reached
+        if reached < levels[-1]:
             break
-        active, deepest = active.join(passed, "asker", "left_semi"), level
-        found = found.union(passed.select("asker", F.lit(level).alias("level")))
     return stored(found.groupBy("asker").agg(F.max("level").alias("level")), "levels"), deepest
 
 
@@ -177,8 +180,20 @@ def _score(block_rows: int, keep: int):
     return run
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Adds ``node``, which counts the rows from 0 without gaps; only the number of rows of each partition passes the driver."""
+    place = F.monotonically_increasing_id()
+    held = stored(rows.select(F.shiftrightunsigned(place, 33).alias("part"), place.bitwiseAND((1 << 33) - 1).alias("place"), "*"), "nodes")
+    before, offsets = 0, []
+    for r in held.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect():
+        offsets.append((r["part"], before))
+        before += r["n"]
+    starts = rows.sparkSession.createDataFrame(offsets, "part long, start long")
+    return held.join(starts, "part").select((F.col("start") + F.col("place")).alias("node"), *rows.columns)
+
+
 def nearest(
-    vectors: DataFrame, asks: Column, top: int = 5, trees: int = 40, digits: int = 9, enough: int = 2500, block_rows: int = 1024,
+    vectors: DataFrame, asks: Column, top: int = 5, trees: int = 64, digits: int = 31, enough: int = 9000, block_rows: int = 1024,
     id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for every row whose id meets ``asks`` (a condition on the column ``vec_id``) the ``top`` rows
@@ -200,8 +215,7 @@ def nearest(
     usable = stored(rows.where("vec_id IS NOT NULL").mapInArrow(_usable, "vec_id long, vec binary").distinct(), "vectors")
     smallest = Window.partitionBy("vec").orderBy("vec_id")
     heads = usable.withColumn("place", F.row_number().over(smallest)).where(F.col("place") <= top + 1)
-    nodes = stored(heads.groupBy("vec").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).select(
-        F.monotonically_increasing_id().alias("node"), "vec", "ids"), "nodes")
+    nodes = _numbered(heads.groupBy("vec").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))
     askers = stored(usable.where(asks).join(nodes.select("node", "vec"), "vec").select(F.col("vec_id").alias("query_id"), F.col("node").alias("asker")), "askers")
     asking_nodes = askers.select("asker").distinct()
 
