@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ _FIRST_BITS, _FIRST_DIMS = 7, 64
 
 
 class Digits:
-    """Hash strings of unit vectors of one dimension, one long per tree.
+    """Hash strings of unit vectors of one dimension, one long per tree, ``digits`` of them.
 
     The first digit says which of up to 64 random orthogonal directions, or of their opposites, is nearest to the vector; near vectors
     agree in it more often than in as many bits. Each further digit is the side of a random plane, so that prefixes grow in steps of two.
@@ -41,11 +42,6 @@ class Digits:
         return out
 
 
-def prefix(key: Column, level: int, digits: int) -> Column:
-    """The first ``level`` digits of a hash string."""
-    return F.shiftright(key, digits - level) if level else F.lit(0).cast("long")
-
-
 def _vectors(batch: pa.RecordBatch, column: str = "vec") -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Row numbers and matrix of the vectors of each dimension, from their bytes."""
     raw = batch.column(column).to_pylist()
@@ -78,11 +74,11 @@ def _usable(batches) -> Iterator[pa.RecordBatch]:
 
 
 def _plant(trees: int, digits: int):
-    """``(dim, tree, key, node)`` of every node in every tree."""
+    """``(dim, tree, key, node, asks)`` of every node in every tree."""
     def run(batches):
         forests: dict[int, Digits] = {}
         for batch in batches:
-            node = batch.column("node").to_numpy()
+            node, asks = batch.column("node").to_numpy(), batch.column("asks").to_numpy(zero_copy_only=False)
             for dim, (at, rows) in _vectors(batch).items():
                 if dim not in forests:
                     forests[dim] = Digits(dim, trees, digits)
@@ -91,56 +87,93 @@ def _plant(trees: int, digits: int):
                 n = trees * len(at)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, dim, np.int32)), pa.array(np.repeat(np.arange(trees, dtype=np.int32), len(at))),
-                     pa.array(keys.ravel()), pa.array(np.tile(node[at], trees))], ["dim", "tree", "key", "node"])
+                     pa.array(keys.ravel()), pa.array(np.tile(node[at], trees)), pa.array(np.tile(asks[at], trees))], ["dim", "tree", "key", "node", "asks"])
     return run
 
 
-def _levels(entries: DataFrame, asking: DataFrame, digits: int, enough: int, at_once: int = 4) -> tuple[DataFrame, int]:
-    """``(asker, level)``: for each asking node the longest prefix at which all trees together hold ``enough`` matches; and the longest of all.
+class Array:
+    """One tree's hash strings that share their first bits, in sorted order."""
+
+    def __init__(self, table: pa.Table, digits: int):
+        key, node = table.column("key").to_numpy(), table.column("node").to_numpy()
+        order = np.lexsort((node, key))
+        self.key, self.node, self.digits = key[order], node[order], digits
+
+    def range(self, key: np.ndarray, level: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the strings lie that share the first ``level`` digits of each key."""
+        rest = np.asarray(self.digits - level, np.int64)
+        low = key >> rest << rest
+        return np.searchsorted(self.key, low, "left"), np.searchsorted(self.key, low + (np.int64(1) << rest) - 1, "right")
+
+
+_DEAL = ["dim", "tree", "deal"]
+
 
-    All trees go down together, ``at_once`` digits at a time; a node stops before the level where they hold too few. That is where it
-    would come to rest on its way up from the longest matches. The descent ends where no node has enough left.
+def _matches(entries: DataFrame, digits: int) -> DataFrame:
+    """``(asker, level, n)``: how many strings of a tree share that many digits with an asking node's, as long as there are others than its own."""
+    def count(table: pa.Table) -> pa.Table:
+        held = Array(table, digits)
+        mine = table.filter(table.column("asks"))
+        asker, key, out = mine.column("node").to_numpy(), mine.column("key").to_numpy(), []
+        for level in range(1, digits + 1):
+            low, high = held.range(key, level)
+            others = high - low > 1
+            asker, key = asker[others], key[others]
+            out.append((asker, np.full(len(asker), level, np.int32), (high - low)[others]))
+            if not len(asker):
+                break
+        return pa.table({c: pa.array(np.concatenate(x)) for c, x in zip(("asker", "level", "n"), zip(*out))})
+    return entries.groupBy(*_DEAL).applyInArrow(count, "asker long, level int, n long")
+
+
+def _levels(entries: DataFrame, askers: DataFrame, digits: int, enough: int) -> DataFrame:
+    """``(asker, level)``: for each asking node the longest prefix at which all trees together hold ``enough`` matches, 0 where even one digit has fewer.
+
+    The trees go up from their longest matches together, a digit at a time, and rest at the first level that has enough.
     """
-    found, deepest = asking.select("asker", F.lit(0).alias("level")).distinct(), 0
-    for first in range(1, digits + 1, at_once):
-        levels = range(first, min(first + at_once, digits + 1))
-        short = F.inline(F.array(*[F.struct(F.lit(n).alias("level"), prefix(F.col("key"), n, digits).alias("short")) for n in levels]))
-        counts = entries.select("dim", "tree", short).groupBy("dim", "tree", "level", "short").agg(F.count("*").alias("n"))
-        passed = stored(asking.select("asker", "dim", "tree", short).join(counts, ["dim", "tree", "level", "short"]).groupBy("asker", "level").agg(
-            F.sum("n").alias("n")).where(F.col("n") >= enough).groupBy("asker").agg(F.max("level").alias("level")), "level")
-        reached = passed.agg(F.max("level").alias("level")).first()["level"]
-        if reached is None:
-            break
-        found, deepest = found.union(passed), reached
-        if reached < levels[-1]:
-            break
-    return stored(found.groupBy("asker").agg(F.max("level").alias("level")), "levels"), deepest
+    passed = _matches(entries, digits).groupBy("asker", "level").agg(F.sum("n").alias("n")).where(F.col("n") >= enough)
+    return passed.select("asker", "level").union(askers.select("asker", F.lit(0).alias("level"))).groupBy("asker").agg(F.max("level").alias("level"))
+
+
+def _collected(entries: DataFrame, levels: DataFrame, digits: int) -> DataFrame:
+    """``(dim, asker, nodes)``: the matches of each asking node in each tree, at its level."""
+    def collect(table: pa.Table) -> pa.Table:
+        held = Array(table, digits)
+        mine = table.filter(pc.greater(pc.fill_null(table.column("level"), 0), 0))
+        low, high = held.range(mine.column("key").to_numpy(), mine.column("level").to_numpy())
+        raw = [held.node[a:b].tobytes() for a, b in zip(low, high)]
+        return pa.table({"dim": mine.column("dim"), "asker": mine.column("node"), "nodes": pa.array(raw, pa.binary())})
+    known = entries.join(levels.withColumnRenamed("asker", "node"), "node", "left")
+    return known.groupBy(*_DEAL).applyInArrow(collect, "dim int, asker long, nodes binary")
 
 
 _REQUESTS = "dim int, block long, asker long, places binary"
 
 
-def _pack(block_rows: int, most: int = 1 << 20):
-    """Pairs ``(dim, asker, node)`` as one row per asking node and block of vectors, as far as they come together in a task."""
-    def flush(held):
-        dim, asker, node = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("dim", "asker", "node"))
-        block = node // block_rows
-        order = np.lexsort((node, asker, block, dim))
-        dim, asker, node, block = (x[order] for x in (dim, asker, node, block))
-        new = np.flatnonzero(np.r_[True, (dim[1:] != dim[:-1]) | (block[1:] != block[:-1]) | (asker[1:] != asker[:-1])])
-        places = [x.tobytes() for x in np.split((node - block * block_rows).astype(np.int32), new[1:])]
-        return pa.RecordBatch.from_arrays([pa.array(dim[new]), pa.array(block[new]), pa.array(asker[new]), pa.array(places, pa.binary())], ["dim", "block", "asker", "places"])
+def _requests(block_rows: int):
+    """Matches, which come by asking node, as one row per asking node and block of vectors."""
+    def rows(dim: int, asker: int, parts: list[bytes]) -> list[tuple]:
+        nodes = np.unique(np.frombuffer(b"".join(parts), np.int64))
+        block = nodes // block_rows
+        new = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+        places = np.split((nodes - block * block_rows).astype(np.int32), new[1:])
+        return [(dim, int(b), asker, p.tobytes()) for b, p in zip(block[new], places)]
 
     def run(batches):
-        held, size = [], 0
+        held, parts = None, []
         for batch in batches:
-            held.append(batch)
-            size += batch.num_rows
-            if size >= most:
-                yield flush(held)
-                held, size = [], 0
-        if size:
-            yield flush(held)
+            out = []
+            for dim, asker, raw in zip(batch.column("dim").to_pylist(), batch.column("asker").to_pylist(), batch.column("nodes").to_pylist()):
+                if held != (dim, asker):
+                    out += rows(*held, parts) if held else []
+                    held, parts = (dim, asker), []
+                parts.append(raw)
+            yield _batch(out)
+        yield _batch(rows(*held, parts) if held else [])
+
+    def _batch(out: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, kinds)], ["dim", "block", "asker", "places"])
     return run
 
 
@@ -163,12 +196,14 @@ def _score(block_rows: int, keep: int):
                     more, long = _scaled(np.frombuffer(b"".join(vecs[a:b]), np.float64).reshape(-1, dim))
                     rows, lengths, least = np.vstack([rows, more]), np.r_[lengths, long], np.r_[least, smallest[a:b]]
                     continue
-                i = a
+                i = a if held == (dim, block) else b  # else no vector of that length is in the block
                 while i < b:  # all requests of one asking node that lie side by side
                     j = i
                     while j < b and nodes[j] == nodes[i]:
                         j += 1
-                    wanted = np.unique(np.concatenate([np.frombuffer(places[k].as_buffer(), np.int32) for k in range(i, j)])).astype(np.int64)
+                    whole = any(not places[k].is_valid for k in range(i, j))
+                    wanted = np.flatnonzero(at >= 0) if whole else np.unique(
+                        np.concatenate([np.frombuffer(places[k].as_buffer(), np.int32) for k in range(i, j)])).astype(np.int64)
                     own, long = _scaled(np.frombuffer(vecs[i], np.float64).reshape(1, dim))
                     where = at[wanted]
                     score = (rows[where] * own).sum(axis=1) / (lengths[where] * long)
@@ -193,17 +228,18 @@ def _numbered(rows: DataFrame) -> DataFrame:
 
 
 def nearest(
-    vectors: DataFrame, asks: Column, top: int = 5, trees: int = 64, digits: int = 31, enough: int = 9000, block_rows: int = 1024,
+    vectors: DataFrame, asks: Column, top: int = 5, trees: int = 64, digits: int = 31, enough: int = 9000, block_rows: int = 1024, array_rows: int = 500_000,
     id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for every row whose id meets ``asks`` (a condition on the column ``vec_id``) the ``top`` rows
     found with the largest cosine, others than rows of its own id; equal cosines by ascending id.
 
     Equal vectors are one node of the forest, which keeps as many of their smallest ids as a result can hold; so copies of one vector
-    cost nothing and none of them is lost. Every node has a string of ``digits`` hash digits in each of ``trees`` trees, all rows are
-    indexed, and the strings are written in sorted order. An asking node takes, in all trees, the nodes that share its longest prefix
-    at which the trees together hold ``enough`` matches; where even one digit has too few, the whole table, which is then small or
-    holds few vectors of that dimension. All matches of that level are compared by their cosine, none is cut off.
+    cost nothing and none of them is lost. Every node has a string of ``digits`` hash digits in each of ``trees`` trees; all rows are
+    indexed. An asking node takes, in all trees, the nodes that share its longest prefix at which the trees together hold ``enough``
+    matches; where even one digit has too few, the whole table, which is then small or holds few vectors like it. All matches of that
+    level are compared by their cosine, none is cut off. Sorted arrays are dealt out by tree and first bits, as many bits as leave
+    about ``array_rows`` strings to an array; levels shorter than that have more than enough, or count what the array has.
 
     Matches meet their vectors in blocks of ``block_rows`` nodes, streamed, so no task holds a query's matches or a block's requests at once.
     Recall depends on how near neighbours are; more ``trees`` or a larger ``enough`` raise it.
@@ -217,28 +253,23 @@ def nearest(
     heads = usable.withColumn("place", F.row_number().over(smallest)).where(F.col("place") <= top + 1)
     nodes = _numbered(heads.groupBy("vec").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))
     askers = stored(usable.where(asks).join(nodes.select("node", "vec"), "vec").select(F.col("vec_id").alias("query_id"), F.col("node").alias("asker")), "askers")
-    asking_nodes = askers.select("asker").distinct()
-
-    entries = stored(nodes.select("node", "vec").mapInArrow(_plant(trees, digits), "dim int, tree int, key long, node long")
-                     .repartitionByRange("dim", "tree", "key").sortWithinPartitions("dim", "tree", "key"), "forest")
-    asking = stored(entries.join(asking_nodes, F.col("node") == F.col("asker"), "left_semi").withColumnRenamed("node", "asker"), "asking")
-    levels, deepest = _levels(entries, asking, digits, enough)
-
-    pairs = None
-    for level in range(deepest + 1):
-        wanted = asking.join(levels.where(F.col("level") == level), "asker", "left_semi")
-        held = entries if level else entries.where("tree = 0")
-        wanted = wanted if level else wanted.where("tree = 0")
-        short = prefix(F.col("key"), level, digits).alias("short")
-        some = held.select("dim", "tree", short, "node").join(wanted.select("dim", "tree", short, "asker"), ["dim", "tree", "short"]).select("dim", "asker", "node")
-        packed = some.mapInArrow(_pack(block_rows), _REQUESTS)
-        pairs = packed if pairs is None else pairs.union(packed)
+    asking = askers.select("asker").distinct()
+
+    count = nodes.count()
+    deal = max(3, min(_FIRST_BITS + digits - 1, (count // array_rows).bit_length()))
+    marked = nodes.join(asking.select(F.col("asker").alias("node"), F.lit(True).alias("asks")), "node", "left").select("node", "vec", F.coalesce("asks", F.lit(False)).alias("asks"))
+    entries = stored(marked.mapInArrow(_plant(trees, digits), "dim int, tree int, key long, node long, asks boolean").withColumn(
+        "deal", F.shiftright("key", _FIRST_BITS + digits - 1 - deal)), "forest")
+    levels = stored(_levels(entries, asking, digits, enough), "levels")
 
     dim = (F.octet_length("vec") / 8).cast("int")
     none, nothing = F.lit(None).cast("binary"), F.lit(0).cast("long")
     placed = nodes.select(F.lit(0).alias("kind"), dim.alias("dim"), F.floor(F.col("node") / block_rows).cast("long").alias("block"),
                           "node", F.get("ids", F.lit(0)).alias("least"), "vec", none.alias("places"))
-    requests = pairs.join(nodes.select(F.col("node").alias("asker"), "vec"), "asker").select(
+    matched = _collected(entries, levels, digits).repartition("asker").sortWithinPartitions("dim", "asker").mapInArrow(_requests(block_rows), _REQUESTS)
+    blocks = F.explode(F.sequence(nothing, F.lit((max(count, 1) - 1) // block_rows).cast("long"))).alias("block")
+    whole = levels.where("level = 0").join(nodes.select(F.col("node").alias("asker"), dim.alias("dim")), "asker").select("dim", blocks, "asker", none.alias("places"))
+    requests = matched.union(whole).join(nodes.select(F.col("node").alias("asker"), "vec"), "asker").select(
         F.lit(1).alias("kind"), "dim", "block", F.col("asker").alias("node"), nothing.alias("least"), "vec", "places")
     scored = placed.union(requests).repartition("dim", "block").sortWithinPartitions("dim", "block", "kind", "node").mapInArrow(
         _score(block_rows, top + 1), "asker long, node long, least long, score double")

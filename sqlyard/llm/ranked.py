@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ def _shards(numbers, shard_bytes: int):
     def run(batches):
         get = numbers.value.get
         for batch in text_slices(batches, shard_bytes):
-            batch = batch.take(pa.compute.sort_indices(batch.column("doc_id"), null_placement="at_end"))
+            batch = batch.take(pc.sort_indices(batch.column("doc_id"), null_placement="at_end"))
             sizes = np.zeros(batch.num_rows, np.int64)
             keys = []
             for i, text in enumerate(byte_values(batch.column("text"))):

@@ -83,13 +83,14 @@ def test_levels_are_the_longest_with_enough(spark):
     rng = random.Random(6)
     digits, trees = 7, 3
     keys = {(t, n): (rng.randrange(3) << 6) + rng.choice((0, 1, 2, 33, 34, 47)) for t in range(trees) for n in range(200)}
-    entries = spark.createDataFrame([(5, t, k, n) for (t, n), k in keys.items()], "dim int, tree int, key long, node long")
-    asking = entries.where("node % 10 = 0").withColumnRenamed("node", "asker")
-    for enough in (1, 20, 60, 150, 601):
-        found, deepest = neighbours._levels(entries, asking, digits, enough, rng.choice((1, 2, 4, 7)))
-        got = {r.asker: r.level for r in found.collect()}
-        want = {}
-        for n in range(0, 200, 10):
-            same = {d: sum(keys[t, m] >> digits - d == keys[t, n] >> digits - d for t in range(trees) for m in range(200)) for d in range(1, digits + 1)}
-            want[n] = max((d for d, c in same.items() if c >= enough), default=0)
-        assert got == want and deepest == max(want.values())
+    entries = spark.createDataFrame([(5, t, 0, k, n, n % 10 == 0) for (t, n), k in keys.items()], "dim int, tree int, deal int, key long, node long, asks boolean")
+    askers = spark.range(0, 200, 10).withColumnRenamed("id", "asker")
+    for enough in (4, 20, 60, 150, 601):
+        levels = neighbours._levels(entries, askers, digits, enough)
+        got = {r.asker: r.level for r in levels.collect()}
+        near = {n: {d: {(t, m) for t in range(trees) for m in range(200) if keys[t, m] >> digits - d == keys[t, n] >> digits - d} for d in range(1, digits + 1)} for n in range(0, 200, 10)}
+        assert got == {n: max((d for d, found in ds.items() if len(found) >= enough), default=0) for n, ds in near.items()}
+        taken = {}
+        for r in neighbours._collected(entries, levels, digits).collect():
+            taken.setdefault(r.asker, []).extend(np.frombuffer(r.nodes, np.int64).tolist())
+        assert {n: sorted(x) for n, x in taken.items()} == {n: sorted(m for _, m in near[n][d]) for n, d in got.items() if d}
