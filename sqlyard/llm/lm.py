@@ -18,9 +18,10 @@ from sqlyard.sources.tables import stored
 EDGE = 0
 
 
-def shape(words: int, breadth: int = 64) -> int:
-    """Groups, and classes in a group, for a corpus of so many distinct words: their product grows as ``breadth`` times the root of it."""
-    return max(2, math.ceil((breadth * max(1, words)) ** 0.25))
+def shape(words: int, breadth: float = 3.0) -> int:
+    """Groups, and classes in a group, for a corpus of so many distinct words: ``breadth`` times its fifth root, so the classes are
+    that squared times the power 0.4 of the words."""
+    return max(2, math.ceil(breadth * max(1, words) ** 0.2))
 
 
 class Network:
@@ -128,7 +129,7 @@ _SHARDS = "ids array<long>, sizes binary, codes binary, words array<binary>, cou
 
 
 def _cut(batches):
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, 16 << 20):
         code: dict[bytes, int] = {}
         rows = []
         for text in byte_values(batch.column("text")):
@@ -152,7 +153,7 @@ def _count(batches):
             yield pa.RecordBatch.from_arrays([batch.column("words")[row].values, pa.array(_array(batch, "counts", row, np.int64))], ["word", "n"])
 
 
-def _shared(own, first: int, shared: int):
+def _shared(own):
     """``(shard, code, word)`` of the words without a class of their own."""
     def run(batches):
         frequent = own.value
@@ -161,8 +162,8 @@ def _shared(own, first: int, shared: int):
                 words = batch.column("words")[row].values.to_pylist()
                 rest = [i for i, w in enumerate(words) if w not in frequent]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(rest), shard)), pa.array(rest, pa.int32()), pa.array([words[i] for i in rest], pa.binary()),
-                     pa.array([_shared_class(words[i], first, shared) for i in rest], pa.int32())], ["shard", "code", "word", "class"])
+                    [pa.array(np.full(len(rest), shard)), pa.array(rest, pa.int32()), pa.array([words[i] for i in rest], pa.binary())],
+                    ["shard", "code", "word"])
     return run
 
 
@@ -194,7 +195,7 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """Shards of a corpus, the classes of its words, ``shares`` (word, class, log-probability in the class), and the network's parameters."""
 
-    def __init__(self, docs: DataFrame, dim: int, reach: int, rounds: int, rate: float, breadth: int, own_share: float):
+    def __init__(self, docs: DataFrame, dim: int, reach: int, rounds: int, rate: float, breadth: float, own_share: float):
         context = docs.sparkSession.sparkContext
         self.dim, self.reach = dim, reach
         cut = docs.mapInArrow(_cut, _SHARDS).select(F.monotonically_increasing_id().alias("shard"), "*")
@@ -248,7 +249,7 @@ class Model:
         """``(doc_id, n_tokens, total)`` per document: for every token the log-probability of its class, from both sides, and of the word in it."""
         side, dim, reach, first, shared, frequent = self.side, self.dim, self.reach, self.first, self.shared, self.frequent
         start = self.shards.sparkSession.sparkContext.broadcast(self.flat)
-        asked = self.shards.select("shard", "words").mapInArrow(_shared(frequent, first, shared), "shard long, code int, word binary, class int")
+        asked = self.shards.select("shard", "words").mapInArrow(_shared(frequent), "shard long, code int, word binary")
         known = asked.join(self.shares.select("word", "share"), "word").groupBy("shard").agg(F.collect_list(F.struct("code", "share")).alias("shares"))
 
         def run(batches):
@@ -268,7 +269,7 @@ class Model:
 
 
 def fit(
-    docs: DataFrame, dim: int = 16, reach: int = 2, rounds: int = 1, rate: float = 0.1, breadth: int = 64, own_share: float = 0.75,
+    docs: DataFrame, dim: int = 16, reach: int = 2, rounds: int = 1, rate: float = 0.1, breadth: float = 3.0, own_share: float = 0.75,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> Model:
     """A model of every word of every text. ``own_share`` of the classes belong to a most frequent word each, the others are shared by hash."""
@@ -281,7 +282,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **set
     A token is a lower-case word, each predicted from ``reach`` words on either side, itself masked: the probability of its class, by
     the network, times that of the word in its class, by the word's count among the class's words in the whole corpus. The vocabulary is
     every distinct word, kept as a distributed table that is joined to the shards' dictionaries; the number of classes follows the
-    square root of its size. So different words score differently where their counts or classes do.
+    power 0.4 of its size. So different words score differently where their counts or classes do.
 
     Null and empty texts have no tokens, a sum of 0 and no mean. Rows that repeat an id, or have none, are scored each; repeated rows
     count as often as they occur. An empty table gives no rows. A very long text is in one shard, whose memory grows with it. Sums
