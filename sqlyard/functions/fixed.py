@@ -115,6 +115,9 @@ DDL_PIECES = (
 DDL_STATEMENT_JAVA = DDL_PIECES + "++;?|;"
 DDL_STATEMENT_RE2 = DDL_PIECES + "+;?|;"
 
+# A statement that may hold others between BEGIN and END.
+STATEMENT_WITH_BODY = r"(?is)^\s*create\s+(?:or\s+replace\s+)?(?:temp\s+|temporary\s+)?(?:trigger|function|procedure)\b.*\bbegin\b"
+
 # Names in SQL text, for Java's patterns. A name may be quoted, and qualified by others before a dot.
 _QUOTED_NAME = r'''(?:"[^"]*+"|`[^`]*+`|\[[^\[\]]*+\])'''
 NAME = r"(?:" + _QUOTED_NAME + r"|[\p{L}_][\p{L}\p{N}_$]*+)"

@@ -97,9 +97,28 @@ def is_valid_sql(c: Column | str) -> Column:
 
 
 def ddl_statements(c: Column | str) -> Column:
-    """Non-empty statements of a DDL text, in order, each with its semicolon."""
-    found = F.regexp_extract_all(col(c), F.lit(fixed.DDL_STATEMENT_JAVA), F.lit(0))
-    return F.filter(F.transform(found, strip), lambda s: s != "")
+    """Non-empty statements of a DDL text, in order, each with its semicolon.
+
+    The body of a trigger, function or procedure between BEGIN and its END belongs to the statement that opens it, with the
+    semicolons in it; a CASE inside has an END of its own.
+    """
+    found = F.filter(F.transform(F.regexp_extract_all(col(c), F.lit(fixed.DDL_STATEMENT_JAVA), F.lit(0)), strip), lambda s: s != "")
+    has_body = F.exists(found, lambda s: s.rlike(fixed.STATEMENT_WITH_BODY))
+
+    def words(piece: Column, pattern: str) -> Column:
+        bare = F.regexp_replace(_names_only(piece), r'"[^"]*"|`[^`]*`|\[[^\]]*\]', " ")
+        return F.size(F.regexp_extract_all(bare, F.lit(pattern), F.lit(0)))
+
+    def join(s: Column, piece: Column) -> Column:
+        inside = (s["open"] > 0) | piece.rlike(fixed.STATEMENT_WITH_BODY)
+        depth = s["open"] + words(piece, r"(?i)\b(?:begin|case)\b") - words(piece, r"(?i)\bend\b")
+        body = F.concat(F.slice(s["done"], 1, F.size(s["done"]) - 1), F.array(F.concat(F.element_at(s["done"], -1), F.lit("\n"), piece)))
+        return F.struct(
+            F.when(inside, F.greatest(depth, F.lit(0))).otherwise(F.lit(0)).alias("open"),
+            F.when(s["open"] > 0, body).otherwise(F.concat(s["done"], F.array(piece))).alias("done"))
+
+    start = F.struct(F.lit(0).alias("open"), F.array().cast("array<string>").alias("done"))
+    return F.when(has_body, F.aggregate(found, start, join, lambda s: s["done"])).otherwise(found)
 
 
 def loose_match(a: Column | str, b: Column | str) -> Column:

@@ -13,25 +13,26 @@ MAX_ORDER = 4
 _NO_MATCH = 0.1  # stands for zero matches of an order (smoothing method 1)
 
 
-def word_runs(words: Column | str, n: int) -> Column:
-    """Every run of ``n`` neighbouring words, as text.
+def word_codes(words: Column | str) -> Column:
+    """A 64-bit number for every word: its hash, shifted by one to leave the last bit free."""
+    return F.transform(col(words), lambda w: F.shiftleft(F.xxhash64(w), 1))
 
-    Zipping the list with its own shifts and casting the tuples costs no function call per word.
-    Words hold no blanks, so the text tells runs apart.
-    """
+
+def code_runs(codes: Column | str, n: int) -> Column:
+    """A number for every run of ``n`` neighbouring words, from their numbers."""
     if n == 1:
-        return col(words)
-    count = F.greatest(F.size(words) - (n - 1), F.lit(0))
-    shifts = [F.slice(words, k + 1, count).alias(f"w{k}") for k in range(n)]
-    return F.arrays_zip(*shifts).cast("array<string>")
+        return col(codes)
+    count = F.greatest(F.size(codes) - (n - 1), F.lit(0))
+    shifts = [F.slice(codes, k + 1, count).alias(f"w{k}") for k in range(n)]
+    return F.transform(F.arrays_zip(*shifts), lambda r: F.shiftleft(F.xxhash64(*[r[f"w{k}"] for k in range(n)]), 1))
 
 
 def clipped_matches(pred_runs: Column | str, gold_runs: Column | str) -> Column:
-    """Size of the multiset intersection of two arrays of text.
+    """Size of the multiset intersection of two arrays of even numbers.
 
-    Where either side repeats nothing, that is the size of the plain intersection, a hash lookup
-    per element. Otherwise both arrays are sorted together, predicted before equal gold, and one walk
-    lets each gold element use up one predicted element. Nothing is shuffled, and no text is too long.
+    Where either side repeats nothing, that is the size of the plain intersection, a hash lookup per element. Otherwise the numbers of
+    both, gold ones plus one, are sorted together, and one walk lets each gold number use up one equal predicted one. Nothing is
+    shuffled, no text is too long, and no value is larger than a long.
     """
     pred, gold = col(pred_runs), col(gold_runs)
     unrepeated = (F.size(F.array_distinct(gold)) == F.size(gold)) | (F.size(F.array_distinct(pred)) == F.size(pred))
@@ -39,42 +40,42 @@ def clipped_matches(pred_runs: Column | str, gold_runs: Column | str) -> Column:
 
 
 def _walk_matches(pred: Column, gold: Column) -> Column:
-    both = F.sort_array(F.concat(
-        F.transform(pred, lambda r: F.struct(r.alias("run"), F.lit(False).alias("gold"))),
-        F.transform(gold, lambda r: F.struct(r.alias("run"), F.lit(True).alias("gold"))),
-    ))
+    both = F.sort_array(F.concat(pred, F.transform(gold, lambda c: c.bitwiseOR(F.lit(1).cast("long")))))
 
     def state(run: Column, free: Column, hits: Column) -> Column:
         return F.struct(run.alias("run"), free.alias("free"), hits.alias("hits"))
 
     def walk(s: Column, x: Column) -> Column:
-        free = F.when(s["run"] == x["run"], s["free"]).otherwise(F.lit(0))
+        run, is_gold = x.bitwiseAND(F.lit(-2).cast("long")), x.bitwiseAND(F.lit(1).cast("long")) == 1
+        free = F.when(s["run"] == run, s["free"]).otherwise(F.lit(0))
         return (
-            F.when(~x["gold"], state(x["run"], free + 1, s["hits"]))
-            .when(free > 0, state(x["run"], free - 1, s["hits"] + 1))
-            .otherwise(state(x["run"], F.lit(0), s["hits"]))
+            F.when(~is_gold, state(run, free + 1, s["hits"]))
+            .when(free > 0, state(run, free - 1, s["hits"] + 1))
+            .otherwise(state(run, F.lit(0), s["hits"]))
         )
 
-    start = state(F.lit(""), F.lit(0), F.lit(0))
+    start = state(F.lit(1).cast("long"), F.lit(0), F.lit(0))
     return F.aggregate(both, start, walk, lambda s: s["hits"])
 
 
 def with_bleu(rows: DataFrame, pred_norm: str, gold_norm: str, name: str = "bleu") -> DataFrame:
     """Add sentence BLEU of two columns of normalised text: orders 1 to 4, equal weights, method-1 smoothing.
 
-    Each step is its own projection, so Spark computes words, runs and matches once. Equal texts
+    Words become numbers once, and runs of words numbers of theirs, so that all that is compared and sorted is longs; two different
+    words or runs share one with a chance of 2**-63. Each step is its own projection, so Spark computes words, runs and matches
+    once. Equal texts
     match in full. A longer run can only match where a shorter one does, so an order is looked at
     only if the one before it hit.
     """
     kept = rows.columns
-    work = rows.withColumns({"_p1": tokens(pred_norm), "_g1": tokens(gold_norm)})
+    work = rows.withColumns({"_p1": word_codes(tokens(pred_norm)), "_g1": word_codes(tokens(gold_norm))})
     work = work.withColumns({"_p": F.size("_p1"), "_g": F.size("_g1")})
-    same, none = col(pred_norm) == col(gold_norm), F.array().cast("array<string>")
+    same, none = col(pred_norm) == col(gold_norm), F.array().cast("array<long>")
     for n in range(1, MAX_ORDER + 1):
         open_ = ~same if n == 1 else ~same & (F.col(f"_hits{n - 1}") > 0)
         if n > 1:
             work = work.withColumns({
-                f"_{side}{n}": F.when(open_, word_runs(f"_{side}1", n)).otherwise(none) for side in "pg"
+                f"_{side}{n}": F.when(open_, code_runs(f"_{side}1", n)).otherwise(none) for side in "pg"
             })
         full = F.greatest(F.col("_p") - (n - 1), F.lit(0))
         hits = F.when(same, full).when(open_, clipped_matches(f"_p{n}", f"_g{n}")).otherwise(F.lit(0))

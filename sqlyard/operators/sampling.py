@@ -124,6 +124,39 @@ def first_rows(rows: DataFrame, n: int, *order: Column | str, fan_in: int = 1024
     )
 
 
+def first_by_key(rows: DataFrame, n: int, key: str = "ex_id") -> DataFrame:
+    """The ``n`` rows with the smallest whole-number keys, for any ``n``; rows without a key are none of them.
+
+    The n-th key is found by its digits: keys are counted by their first 16 bits, which shows the prefix in which n is reached, then
+    only keys of that prefix by their next 16 bits, and so on. Four passes read the key alone; every table between holds 65,536
+    counts at most; and the wide rows are filtered where they are read, never shuffled or sorted. Of rows that share the n-th
+    key, as many stay as are wanted, by a hash of the whole row.
+    """
+    if n <= 0:
+        return rows.limit(0)
+
+    def digits(bits: int) -> Column:
+        """The key's first bits as a number; the sign is turned over, so they order as keys do."""
+        return F.shiftrightunsigned(F.col(key).cast("long").bitwiseXOR(F.lit(-(1 << 63))), 64 - bits)
+
+    keys = rows.where(F.col(key).isNotNull()).select(key)
+    found = rows.sparkSession.range(1).select(F.lit(0).cast("long").alias("_prefix"), F.lit(n).cast("long").alias("_room"))
+    earlier = Window.orderBy("_digits").rowsBetween(Window.unboundedPreceding, -1)  # over 65,536 counts at most
+    for bits in (16, 32, 48, 64):
+        open_ = digits(bits - 16) if bits > 16 else F.lit(0).cast("long")
+        counts = keys.withColumn("_prefix", open_).join(F.broadcast(found), "_prefix").groupBy(digits(bits).alias("_digits"), "_room").agg(F.count("*").alias("_n"))
+        found = counts.withColumn("_left", F.col("_room") - F.coalesce(F.sum("_n").over(earlier), F.lit(0))).where(
+            (F.col("_left") > 0) & (F.col("_left") <= F.col("_n"))).select(F.col("_digits").alias("_prefix"), F.col("_left").alias("_room"))
+    # no n-th key where there are fewer rows: all of them stay
+    edge = found.agg(F.max("_prefix").alias("_prefix"), F.max("_room").alias("_room"))
+    last = edge.select(F.col("_prefix").bitwiseXOR(F.lit(-(1 << 63))).alias("k"))
+    nth, room = last.scalar(), edge.select("_room").scalar()
+    below = rows.where(F.col(key).isNotNull() & (nth.isNull() | (F.col(key) < nth)))
+    rank = F.row_number().over(Window.orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])))
+    ties = rows.where(F.col(key) == nth).withColumn("_rank", rank).where(F.col("_rank") <= room).drop("_rank")
+    return below.union(ties)
+
+
 def random_sample(rows: DataFrame, n: int, key: str, seed: int = fixed.DEFAULT_SEED) -> DataFrame:
     """``n`` rows that look random and are the same for a seed."""
     return first_rows(rows, n, shuffle_key(key, seed), F.col(key))

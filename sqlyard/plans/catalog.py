@@ -15,10 +15,10 @@ from sqlyard.functions.templates import format_prompt
 from sqlyard.operators import evaluation, prepare, profile, reports, result_sets, runs, sampling, scoring
 from sqlyard.operators.row_scores import with_bleu
 from sqlyard.plans import derived
-from sqlyard.schemas import METRIC_LOG
+from sqlyard.schemas import METRIC_LOG, RAW_EXAMPLES
 from sqlyard.session import work_folder
 from sqlyard.sources import tables
-from sqlyard.streaming.plateau import plateau_stream
+from sqlyard.streaming.plateau import keep_state_on_disk, plateau_stream
 
 BASE, TUNED = derived.MODELS
 
@@ -86,7 +86,11 @@ def capped_split(spark, sf):
 
 
 def first_examples(spark, sf):
-    return sampling.first_rows(derived.examples(spark, sf), 500, "ex_id")
+    return sampling.first_by_key(derived.examples(spark, sf), 500)
+
+
+def first_many_examples(spark, sf):
+    return sampling.first_by_key(derived.examples(spark, sf), 5000)
 
 
 def random_sample_k(spark, sf):
@@ -113,11 +117,11 @@ def normalized_documents(spark, sf):
 
 
 def ddl_statement_rows(spark, sf):
-    """Statements of two-statement schemas made from the examples; the second holds a quoted ``;``."""
+    """Statements of schemas made from the examples: the second holds a quoted ``;``, the third a trigger's body."""
     rows = derived.examples(spark, sf)
     second = F.concat(
         F.lit("\nCREATE TABLE notes (id INT, mark TEXT DEFAULT 'a;b', k INT DEFAULT "), F.col("ex_id").cast("string"),
-        F.lit(");  ;"),
+        F.lit(");  ;\nCREATE TRIGGER t AFTER INSERT ON notes BEGIN UPDATE notes SET k = CASE WHEN k > 1 THEN 0 ELSE 1 END; DELETE FROM notes; END;\nDROP TABLE x"),
     )
     schema = F.concat("context", second)
     return rows.select("ex_id", F.posexplode(ddl_statements(schema)).alias("pos", "statement"))
@@ -238,6 +242,25 @@ def sample_predictions(spark, sf):
     )
 
 
+def summary_by_batches(spark, sf):
+    """The summary of two batches of examples from their stored states."""
+    def state(part: int) -> DataFrame:
+        predictions = derived.predictions(spark, sf).where(F.col("ex_id") % 2 == part)
+        return tables.stored(reports.summary_state(evaluation.score(predictions, derived.gold(spark, sf), _outcomes(spark, sf))), "state")
+
+    return reports.summary_of_state(reports.merge_states(state(0), state(1))).drop("error_distribution")
+
+
+def prediction_samples(spark, sf):
+    return reports.prediction_samples(_scored(spark, sf))
+
+
+def uneven_comparison(spark, sf):
+    """Two models of which one left out every third example: compared over the examples that both answered."""
+    scored = _scored(spark, sf).where((F.col("model") == BASE) | (F.col("ex_id") % 3 != 0))
+    return reports.model_comparison(scored, BASE, TUNED)
+
+
 def model_comparison(spark, sf):
     return reports.model_comparison(_scored(spark, sf), BASE, TUNED)
 
@@ -293,15 +316,24 @@ def run_history(spark, sf):
 
 
 def plateau_stream_rows(spark, sf):
-    """The events read as a stream to its end; the rows it wrote are the result."""
+    """The events read as a stream to its end, in whatever order their files come; then each run's end is announced, and its steps
+    have their turn. The rows the stream wrote are the result."""
     schema = derived.table(spark, sf, "events").schema
-    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)  # bounds a run's rows per batch
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)  # bounds the rows of a batch
     events = source.parquet(_as_source(sf, "events"))
     log = events.select(
         F.col("user_id").cast("string").alias("run_id"), F.col("event_id").alias("step"),
         F.col("value").alias("eval_loss"),
     ).to(METRIC_LOG)
-    return _run_stream(spark, plateau_stream(log), "plateau")
+    ends = f"{work_folder(spark, 'run-ends')}/ends"
+    spark.createDataFrame([], METRIC_LOG).write.parquet(ends)
+    both = log.unionByName(spark.readStream.schema(METRIC_LOG).parquet(ends))
+    keep_state_on_disk(spark)
+    walked, folder = plateau_stream(both, lag=None), work_folder(spark, "plateau")
+    _run_stream(spark, walked, folder)
+    runs_ = derived.metric_log(spark, sf).select("run_id", F.lit(None).cast("long").alias("step"), F.lit(None).cast("double").alias("eval_loss"))
+    runs_.distinct().write.mode("append").parquet(ends)
+    return _run_stream(spark, walked, folder).where("NOT late").drop("late")
 
 
 def exact_match_stream(spark, sf):
@@ -311,7 +343,7 @@ def exact_match_stream(spark, sf):
     matched = docs.select(
         "doc_id", (normalize_sql(clean_prediction("text")) == normalize_sql("text")).alias("exact_match")
     )
-    return _run_stream(spark, matched, "exact-match")
+    return _run_stream(spark, matched, work_folder(spark, "exact-match"))
 
 
 def _as_source(sf: str, name: str) -> str:
@@ -319,8 +351,8 @@ def _as_source(sf: str, name: str) -> str:
     return f"{sf}/{name}.parque[t]"
 
 
-def _run_stream(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
-    folder = work_folder(spark, name)
+def _run_stream(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
+    """All that a stream has written to a folder, now that it has taken what there is; it goes on where it stopped."""
     query = (
         rows.writeStream.format("parquet").option("path", f"{folder}/rows")
         .option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
@@ -344,12 +376,31 @@ def answer_requests(spark, sf):
 
 def score_batch(spark, sf):
     raw = scoring.score_batch(derived.gold(spark, sf), derived.TEMPLATE_MODELS[0], derived.FirstTablePredictor)
+    return evaluation.clean_predictions(raw).drop("error")
+
+
+def score_budget(spark, sf):
+    """A predictor that gives too few answers, asked in batches of a few hundred characters: its rows say so, the others are answered."""
+    raw = scoring.score_batch(derived.gold(spark, sf), derived.TEMPLATE_MODELS[0], derived.ForgetfulPredictor, budget=8192, most_rows=24)
     return evaluation.clean_predictions(raw)
 
 
+def end_to_end(spark, sf):
+    """Prepared, split, written; the test side's stored prompts answered, cleaned and scored; the summary of a stored report."""
+    folder = work_folder(spark, "prepared")
+    tables.write_splits(sampling.train_test_split(prepare.prepare_examples(derived.examples(spark, sf))), folder)
+    held = tables.read_splits(spark, folder, "test")
+    raw = tables.stored(scoring.score_batch(held, derived.TEMPLATE_MODELS[0], derived.CountingPredictor, "counting", prompt="prompt"), "answers")
+    scored = tables.stored(evaluation.score(raw.drop("error"), held), "scored")
+    report = work_folder(spark, "report")
+    tables.write_report(evaluation.result_records(scored), reports.summary_with_errors(scored), report)
+    results, summary = tables.read_report(spark, report)
+    return summary.select("model", "num_samples", "exact_match_rate", "valid_sql_rate", "avg_bleu", F.explode("error_distribution").alias("error_type", "n"))
+
+
 def score_models(spark, sf):
     models = {m: (m, derived.FirstTablePredictor) for m in derived.TEMPLATE_MODELS[:2]}
-    return evaluation.clean_predictions(scoring.score_models(derived.gold(spark, sf), models))
+    return evaluation.clean_predictions(scoring.score_models(derived.gold(spark, sf), models)).drop("error")
 
 
 # ---- files ------------------------------------------------------------------------------------
@@ -360,6 +411,20 @@ def jsonl_roundtrip(spark, sf):
     return tables.read_splits(spark, folder)
 
 
+def jsonl_quarantine(spark, sf):
+    """Lines of examples with broken ones among them: how many are read, rejected and kept aside, and the keys read."""
+    k, folder = F.col("ex_id"), work_folder(spark, "lines")
+    whole = F.to_json(F.struct("ex_id", "question", "context", "answer"))
+    line = (F.when(k % 9 == 1, F.left(whole, F.length(whole) - 3)).when(k % 9 == 2, F.concat(F.lit("["), k, F.lit("]")))
+            .when(k % 9 == 3, F.lit('{"ex_id": "many", "question": "?"}')).when(k % 9 == 4, "   ").otherwise(whole))
+    derived.examples(spark, sf).select(line.alias("value")).write.text(f"{folder}/in")
+    rows, rejected = tables.read_jsonl_checked(spark, f"{folder}/in", RAW_EXAMPLES)
+    tables.quarantine(rejected, f"{folder}/aside")
+    aside = spark.read.schema("path string, line string").json(f"{folder}/aside")
+    good = rows.agg(F.lit("read").alias("kind"), F.count("*").alias("n"), F.sum("ex_id").alias("keys"))
+    return good.union(aside.agg(F.lit("rejected"), F.count("*"), F.count_if(F.col("path").endswith(".txt"))))
+
+
 def _stored_report(spark, sf):
     folder = work_folder(spark, "report")
     scored = tables.stored(_scored(spark, sf), "scored")
@@ -491,6 +556,7 @@ QUERIES: dict[str, Query] = {
     "exact_split_counts": exact_split_counts,
     "capped_split": capped_split,
     "first_examples": first_examples,
+    "first_many_examples": first_many_examples,
     "random_sample_k": random_sample_k,
     "clean_predictions": clean_predictions,
     "clean_documents": clean_documents,
@@ -513,6 +579,9 @@ QUERIES: dict[str, Query] = {
     "eval_summary": eval_summary,
     "comparison_records": comparison_records,
     "sample_predictions": sample_predictions,
+    "summary_by_batches": summary_by_batches,
+    "prediction_samples": prediction_samples,
+    "uneven_comparison": uneven_comparison,
     "model_comparison": model_comparison,
     "metric_delta": metric_delta,
     "length_profile": length_profile,
@@ -529,8 +598,11 @@ QUERIES: dict[str, Query] = {
     "request_status": request_status,
     "answer_requests": answer_requests,
     "score_batch": score_batch,
+    "score_budget": score_budget,
+    "end_to_end": end_to_end,
     "score_models": score_models,
     "jsonl_roundtrip": jsonl_roundtrip,
+    "jsonl_quarantine": jsonl_quarantine,
     "report_readback": report_readback,
     "report_recount": report_recount,
     "comparison_readback": comparison_readback,

@@ -316,6 +316,17 @@ _COMPARISON = f"""SELECT ex_id, max(question) AS question, max(gold_sql) AS gold
     {_two(_round('bleu', 4), 'bleu')}, {_two('execution_accuracy', 'exec_accuracy')}
     FROM scored GROUP BY ex_id"""
 
+_SIDE_BY_SIDE = f"""SELECT 'base' AS base_model, 'tuned' AS finetuned_model, max(num_samples) AS num_samples,
+    {_two('exact_match_rate', 'exact_match')}, {_two('valid_sql_rate', 'valid_sql_rate')},
+    {_two('avg_bleu', 'avg_bleu')}, {_two('execution_accuracy_rate', 'execution_accuracy')} FROM summary"""
+
+_COUNTED = f"""{EX}, answers AS (
+    SELECT ex_id, 'counting' AS model, answer AS gold_sql,
+        'SELECT COUNT(*) FROM lineitem' || CASE WHEN ex_id % 2 = 0 THEN ' WHERE l_orderkey = ' || ex_id ELSE '' END AS predicted_sql
+    FROM ex WHERE {_split('ex_id')} = 'test'
+), judged AS (
+    SELECT ex_id, model, {_norm('predicted_sql')} AS pred_norm, {_norm('gold_sql')} AS gold_norm FROM answers)"""
+
 # (class by captured error, class by schema) of each query form
 FORM_CLASSES = [
     (None, None), ("syntax_error", "syntax_error"), ("wrong_table", "wrong_table"), ("wrong_column", "wrong_column"), ("wrong_column", "wrong_column"),
@@ -357,17 +368,18 @@ QUERIES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY split ORDER BY md5('42|' || ex_id), ex_id)
             <= CASE split WHEN 'train' THEN 2000 ELSE 200 END""",
     "first_examples": _with(EX) + "SELECT * FROM ex ORDER BY ex_id LIMIT 500",
+    "first_many_examples": _with(EX) + "SELECT * FROM ex ORDER BY ex_id LIMIT 5000",
     "random_sample_k": "SELECT * FROM documents ORDER BY md5('42|' || doc_id), doc_id LIMIT 5",
     "clean_predictions": _with(PRED) + f"SELECT ex_id, model, {_clean('raw_text')} AS predicted_sql FROM pred",
     "clean_documents": f"""SELECT doc_id, {_clean('"text"')} AS cleaned FROM documents""",
     "normalize_sql": _with(PRED) + f"SELECT ex_id, model, {_norm('raw_text')} AS norm FROM pred",
     "normalize_documents": f"""SELECT doc_id, {_norm('"text"')} AS norm FROM documents""",
-    "ddl_statements": _with(EX) + f"""SELECT ex_id, CAST(pos - 1 AS INTEGER) AS pos, stmts[pos] AS statement FROM (
-        SELECT ex_id, stmts, unnest(range(1, len(stmts) + 1)) AS pos FROM (
-            SELECT ex_id, list_filter(list_transform(regexp_extract_all(
-                context || chr(10) || 'CREATE TABLE notes (id INT, mark TEXT DEFAULT ''a;b'', k INT DEFAULT '
-                    || ex_id || ');  ;', {_q(fixed.DDL_STATEMENT_RE2)}), lambda s: {_strip('s')}),
-                lambda s: s <> '') AS stmts FROM ex))""",
+    # the statements, written out
+    "ddl_statements": _with(EX) + """SELECT ex_id, CAST(pos AS INTEGER) AS pos, CASE pos WHEN 0 THEN context
+        WHEN 1 THEN 'CREATE TABLE notes (id INT, mark TEXT DEFAULT ''a;b'', k INT DEFAULT ' || ex_id || ');' WHEN 2 THEN ';'
+        WHEN 3 THEN 'CREATE TRIGGER t AFTER INSERT ON notes BEGIN UPDATE notes SET k = CASE WHEN k > 1 THEN 0 ELSE 1 END;' || chr(10)
+            || 'DELETE FROM notes;' || chr(10) || 'END;'
+        ELSE 'DROP TABLE x' END AS statement FROM ex, range(5) r(pos)""",
     # what each form lacks follows from its number
     "missing_tables": _with(KEYS) + "SELECT ex_id, model, 'lineitems' AS table_name FROM keys WHERE form = 4",
     "exact_match": _with(JOINED) + "SELECT ex_id, model, pred_norm = gold_norm AS exact_match FROM joined",
@@ -376,9 +388,9 @@ QUERIES: dict[str, str] = {
     "bleu": _with(JOINED, _bleu("joined", "ex_id, model"))
         + f"SELECT ex_id, model, {_round('bleu', 6)} AS bleu FROM bleu_rows",
     "bleu_text": _with(
-        f"""pairs AS (SELECT d.doc_id, {_norm('d."text"')} AS pred_norm, {_norm('b."text"')} AS gold_norm
-        FROM documents d JOIN (SELECT *, row_number() OVER (ORDER BY item_id) - 1 AS place FROM benchmark) b
-            ON b.place = d.doc_id % (SELECT count(*) FROM benchmark))""",
+        f"""items AS MATERIALIZED (SELECT {_norm('"text"')} AS gold_norm, row_number() OVER (ORDER BY item_id) - 1 AS place FROM benchmark)""",
+        f"""pairs AS MATERIALIZED (SELECT doc_id, {_norm('"text"')} AS pred_norm, gold_norm
+        FROM documents JOIN items ON place = doc_id % (SELECT count(*) FROM benchmark))""",
         _bleu("pairs", "doc_id"),
     ) + f"SELECT doc_id, {_round('bleu', 6)} AS bleu FROM bleu_rows",
     "result_equality": _with(KEYS, EXEC) + "SELECT ex_id, model, result_equal FROM executed",
@@ -403,9 +415,12 @@ QUERIES: dict[str, str] = {
     "sample_predictions": _with(SCORED) + f"""SELECT ex_id, question, gold_sql, base_prediction, finetuned_prediction
         FROM ({_COMPARISON}) ORDER BY ex_id LIMIT 5""",
     "comparison_readback": _with(SCORED) + _COMPARISON,
-    "model_comparison": _with(SUMMARY) + f"""SELECT 'base' AS base_model, 'tuned' AS finetuned_model, max(num_samples) AS num_samples,
-        {_two('exact_match_rate', 'exact_match')}, {_two('valid_sql_rate', 'valid_sql_rate')},
-        {_two('avg_bleu', 'avg_bleu')}, {_two('execution_accuracy_rate', 'execution_accuracy')} FROM summary""",
+    "summary_by_batches": _with(SUMMARY) + "SELECT * FROM summary",
+    "prediction_samples": _with(SCORED) + f"""SELECT ex_id, model, left(question, 220) AS question, left(predicted_sql, 220) AS prediction,
+        CASE WHEN exact_match THEN 'exact' WHEN execution_accuracy THEN 'same result' ELSE 'wrong' END AS verdict,
+        {_round('bleu', 4)} AS bleu, coalesce(error_type, '') AS error_type FROM scored""",
+    "uneven_comparison": _with(SUMMARY.replace("FROM scored GROUP BY model", "FROM scored WHERE ex_id % 3 <> 0 GROUP BY model")) + _SIDE_BY_SIDE,
+    "model_comparison": _with(SUMMARY) + _SIDE_BY_SIDE,
     "metric_delta": _with(SCORED) + f"""SELECT metric, {_round('b', 1)} AS base_value, {_round('t', 1)} AS tuned_value,
         {_round('d', 1)} AS delta,
         CASE WHEN d >= 0 THEN '+' ELSE '' END || printf('%.1f', {_round('d', 1)}) || '%' AS delta_text
@@ -439,10 +454,20 @@ QUERIES: dict[str, str] = {
         coalesce({_STATUS}, {_q(fixed.STATUS_OK)}) AS status FROM ex""",
     "score_batch": _with(EX) + f"""SELECT ex_id, {_q(TEMPLATE_MODELS[0])} AS model, 'SELECT COUNT(*) FROM '
         || regexp_extract(context, 'CREATE TABLE ([^ ]+)', 1) AS predicted_sql FROM ex""",
+    "score_budget": _with(EX) + f"""SELECT ex_id, {_q(TEMPLATE_MODELS[0])} AS model,
+        CASE WHEN ex_id % 10 = 7 THEN '' ELSE 'SELECT COUNT(*) FROM lineitem'
+            || CASE WHEN ex_id % 2 = 0 THEN ' WHERE l_orderkey = ' || ex_id ELSE '' END END AS predicted_sql,
+        CASE WHEN ex_id % 10 = 7 THEN '0 answers to 1 prompts' END AS error FROM ex""",
+    "end_to_end": _with(_COUNTED, _bleu("judged", "ex_id, model")) + f"""SELECT j.model, count(*) AS num_samples,
+        {_round("count(*) FILTER (ex_id % 2 = 0) / count(*) * 100", 2)} AS exact_match_rate, CAST(100 AS DOUBLE) AS valid_sql_rate,
+        {_round('avg(bleu)', 4)} AS avg_bleu, 'missing_where' AS error_type, count(*) FILTER (ex_id % 2 = 1) AS n
+        FROM judged j JOIN bleu_rows USING (ex_id, model) GROUP BY j.model""",
     "score_models": _with(EX) + f"""SELECT ex_id, model, 'SELECT COUNT(*) FROM '
         || regexp_extract(context, 'CREATE TABLE ([^ ]+)', 1) AS predicted_sql
         FROM ex, (VALUES ({_q(TEMPLATE_MODELS[0])}), ({_q(TEMPLATE_MODELS[1])})) m(model)""",
     "jsonl_roundtrip": _prepared("generic", True),
+    "jsonl_quarantine": """SELECT 'read' AS kind, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders WHERE o_orderkey % 9 NOT IN (1, 2, 3, 4)
+        UNION ALL SELECT 'rejected', count(*), count(*) FROM orders WHERE o_orderkey % 9 IN (1, 2, 3)""",
     "report_readback": _with(DISTRIBUTION) + "SELECT model, error_type, n FROM dist",
     "report_recount": _with(CLASSED) + """SELECT model, coalesce(error_type, 'unknown') AS error_type,
         count(*) AS n FROM classed GROUP BY ALL""",

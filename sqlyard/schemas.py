@@ -39,6 +39,13 @@ SUMMARY = _table(
     execution_accuracy_rate=_D, error_distribution=MapType(_S, _L),
 )
 
+SUMMARY_STATE = _table(
+    model=_S, error_type=_S, n=_L, bleu_high=_L, bleu_low=_L, n_bleu=_L, exact_match=_L, valid_sql=_L, execution_accuracy=_L,
+    exact_match_known=_L, valid_sql_known=_L, execution_accuracy_known=_L,
+)
+
+MANIFEST = _table(version=_L, place=_S)
+
 METRIC_LOG = _table(run_id=_S, step=_L, eval_loss=_D)
 
 CAPTURED_ROWS = _table(ex_id=_L, model=_S, side=_S, row_text=_S)

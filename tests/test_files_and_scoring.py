@@ -120,3 +120,76 @@ def test_one_predictor_per_task(spark, tmp_path):
     rows = spark.range(0, 30_000, 1, 2).select(F.col("id").alias("ex_id"), F.lit("q").alias("question"), F.lit("s").alias("schema"))
     assert scoring.score_batch(rows, "m", make).where("raw_text = 's'").count() == 30_000
     assert open(mark).read() == "xx"
+
+
+# ---- reports, lines, batches ---------------------------------------------------------------------
+
+def _report(spark, kind, n):
+    results = spark.createDataFrame([(i, "m", None, None, None, False, True, 0.1, None, kind) for i in range(n)], schemas.RESULTS)
+    return results, spark.createDataFrame([("m", n, 1.0, 1.0, 1.0, 1.0, {kind: n})], schemas.SUMMARY)
+
+
+def test_readers_see_whole_reports(spark, tmp_path):
+    folder = str(tmp_path / "report")
+    with pytest.raises(tables.MissingInputError, match="report"):
+        tables.read_report(spark, folder)
+    assert tables.write_report(*_report(spark, "old", 2), folder) == 1
+    results, summary = _report(spark, "new", 3)
+    broken = summary.withColumn("model", F.raise_error(F.lit("stopped between the writes")))
+    with pytest.raises(Exception, match="stopped between"):
+        tables.write_report(results, broken, folder)
+
+    def seen():
+        rows, summary = tables.read_report(spark, folder)
+        return {r["error_type"] for r in rows.collect()}, rows.count(), summary.first()["error_distribution"]
+
+    assert seen() == ({"old"}, 2, {"old": 2})
+    assert tables.write_report(results, summary, folder) == 2 and seen() == ({"new"}, 3, {"new": 3})
+    assert tables.write_report(*_report(spark, "last", 1), folder) == 3 and seen() == ({"last"}, 1, {"last": 1})
+    kept = [p.name for p in (tmp_path / "report").iterdir() if p.name.startswith("version=")]
+    assert sum(n.startswith("version=1-") for n in kept) == 0 and sum(n.startswith("version=3-") for n in kept) == 1
+
+
+def test_broken_lines_are_kept_aside(spark, tmp_path):
+    lines = ['{"ex_id": 1, "question": "q"}', "", "  ", '{"ex_id": 2, "question"', "not json", "[1]", "3", '{"ex_id": "x"}', "{}", ' {"ex_id": 5, "more": [1], "answer": null}', "null"]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.jsonl").write_text("\n".join(lines))
+    rows, rejected = tables.read_jsonl_checked(spark, str(tmp_path / "in"), schemas.RAW_EXAMPLES)
+    assert rows.schema == schemas.RAW_EXAMPLES and sorted((r["ex_id"], r["question"]) for r in rows.where("ex_id IS NOT NULL").collect()) == [(1, "q"), (5, None)]
+    assert rows.count() == 3
+    assert sorted(r["line"] for r in rejected.collect()) == sorted(['{"ex_id": 2, "question"', "not json", "[1]", "3", '{"ex_id": "x"}', "null"])
+    for _ in range(2):
+        tables.quarantine(rejected, str(tmp_path / "aside"))
+    assert spark.read.json(str(tmp_path / "aside")).count() == 12
+    with pytest.raises(tables.MissingInputError):
+        tables.read_jsonl_checked(spark, str(tmp_path / "none"), schemas.RAW_EXAMPLES)
+
+
+@pytest.mark.parametrize("budget, most", [(100, 8), (1, 3), (10**6, 1), (40, 100)])
+def test_batches_by_length(budget, most):
+    lengths = [5, 90, 0, 33, 33, 12, 200, 7, 7, 7, 1]
+    found = scoring.batches_by_length(lengths, budget, most)
+    assert sorted(i for b in found for i in b) == list(range(len(lengths)))
+    assert all(len(b) <= most and (len(b) == 1 or max(lengths[i] for i in b) * len(b) <= budget) for b in found)
+    assert scoring.batches_by_length([], budget, most) == []
+
+
+def test_answers_stay_with_their_prompts():
+    calls = []
+
+    def predictor(prompts):
+        calls.append(len(prompts))
+        if "boom" in prompts:
+            raise ValueError
+        return [p.upper() for p in prompts if p != "lost"] + ["x", "y"] * ("many" in prompts)
+
+    got = scoring.ask(predictor, ["aaa", "boom", "b", "lost", "", "many", "cc"], budget=12, most_rows=4)
+    assert got == [("AAA", None), (None, "ValueError"), ("B", None), (None, "0 answers to 1 prompts"), ("", None), (None, "3 answers to 1 prompts"), ("CC", None)]
+    assert max(calls) == 4
+
+
+def test_stored_prompts_and_errors(spark):
+    rows = spark.createDataFrame([(i, f"p{i}" if i % 4 else None) for i in range(20)], "ex_id long, prompt string")
+    make = lambda: lambda prompts: [p[::-1] for p in prompts if p != "p7"]
+    got = {r["ex_id"]: (r["raw_text"], r["error"]) for r in scoring.score_batch(rows, "any", make, prompt="prompt", budget=5).collect()}
+    assert got == {i: (None, "0 answers to 1 prompts") if i == 7 else (f"p{i}"[::-1] if i % 4 else "", None) for i in range(20)}

@@ -1,6 +1,8 @@
 import hashlib
 import math
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +97,26 @@ def test_profile_rounds_as_shown(spark):
     df = spark.createDataFrame([("x" * v,) for v in (1, 2, 4, 9)], "a string")
     row = profile.length_profile(profile.text_lengths(df, {"a": "a"})).first()
     assert (row["mean"], row["p25"], row["p50"], row["std"]) == (4.0, 2.0, 3.0, 4.0)
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 500, 5000, 10**9])
+def test_first_by_key(spark, n):
+    keys = [(k * 7919) % 6007 - 3000 for k in range(6000)] + [2**62, -(2**63), 2**63 - 1]
+    rows = spark.createDataFrame([(k, f"row {k}") for k in keys] + [(None, "none")], "ex_id long, wide string").repartition(3)
+    found = sampling.first_by_key(rows, n)
+    assert sorted(r["ex_id"] for r in found.collect()) == sorted(keys)[:n]
+
+
+def test_first_by_key_with_ties(spark):
+    rows = spark.createDataFrame([(k // 4, f"{k}") for k in range(40)], "ex_id int, w string").repartition(3)
+    for n in (1, 4, 6, 39, 40, 41):
+        found = sampling.first_by_key(rows, n).collect()
+        assert sorted(r["ex_id"] for r in found) == sorted(k // 4 for k in range(40))[:n] and len({r["w"] for r in found}) == min(n, 40)
+
+
+def test_first_by_key_moves_no_wide_row(spark, tmp_path):
+    spark.range(1000).select(F.col("id").alias("ex_id"), F.lit("x").alias("wide")).write.parquet(f"{tmp_path}/t")
+    rows = spark.read.parquet(f"{tmp_path}/t")
+    plans = [sampling.first_by_key(rows, n)._jdf.queryExecution().optimizedPlan().toString() for n in (500, 5000)]
+    shape = [re.sub(r"#\d+L?|\d+", "", p) for p in plans]
+    assert shape[0] == shape[1] and "Sort" not in plans[0].split("Union")[-1].split("Filter")[0]

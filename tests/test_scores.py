@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sqlyard.operators import evaluation, reports, result_sets
-from sqlyard.operators.row_scores import clipped_matches, with_bleu
+from sqlyard.operators.row_scores import clipped_matches, with_bleu, word_codes
+from sqlyard.schemas import SUMMARY_STATE
 
 
 def plain_bleu(pred, gold):
@@ -46,7 +47,7 @@ def test_bleu_of_a_long_repetitive_text(spark):
 def test_clipped_matches_counts_repeats(spark):
     rows = [(["a", "a", "b"], ["a", "a", "a", "c"], 2), (["a", "b"], ["b", "a"], 2), ([], ["a"], 0), (["a", "a"], ["b", "b"], 0)]
     df = spark.createDataFrame(rows, "p array<string>, g array<string>, want int")
-    assert all(r["want"] == r["got"] for r in df.withColumn("got", clipped_matches("p", "g")).collect())
+    assert all(r["want"] == r["got"] for r in df.withColumn("got", clipped_matches(word_codes("p"), word_codes("g"))).collect())
 
 
 def test_published_examples(spark):
@@ -220,3 +221,37 @@ def test_score_end_to_end(spark, sf):
     rows = {r["model"]: r for r in catalog.eval_summary(spark, sf).collect()}
     assert set(rows) == {"base", "tuned"}
     assert sum(r["num_samples"] for r in rows.values()) == 2 * spark.read.parquet(f"{sf}/orders.parquet").count()
+
+
+def test_states_merge_bit_by_bit(spark):
+    rng = random.Random(4)
+    rows = [(i, m, "q", "g", "p", rng.random() < 0.5, True, rng.choice((rng.random(), 1 / 3, None)), rng.choice((True, False, None)), rng.choice(("x", "y", None)))
+            for i in range(500) for m in "ab"]
+    schema = "ex_id long, model string, question string, gold_sql string, predicted_sql string, exact_match boolean, valid_sql boolean, bleu double, execution_accuracy boolean, error_type string"
+    whole = spark.createDataFrame(rows, schema)
+    rng.shuffle(rows)
+    parts = [reports.summary_state(spark.createDataFrame(rows[a:b], schema).repartition(3)) for a, b in ((0, 100), (100, 700), (700, 1000))]
+    key = lambda r: (r["model"], str(r["error_type"]))
+    merged = sorted(reports.merge_states(*parts).collect(), key=key)
+    assert [r.asDict() for r in merged] == [r.asDict() for r in sorted(reports.summary_state(whole).collect(), key=key)]
+    assert [f.name for f in reports.summary_state(whole).schema] == SUMMARY_STATE.names
+    got = {r["model"]: r for r in reports.summary_of_state(reports.merge_states(*parts)).collect()}
+    for m in "ab":
+        known = [r[7] for r in rows if r[1] == m and r[7] is not None]
+        assert abs(got[m]["avg_bleu"] - sum(known) / len(known)) <= 5.1e-5
+        assert got[m] == {r["model"]: r for r in reports.summary_with_errors(whole).collect()}[m]
+
+
+def test_comparison_of_the_same_examples(scored):
+    fewer = scored.where("NOT (model = 'b' AND ex_id IN (1, 2))")
+    two = reports.model_comparison(fewer, "a", "b").first()
+    assert (two["num_samples"], two["base_exact_match"], two["finetuned_exact_match"], two["base_avg_bleu"]) == (2, 0.0, 50.0, 0.125)
+    assert {r["delta_text"] for r in reports.metric_deltas(fewer, "a", "b").where("metric = 'valid_sql'").collect()} == {"+50.0%"}
+    assert reports.model_comparison(scored.where("model = 'a'"), "a", "b").first()["num_samples"] is None
+
+
+def test_prediction_samples(scored):
+    long = scored.withColumn("predicted_sql", F.repeat(F.lit("x"), 500))
+    rows = {(r["ex_id"], r["model"]): r for r in reports.prediction_samples(long).collect()}
+    assert len(rows[1, "a"]["prediction"]) == 220 and rows[1, "a"]["verdict"] == "exact" and rows[2, "a"]["verdict"] == "same result"
+    assert (rows[4, "a"]["verdict"], rows[4, "a"]["error_type"], rows[1, "a"]["error_type"]) == ("wrong", "logic_error", "")

@@ -107,6 +107,11 @@ def test_long_texts_do_not_exhaust_the_stack(eval_column):
     ("CREATE TABLE a (x TEXT DEFAULT 'p;q');\n\n", ["CREATE TABLE a (x TEXT DEFAULT 'p;q');"]),
     ("a -- one; two\n; b /* ; */", ["a -- one; two\n;", "b /* ; */"]),
     ("it's; fine", ["it's;", "fine"]),
+    ("CREATE TABLE a (x INT); CREATE TRIGGER t AFTER INSERT ON a BEGIN UPDATE a SET x = CASE WHEN x > 1 THEN 0 END; DELETE FROM a; END; SELECT 1;",
+     ["CREATE TABLE a (x INT);", "CREATE TRIGGER t AFTER INSERT ON a BEGIN UPDATE a SET x = CASE WHEN x > 1 THEN 0 END;\nDELETE FROM a;\nEND;", "SELECT 1;"]),
+    ("create temp trigger t begin select 'end;' as \"begin\"; end; BEGIN; COMMIT; END;", ["create temp trigger t begin select 'end;' as \"begin\";\nend;", "BEGIN;", "COMMIT;", "END;"]),
+    ("CREATE TRIGGER t BEGIN SELECT 1; SELECT 2", ["CREATE TRIGGER t BEGIN SELECT 1;\nSELECT 2"]),
+    ("CREATE TABLE begin_log (a INT); INSERT INTO begin_log VALUES (1);", ["CREATE TABLE begin_log (a INT);", "INSERT INTO begin_log VALUES (1);"]),
     ("  ", []), ("", []),
 ])
 def test_ddl_statements(eval_column, ddl, want):
