@@ -1,47 +1,131 @@
-"""The plateau rule on a stream of evaluations."""
+"""The plateau rule on a stream of evaluations that come in any order."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from sqlyard.operators.runs import MIN_DELTA, PATIENCE
 
-OUTPUT = "run_id string, step long, eval_loss double, best_loss double, wait int, stopped boolean"
-_STATE = "best double, wait int, stopped boolean"
+OUTPUT = "run_id string, step long, eval_loss double, best_loss double, wait int, stopped boolean, late boolean"
+_COLUMNS = [part.split()[0] for part in OUTPUT.split(", ")]
 
 
-def plateau_stream(log: DataFrame, patience: int = PATIENCE, min_delta: float = MIN_DELTA) -> DataFrame:
-    """One row per evaluation with the run's state after it; nothing after a run's stop.
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """The state store that ``plateau_stream`` needs, for queries that this session starts from now on."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
-    Evaluations of a run are taken in step order within a micro-batch and must not arrive late
-    across batches. A micro-batch's rows of one run meet in one task, so bound the batch at
-    the source (``maxFilesPerTrigger`` and its like). State per run is three values.
-    """
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best, wait, stopped = state.get if state.exists else (None, 0, False)
+
+class _Walk(StatefulProcessor):
+    """Evaluations wait in the state, in buckets of neighbouring steps, until their turn; then the rule walks over them in order."""
+
+    def __init__(self, patience: int, min_delta: float, lag: int | None, idle_ms: int | None, bucket: int):
+        self.patience, self.min_delta, self.lag, self.idle_ms, self.bucket = patience, min_delta, lag, idle_ms, bucket
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.walk = handle.getValueState("walk", "best double, wait int, stopped boolean, released long, seen long")
+        self.waiting = handle.getMapState("waiting", "bucket long", "steps binary, losses binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        best, wait, stopped, released, seen = self.walk.get() if self.walk.exists() else (None, 0, False, None, None)
+        ended = False
+        for part in rows:
+            if stopped:  # nothing is kept of a run that has ended
+                continue
+            ended |= bool(part["step"].isna().any())
+            part = part[part["step"].notna()]
+            steps, losses = part["step"].to_numpy(np.int64), part["eval_loss"].to_numpy(np.float64)
+            late = steps <= released if released is not None else np.zeros(len(steps), bool)
+            if late.any():
+                yield _rows(key[0], [(int(s), float(x), None, None, None, True) for s, x in zip(steps[late], losses[late])])
+            steps, losses = steps[~late], losses[~late]
+            for b in np.unique(steps // self.bucket).tolist():
+                mine = steps // self.bucket == b
+                self._put(b, *(np.concatenate(pair) for pair in zip(self._take(b), (steps[mine], losses[mine]))))
+            if len(steps):
+                seen = max(int(steps.max()), seen if seen is not None else int(steps.max()))
         if stopped:
-            for _ in batches:  # nothing is kept of a run that has ended
-                pass
             return
-        rows = pd.concat([b[["step", "eval_loss"]] for b in batches]).sort_values("step")
-        out = []
-        for step, loss in zip(rows["step"], rows["eval_loss"]):
-            if stopped:
+        limit = None if ended else seen - self.lag if self.lag is not None and seen is not None else -np.inf
+        yield from self._release(key, (best, wait, stopped, released, seen), limit)
+        if self.idle_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            if not ended:
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.walk.exists() and not self.walk.get()[2]:
+            yield from self._release(key, self.walk.get(), None)
+
+    def close(self) -> None:
+        pass
+
+    def _take(self, b: int) -> tuple[np.ndarray, np.ndarray]:
+        held = self.waiting.getValue((b,)) if self.waiting.containsKey((b,)) else (b"", b"")
+        return np.frombuffer(held[0], np.int64), np.frombuffer(held[1], np.float64)
+
+    def _put(self, b: int, steps: np.ndarray, losses: np.ndarray) -> None:
+        self.waiting.updateValue((b,), (steps.tobytes(), losses.tobytes()))
+
+    def _release(self, key, state, limit) -> Iterator[pd.DataFrame]:
+        """Walks over what waits, up to a step or all of it, a bucket at a time."""
+        best, wait, stopped, released, seen = state
+        for b in sorted(k[0] for k in self.waiting.keys()) if limit is None or limit > -np.inf else ():
+            if stopped or limit is not None and b * self.bucket > limit:
                 break
-            if best is None or loss < best - min_delta:
-                best, wait = float(loss), 0
+            steps, losses = self._take(b)
+            order = np.argsort(steps, kind="stable")
+            steps, losses = steps[order], losses[order]
+            due = len(steps) if limit is None else int(np.searchsorted(steps, limit, "right"))
+            out = []
+            for step, loss in zip(steps[:due].tolist(), losses[:due].tolist()):
+                if best is None or loss < best - self.min_delta:
+                    best, wait = loss, 0
+                else:
+                    wait += 1
+                    stopped = wait >= self.patience
+                out.append((step, loss, best, wait, stopped, False))
+                released = step
+                if stopped:
+                    break
+            if due < len(steps):
+                self._put(b, steps[due:], losses[due:])
             else:
-                wait += 1
-                stopped = wait >= patience
-            out.append((key[0], int(step), float(loss), best, wait, stopped))
-        state.update((best, wait, stopped))
-        yield pd.DataFrame(out, columns=["run_id", "step", "eval_loss", "best_loss", "wait", "stopped"])
-
-    evaluations = log.where(log["eval_loss"].isNotNull())
-    return evaluations.groupBy("run_id").applyInPandasWithState(
-        update, OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout
-    )
+                self.waiting.removeKey((b,))
+            if out:
+                yield _rows(key[0], out)
+        if stopped:
+            self.waiting.clear()
+        self.walk.update((best, wait, stopped, released, seen))
+
+
+def _rows(run_id: str, rows: list[tuple]) -> pd.DataFrame:
+    found = pd.DataFrame([(run_id, *r) for r in rows], columns=_COLUMNS)
+    return found.astype({"wait": "Int32", "stopped": "boolean", "best_loss": "object"})
+
+
+def plateau_stream(
+    log: DataFrame, patience: int = PATIENCE, min_delta: float = MIN_DELTA, lag: int | None = 0, idle_ms: int | None = None, bucket: int = 4096,
+) -> DataFrame:
+    """One row per evaluation with the run's state after it; nothing after a run's stop.
+
+    Evaluations may come in any order. One waits in the state until another of its run that is ``lag`` steps further on has arrived,
+    with ``lag`` None until the run's end, and then has its turn in order of steps. A row without a step and a loss says that its run
+    has ended, and so does, with ``idle_ms``, that time without an evaluation: all that waits has its turn. An evaluation behind
+    one that had its turn comes out as ``late``, with no state, and changes nothing. Other rows without a loss are skipped.
+
+    Waiting evaluations lie in buckets of ``bucket`` neighbouring steps; a batch is read chunk by chunk and the walk holds one bucket, so
+    no run's batch, nor all that waits of it, is in memory at once. The state needs ``keep_state_on_disk``;
+    ``idle_ms`` needs a trigger that goes on, since Spark keeps a query with timers of this kind from ever having taken all there is.
+    """
+    evaluations = log.where(log["eval_loss"].isNotNull() | log["step"].isNull())
+    found = evaluations.select("run_id", F.col("step").cast("long").alias("step"), F.col("eval_loss").cast("double").alias("eval_loss"))
+    return found.groupBy("run_id").transformWithStateInPandas(
+        _Walk(patience, min_delta, lag, idle_ms, bucket), OUTPUT, "append", "None" if idle_ms is None else "ProcessingTime")

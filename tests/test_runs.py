@@ -1,10 +1,11 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from sqlyard.operators import runs
-from sqlyard.streaming.plateau import plateau_stream
+from sqlyard.streaming.plateau import OUTPUT, keep_state_on_disk, plateau_stream
 
 TRACE = [(200, 0.05831), (400, 0.05948), (600, 0.05878), (800, 0.06115), (1000, 0.06497), (1200, 0.11050)]
 LOG = "run_id string, step long, eval_loss double"
@@ -95,21 +96,80 @@ def test_history(spark, bucket):
     assert got == {1: None, 2: 14.0, 3: 72.0, 10: -4.0, 11: None, 30: None}
 
 
-def test_stream_over_many_batches(spark, tmp_path):
-    source = tmp_path / "in"
-    for i, (step, loss) in enumerate(TRACE + [(1400, 0.001)]):
-        rows = [("v2", step, loss)] + ([("other", 1, 0.5), ("other", 2, 0.4)][::-1] if i == 2 else [])
-        spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(str(source))
-    log = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(str(source))
+def _stream(spark, folder, name, **settings):
+    keep_state_on_disk(spark)
+    spark.conf.set("spark.sql.shuffle.partitions", 1)  # a Python worker starts per partition and batch
+    log = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(str(folder / "in"))
     query = (
-        plateau_stream(log).writeStream.format("memory").queryName("waits")
-        .option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start()
+        plateau_stream(log, **settings).writeStream.format("parquet").option("path", str(folder / name))
+        .option("checkpointLocation", str(folder / f"{name}-progress")).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    rows = [(r["step"], r["wait"], r["best_loss"], r["stopped"]) for r in spark.table("waits").where("run_id = 'v2'").orderBy("step").collect()]
-    assert rows == [(s, i, 0.05831, i == 5) for i, (s, _) in enumerate(TRACE)]
-    other = spark.table("waits").where("run_id = 'other'").orderBy("step").collect()
-    assert [(r["step"], r["best_loss"], r["wait"]) for r in other] == [(1, 0.5, 0), (2, 0.4, 0)]
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    return spark.read.parquet(str(folder / name))
+
+
+def _file(spark, folder, rows):
+    spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(str(folder / "in"))
+
+
+def _walked(found, run):
+    return [(r["step"], r["wait"], r["best_loss"], r["stopped"]) for r in found.where(f"run_id = '{run}' AND NOT late").orderBy("step").collect()]
+
+
+def test_stream_over_many_batches(spark, tmp_path):
+    trace = [("v2", step, loss) for step, loss in TRACE + [(1400, 0.001)]]
+    for rows in (trace[:2], trace[2:3] + [("other", 2, 0.4), ("other", 1, 0.5)], trace[3:]):
+        _file(spark, tmp_path, rows)
+    found = _stream(spark, tmp_path, "waits")
+    assert _walked(found, "v2") == [(s, i, 0.05831, i == 5) for i, (s, _) in enumerate(TRACE)]
+    assert _walked(found, "other") == [(1, 0, 0.5, False), (2, 0, 0.4, False)]
+
+
+def test_stream_of_shuffled_files(spark, tmp_path):
+    """Any order gives what the batch gives, once a run has ended; what comes after its turn is late."""
+    rng = random.Random(2)
+    rows = [(f"r{k}", step, rng.choice((1 / step, 0.5, 2.0, float("nan")))) for k in range(4) for step in range(1, 40)]
+    rng.shuffle(rows)
+    for part in range(2):
+        _file(spark, tmp_path, rows[part::2] + [("r0", 50, None)])
+    waiting = _stream(spark, tmp_path, "rows", lag=None, bucket=8)
+    assert waiting.count() == 0
+    _file(spark, tmp_path, [(f"r{k}", None, None) for k in range(3)])
+    found = _stream(spark, tmp_path, "rows", lag=None, bucket=8).where("NOT late")
+    whole = {r["run_id"]: r for r in runs.plateau(spark.createDataFrame(rows, LOG)).collect()}
+    assert {r["run_id"] for r in found.collect()} == {"r0", "r1", "r2"}
+    for r in found.groupBy("run_id").agg(F.max("step").alias("last"), F.count("*").alias("n"), F.max_by("best_loss", "step").alias("best"), F.max_by("wait", "step").alias("wait")).collect():
+        assert (r["last"], r["n"], r["wait"]) == tuple(whole[r["run_id"]][c] for c in ("last_step", "n_evals", "wait"))
+
+
+def test_stream_says_what_is_late(spark, tmp_path):
+    for steps in ((5, 3), (4, 9), (8, 1, 12), (11, 6)):
+        _file(spark, tmp_path, [("a", s, 1.0 / s) for s in steps])
+    found = _stream(spark, tmp_path, "lagged", lag=2)
+    assert [s for s, *_ in _walked(found, "a")] == [3, 4, 5, 8, 9]  # 11 and 12 wait on
+    late = {r["step"]: (r["best_loss"], r["wait"], r["stopped"]) for r in found.where("late").collect()}
+    assert late == {1: (None, None, None), 6: (None, None, None)}
+
+
+def test_stream_lets_idle_runs_go(spark, tmp_path):
+    _file(spark, tmp_path, [("a", 2, 0.5), ("a", 1, 1.0)])
+    keep_state_on_disk(spark)
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    log = spark.readStream.schema(LOG).parquet(str(tmp_path / "in"))
+    query = (
+        plateau_stream(log, lag=None, idle_ms=1).writeStream.format("parquet").option("path", str(tmp_path / "idle"))
+        .option("checkpointLocation", str(tmp_path / "progress")).trigger(processingTime="1 second").start()
+    )
+    try:
+        end, found = time.time() + 90, []
+        while not found and time.time() < end:
+            time.sleep(1)
+            found = _walked(spark.read.schema(OUTPUT).parquet(str(tmp_path / "idle")), "a") if (tmp_path / "idle").exists() else []
+    finally:
+        query.stop()
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert found == [(1, 0, 1.0, False), (2, 0, 0.5, False)]
 
 
 def test_hot_run_is_shared_among_tasks(spark):
