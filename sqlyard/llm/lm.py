@@ -129,7 +129,7 @@ _SHARDS = "ids array<long>, sizes binary, codes binary, words array<binary>, cou
 
 
 def _cut(batches):
-    for batch in text_slices(batches, 16 << 20):
+    for batch in text_slices(batches, 8 << 20):
         code: dict[bytes, int] = {}
         rows = []
         for text in byte_values(batch.column("text")):
@@ -250,7 +250,7 @@ class Model:
         side, dim, reach, first, shared, frequent = self.side, self.dim, self.reach, self.first, self.shared, self.frequent
         start = self.shards.sparkSession.sparkContext.broadcast(self.flat)
         asked = self.shards.select("shard", "words").mapInArrow(_shared(frequent), "shard long, code int, word binary")
-        known = asked.join(self.shares.select("word", "share"), "word").groupBy("shard").agg(F.collect_list(F.struct("code", "share")).alias("shares"))
+        known = asked.join(self.shares.select("word", "share").hint("shuffle_hash"), "word").groupBy("shard").agg(F.collect_list(F.struct("code", "share")).alias("shares"))
 
         def run(batches):
             net = Network(side, side, dim, reach).fill(start.value)
@@ -264,7 +264,7 @@ class Model:
                     total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), found, len(sizes))
                     yield pa.RecordBatch.from_arrays([batch.column("ids")[row].values, pa.array(sizes), pa.array(total)], ["doc_id", "n_tokens", "total"])
 
-        placed = self.shards.select("shard", "ids", "sizes", "codes", "words").join(known, "shard", "left").drop("shard")
+        placed = self.shards.select("shard", "ids", "sizes", "codes", "words").join(known.hint("shuffle_hash"), "shard", "left").drop("shard")  # rows of megabytes need no sort
         return placed.mapInArrow(run, "doc_id long, n_tokens long, total double")
 
 
