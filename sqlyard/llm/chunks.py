@@ -141,7 +141,8 @@ def edit_likeness(docs: DataFrame, parts: int | None = None, id_col: str = "doc_
 
     Returns ``(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, contained_edited)``.
     The next text is that of the next smaller id (after the smallest: of the largest); of rows that share an id, the next by text.
-    Null text is empty. ``parts`` is the number of id ranges, by default the session's number of shuffle partitions.
+    Null text is empty. Repeated rows are each other's next; an empty table gives no rows. A very long text is chunked whole, in
+    one task. ``parts`` is the number of id ranges, by default the session's number of shuffle partitions.
     """
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -177,7 +177,8 @@ def count_edits(
     """``(doc_id, n_tokens, edited_tokens, n_chars, edited_chars, recounted_chars)`` per row.
 
     Each text is counted, then changed by ``edits`` in turn, each at a share of the length the text then has. Counts after
-    the edits come from the tree; ``recounted_chars`` says how many characters the edits made it encode. Null text is empty.
+    the edits come from the tree; ``recounted_chars`` says how many characters the edits made it encode. Null text is empty; repeated rows are counted each, an
+    empty table gives no rows, and a very long text has one tree in one task.
     """
     def run(batches):
         counter = Counter(vocabulary, pattern)

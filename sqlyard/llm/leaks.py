@@ -243,7 +243,8 @@ def contamination(
     another, so a benchmark of any size is searched whole. A task indexes its documents in shards of about
     ``shard_bytes``; a longer single text is a shard of its own. Nothing is shuffled.
 
-    Null texts have no words, on either side. Items without an id are searched, count in ``n_items`` as one,
+    Null texts have no words, on either side. Rows of items that share an id are one item with the phrases of all of them; an empty
+    table, on either side, gives no rows or no hits. Items without an id are searched, count in ``n_items`` as one,
     and are left out of ``items`` and the digest.
     """
     rows = id_and_text(docs, id_col, text_col, carry)

@@ -166,7 +166,8 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: st
     """``(doc_id, held_out, score, predicted)`` per row of ``docs``, by a model fitted on the labelled rows among them.
 
     Null and empty texts score as a text without words. Labels of unknown ids and null labels are not used; without any
-    usable label, or with one class only, every score is that class's. A row's id decides only whether it trains.
+    usable label, or with one class only, every score is that class's. A row's id decides only whether it trains. Rows that repeat
+    an id are scored each by their own text; an empty table gives no rows; very long texts are scored whole.
     """
     rows = id_and_text(docs, id_col, text_col)
     parts = docs.sparkSession.sparkContext.broadcast(fit(rows, labels, **settings))  # one number per bucket
