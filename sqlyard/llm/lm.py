@@ -18,10 +18,10 @@ from sqlyard.sources.tables import stored
 EDGE = 0
 
 
-def shape(words: int, breadth: float = 3.0) -> int:
-    """Groups, and classes in a group, for a corpus of so many distinct words: ``breadth`` times its fifth root, so the classes are
-    that squared times the power 0.4 of the words."""
-    return max(2, math.ceil(breadth * max(1, words) ** 0.2))
+def shape(words: int, breadth: float = 3.5) -> int:
+    """Groups, and classes in a group, for a corpus of so many distinct words: ``breadth`` times its sixth root, so the classes are
+    that squared times the cube root of the words."""
+    return max(2, math.ceil(breadth * max(1, words) ** (1 / 6)))
 
 
 class Network:
@@ -76,11 +76,9 @@ class Network:
         for i in range(0, len(at), step):
             some = at[i: i + step]
             hidden, classes, total = self.hidden(tokens, some), tokens[some], out[i: i + step]
-            shares = _softmax(hidden @ self.to_group + self.group_bias)
-            total[:] = np.log(shares[np.arange(len(some)), classes // self.members])
+            total[:] = _log_shares(hidden @ self.to_group + self.group_bias, classes // self.members)
             for g, rows, member in self.by_group(classes):
-                own = _softmax(hidden[rows] @ self.to_member[g] + self.member_bias[g])
-                total[rows] += np.log(own[np.arange(len(rows)), member])
+                total[rows] += _log_shares(hidden[rows] @ self.to_member[g] + self.member_bias[g], member)
         return out
 
     def learn(self, tokens: np.ndarray, at: np.ndarray, squares: list[np.ndarray], rate: float, step: int = 8192) -> None:
@@ -116,10 +114,17 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
     logits /= logits.sum(axis=1, keepdims=True)
-    np.maximum(logits, 1e-30, out=logits)
     return logits
 
 
+def _log_shares(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Logarithm of the softmax of one entry of each row."""
+    logits -= logits.max(axis=1, keepdims=True)
+    own = logits[np.arange(len(wanted)), wanted]
+    np.exp(logits, out=logits)
+    return own - np.log(logits.sum(axis=1))
+
+
 # ---- shards ---------------------------------------------------------------------------------------
 #
 # Texts are cut into words once. A shard is a slice of the documents with a dictionary of its own: codes of all its words in
@@ -269,7 +274,7 @@ class Model:
 
 
 def fit(
-    docs: DataFrame, dim: int = 16, reach: int = 2, rounds: int = 1, rate: float = 0.1, breadth: float = 3.0, own_share: float = 0.75,
+    docs: DataFrame, dim: int = 16, reach: int = 2, rounds: int = 1, rate: float = 0.1, breadth: float = 3.5, own_share: float = 0.75,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> Model:
     """A model of every word of every text. ``own_share`` of the classes belong to a most frequent word each, the others are shared by hash."""
@@ -282,7 +287,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **set
     A token is a lower-case word, each predicted from ``reach`` words on either side, itself masked: the probability of its class, by
     the network, times that of the word in its class, by the word's count among the class's words in the whole corpus. The vocabulary is
     every distinct word, kept as a distributed table that is joined to the shards' dictionaries; the number of classes follows the
-    power 0.4 of its size. So different words score differently where their counts or classes do.
+    cube root of its size. So different words score differently where their counts or classes do.
 
     Null and empty texts have no tokens, a sum of 0 and no mean. Rows that repeat an id, or have none, are scored each; repeated rows
     count as often as they occur. An empty table gives no rows. A very long text is in one shard, whose memory grows with it. Sums
