@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -93,11 +94,14 @@ def train(
     if not number or y.min(initial=1) == y.max(initial=0):
         bias[:] = (0, 50) if len(y) and y.min() == 1 else (0, -50)
         return Model(embedding * 0, weights, bias, window)
-    bags = [grams(w, buckets) for w in number]
-    sizes = np.array([len(b) for b in bags], np.int64)
-    flat, begins = np.concatenate(bags), np.cumsum(sizes) - sizes
-    del bags
-    owner = np.repeat(np.arange(len(sizes)), sizes)
+    bags, ends = array("i"), array("q")  # numbers of four bytes, not a list of objects per word
+    for w in number:
+        bags.extend(grams(w, buckets))
+        ends.append(len(bags))
+    flat, stops = np.frombuffer(bags, np.int32), np.frombuffer(ends, np.int64)
+    sizes = np.diff(stops, prepend=0)
+    begins = stops - sizes
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     worth = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (embedding, weights, bias)]
     for step in range(rounds):
