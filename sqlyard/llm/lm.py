@@ -128,9 +128,27 @@ def _log_shares(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 # ---- shards ---------------------------------------------------------------------------------------
 #
 # Texts are cut into words once. A shard is a slice of the documents with a dictionary of its own: codes of all its words in
-# order, the words behind the codes, and how often each occurs.
+# order, the words behind the codes, as 64-bit hashes, and how often each occurs. Two words share a hash, and so a count, with
+# a chance of 2**-64.
 
-_SHARDS = "ids array<long>, sizes binary, codes binary, words array<binary>, counts binary"
+_SHARDS = "ids array<long>, sizes binary, codes binary, words binary, counts binary"
+
+
+def word_key(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
+
+
+def _classes(keys: np.ndarray, own: tuple[np.ndarray, np.ndarray], first: int, shared: int) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each word, and whether it is the word's own; ``own`` holds the keys that have one, sorted, and their classes."""
+    held, numbers = own
+    out = first + (keys.view(np.uint64) % np.uint64(shared)).astype(np.int64)
+    if not len(held):
+        return out, np.zeros(len(keys), bool)
+    at = np.searchsorted(held, keys)
+    at[at == len(held)] = 0
+    hit = held[at] == keys
+    out[hit] = numbers[at[hit]]
+    return out, hit
 
 
 def _cut(batches):
@@ -141,10 +159,10 @@ def _cut(batches):
             words = (text or b"").lower().split()
             rows.append(np.fromiter((code.setdefault(w, len(code)) for w in words), np.int32, len(words)))
         codes = np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int32)
-        raw = [np.array([len(r) for r in rows], np.int64), codes, np.bincount(codes, minlength=len(code)).astype(np.int64)]
-        sizes, codes, counts = (pa.array([x.tobytes()], pa.binary()) for x in raw)
+        raw = [np.array([len(r) for r in rows], np.int64), codes, np.fromiter(map(word_key, code), np.int64, len(code)),
+               np.bincount(codes, minlength=len(code)).astype(np.int64)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())), sizes, codes, pa.array([list(code)], pa.list_(pa.binary())), counts],
+            [pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())), *[pa.array([x.tobytes()], pa.binary()) for x in raw]],
             ["ids", "sizes", "codes", "words", "counts"])
 
 
@@ -155,31 +173,25 @@ def _array(batch: pa.RecordBatch, column: str, row: int, kind) -> np.ndarray:
 def _count(batches):
     for batch in batches:
         for row in range(batch.num_rows):
-            yield pa.RecordBatch.from_arrays([batch.column("words")[row].values, pa.array(_array(batch, "counts", row, np.int64))], ["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(_array(batch, c, row, np.int64)) for c in ("words", "counts")], ["word", "n"])
 
 
-def _shared(own):
+def _shared(own, first: int, shared: int):
     """``(shard, code, word)`` of the words without a class of their own."""
     def run(batches):
-        frequent = own.value
         for batch in batches:
             for row, shard in enumerate(batch.column("shard").to_pylist()):
-                words = batch.column("words")[row].values.to_pylist()
-                rest = [i for i, w in enumerate(words) if w not in frequent]
+                keys = _array(batch, "words", row, np.int64)
+                rest = np.flatnonzero(~_classes(keys, own.value, first, shared)[1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(rest), shard)), pa.array(rest, pa.int32()), pa.array([words[i] for i in rest], pa.binary())],
-                    ["shard", "code", "word"])
+                    [pa.array(np.full(len(rest), shard)), pa.array(rest.astype(np.int32)), pa.array(keys[rest])], ["shard", "code", "word"])
     return run
 
 
-def _shared_class(word: bytes, first: int, shared: int) -> int:
-    return first + xxhash.xxh3_64_intdigest(word) % shared
-
-
-def _tokens(batch: pa.RecordBatch, row: int, frequent: dict[bytes, int], first: int, shared: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _tokens(batch: pa.RecordBatch, row: int, own: tuple[np.ndarray, np.ndarray], first: int, shared: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Classes of all texts of a shard with edges between, the places of real tokens, their codes, and how many each text has."""
-    words, sizes, codes = batch.column("words")[row].values.to_pylist(), _array(batch, "sizes", row, np.int64), _array(batch, "codes", row, np.int32)
-    of = np.array([frequent.get(w) or _shared_class(w, first, shared) for w in words], np.int64)
+    sizes, codes = _array(batch, "sizes", row, np.int64), _array(batch, "codes", row, np.int32)
+    of, _ = _classes(_array(batch, "words", row, np.int64), own, first, shared)
     at = np.arange(len(codes)) + reach * (1 + np.repeat(np.arange(len(sizes)), sizes))
     tokens = np.full(len(codes) + reach * (len(sizes) + 1), EDGE, np.int64)
     tokens[at] = of[codes] if len(codes) else 0
@@ -205,21 +217,24 @@ class Model:
         self.dim, self.reach = dim, reach
         cut = docs.mapInArrow(_cut, _SHARDS).select(F.monotonically_increasing_id().alias("shard"), "*")
         self.shards = stored(cut, "shards")
-        words = stored(self.shards.select("words", "counts").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+        words = stored(self.shards.select("words", "counts").mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
         side = shape(words.count(), breadth)
         own = min(int(side * side * own_share), side * side - 2)
         self.side, self.first = side, 1 + own
         self.shared = side * side - self.first
-        frequent = {bytes(r["word"]): i for i, r in enumerate(words.orderBy(F.desc("n"), "word").limit(own).collect(), 1)}
-        self.frequent = context.broadcast(frequent)
+        most = sorted((r["word"], i) for i, r in enumerate(words.orderBy(F.desc("n"), "word").limit(own).collect(), 1))
+        held = np.array([k for k, _ in most], np.int64), np.array([i for _, i in most], np.int64)
+        self.frequent = context.broadcast(held)
         first, shared = self.first, self.shared
 
         def rest(batches):
             for batch in batches:
-                kept = [(w, n, _shared_class(w, first, shared)) for w, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()) if w not in frequent]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*kept) if kept else [[]] * 3, (pa.binary(), pa.int64(), pa.int32()))], ["word", "n", "class"])
+                keys = batch.column("word").to_numpy()
+                classes, hit = _classes(keys, held, first, shared)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[~hit]), batch.column("n").filter(pa.array(~hit)), pa.array(classes[~hit].astype(np.int32))], ["word", "n", "class"])
 
-        rare = words.mapInArrow(rest, "word binary, n long, class int")
+        rare = words.mapInArrow(rest, "word long, n long, class int")
         totals = rare.groupBy("class").agg(F.sum("n").alias("total"))
         self.shares = rare.join(totals, "class").select("word", "class", F.log(F.col("n") / F.col("total")).alias("share"))
         self.flat = Network(side, side, dim, reach).flat()
@@ -254,7 +269,7 @@ class Model:
         """``(doc_id, n_tokens, total)`` per document: for every token the log-probability of its class, from both sides, and of the word in it."""
         side, dim, reach, first, shared, frequent = self.side, self.dim, self.reach, self.first, self.shared, self.frequent
         start = self.shards.sparkSession.sparkContext.broadcast(self.flat)
-        asked = self.shards.select("shard", "words").mapInArrow(_shared(frequent), "shard long, code int, word binary")
+        asked = self.shards.select("shard", "words").mapInArrow(_shared(frequent, first, shared), "shard long, code int, word long")
         known = asked.join(self.shares.select("word", "share").hint("shuffle_hash"), "word").groupBy("shard").agg(F.collect_list(F.struct("code", "share")).alias("shares"))
 
         def run(batches):
@@ -262,7 +277,7 @@ class Model:
             for batch in batches:
                 for row in range(batch.num_rows):
                     tokens, at, codes, sizes = _tokens(batch, row, frequent.value, first, shared, reach)
-                    share, held = np.zeros(len(batch.column("words")[row].values)), batch.column("shares")[row]
+                    share, held = np.zeros(len(_array(batch, "words", row, np.int64))), batch.column("shares")[row]
                     if held.is_valid:
                         share[held.values.field("code").to_numpy()] = held.values.field("share").to_numpy()
                     found = net.log_probabilities(tokens, at) + share[codes]

@@ -308,14 +308,17 @@ def test_likelihood_of_every_word(spark):
     rows += [(i, f"one{i} two{i} same") for i in range(100, 140)] + [(7, None), (None, "same v1 v2"), (7, "same v1 v2")]
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, word string, share int").repartition(3)
     model = lm.fit(docs, breadth=4)
-    own, side = model.frequent.value, model.side
-    shares = {bytes(r["word"]): r["share"] for r in model.shares.collect()}
+    (keys, numbers), side = model.frequent.value, model.side
+    by_key, shares_by_key = dict(zip(keys.tolist(), numbers.tolist())), {r["word"]: r["share"] for r in model.shares.collect()}
     counts = defaultdict(int)
     for _, t in rows:
         for w in (t or "").encode().split():
             counts[w] += 1
-    assert len(counts) == len(own) + len(shares) > side * side
-    of = {w: own.get(w) or lm._shared_class(w, model.first, model.shared) for w in counts}
+    own = {w: by_key[lm.word_key(w)] for w in counts if lm.word_key(w) in by_key}
+    shares = {w: shares_by_key[lm.word_key(w)] for w in counts if w not in own}
+    assert len(counts) == len(by_key) + len(shares_by_key) > side * side and sorted(own.values()) == list(range(1, len(own) + 1))
+    assert min(counts[w] for w in own) >= max(counts[w] for w in shares)
+    of = {w: own.get(w) or model.first + lm.word_key(w) % 2**64 % model.shared for w in counts}
     for w, share in shares.items():
         assert abs(share - np.log(counts[w] / sum(n for v, n in counts.items() if v not in own and of[v] == of[w]))) < 1e-12
     net = lm.Network(side, side, model.dim, model.reach).fill(model.flat)
