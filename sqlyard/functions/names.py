@@ -12,12 +12,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sqlyard.functions import fixed
-from sqlyard.functions.text import col, ddl_statements, declared_columns_of
+from sqlyard.functions.text import bound, col, ddl_statements, declared_columns_of
 
 _FRAME = "struct<path:array<int>,clause:string,own:boolean,compound:boolean>"
 _ITEM = "struct<role:string,path:array<int>,qualifier:string,name:string>"
-_STATE = f"struct<prev:string,operand:boolean,last:string,n:int,frames:array<{_FRAME}>,found:array<{_ITEM}>>"
-_FIELDS = ["prev", "operand", "last", "n", "frames", "found"]
+_STATE = f"struct<prev:string,operand:boolean,last:string,n:int,top:{_FRAME},frames:array<{_FRAME}>,found:array<{_ITEM}>>"
+_FIELDS = ["prev", "operand", "last", "n", "top", "frames", "found"]
+_SIDES = ["inner", "left", "right", "full", "cross", "natural", "outer"]
+_CLAUSES = ["where", "group", "having", "order", "qualify"]
+_ENDS = ["limit", "offset", "fetch"]
+# words that may open a clause
+_OPENING = ["union", "except", "intersect", "select", "with", "from", "join", "on", "using", "window", *_SIDES, *_CLAUSES, *_ENDS]
 
 
 def _parts(name: Column) -> Column:
@@ -29,8 +34,31 @@ def _parts(name: Column) -> Column:
 def tokens(sql: Column | str) -> Column:
     """``(text, word, next)`` per token: as written, in lower case, and the lower-cased token behind it; no comments or blanks."""
     found = F.filter(F.regexp_extract_all(col(sql), F.lit(fixed.NAME_TOKEN), F.lit(1)), lambda t: t != "")
-    return F.transform(found, lambda t, i: F.struct(
-        t.alias("text"), F.lower(t).alias("word"), F.coalesce(F.lower(F.get(found, i + 1)), F.lit("")).alias("next")))
+    return bound(found, lambda all_: F.transform(all_, lambda t, i: F.struct(
+        t.alias("text"), F.lower(t).alias("word"), F.coalesce(F.lower(F.get(all_, i + 1)), F.lit("")).alias("next"))))
+
+
+def _read(found: Column) -> Column:
+    """What the fold asks of a token again and again, found once per token. ``parts`` is null where the token is no name."""
+    kept = ("text", "word", "next")
+
+    def kind(t: Column) -> Column:
+        w = t["word"]
+        return F.struct(
+            *[t[k].alias(k) for k in kept], w.rlike(r"^[\p{L}_]").alias("is_word"), w.isin([k.lower() for k in fixed.KEYWORDS]).alias("keyword"),
+            w.isin(_OPENING).alias("opening"))
+
+    def name(t: Column) -> Column:
+        w, text = t["word"], t["text"]
+        # a quoted word alone may be text
+        is_name = t["is_word"] | w.rlike(r"^[`\[]") | (w.rlike('^"') & w.rlike(r'"\s*\.'))
+        # what the next token finds behind it
+        operand = F.when(t["is_word"], ~t["keyword"] | (w == "end")).otherwise(is_name | w.rlike(r"""^['"0-9)]"""))
+        return F.struct(
+            *[t[k].alias(k) for k in (*kept, "is_word", "keyword", "opening")], is_name.alias("is_name"), operand.alias("operand"),
+            F.when(t["is_word"] & ~F.contains(w, F.lit(".")), F.array(w)).when(is_name, _parts(text)).alias("parts"))
+
+    return F.transform(F.transform(found, kind), name)
 
 
 def _with(s: Column, **changes: Column) -> Column:
@@ -48,21 +76,16 @@ def _item(role: str, path: Column, qualifier: Column, name: Column) -> Column:
 
 def _step(s: Column, t: Column) -> Column:
     w, after, prev = t["word"], t["next"], s["prev"]
-    top, rest = F.element_at(s["frames"], -1), F.slice(s["frames"], 1, F.size(s["frames"]) - 1)
+    top, rest = s["top"], s["frames"]
     path, clause, own, compound, yes, no = top["path"], top["clause"], top["own"], top["compound"], F.lit(True), F.lit(False)
     none = F.lit(None).cast("string")
-
-    is_word = w.rlike(r"^[\p{L}_]")
-    is_name = is_word | w.rlike(r"^[`\[]") | (w.rlike('^"') & w.rlike(r'"\s*\.'))  # a quoted word alone may be text
-    keyword = w.isin([k.lower() for k in fixed.KEYWORDS])
-    # what the next token finds behind it
-    operand = F.when(is_word, ~keyword | (w == "end")).otherwise(is_name | w.rlike(r"""^['"0-9)]"""))
+    is_word, keyword, parts = t["is_word"], t["keyword"], t["parts"]
 
     def moved(**changes: Column) -> Column:
-        return _with(s, prev=w, operand=operand, **changes)
+        return _with(s, prev=w, operand=t["operand"], **changes)
 
     def in_clause(name: Column | str, compound_: Column = compound, path_: Column = path, **changes: Column) -> Column:
-        return moved(frames=F.concat(rest, F.array(_frame(path_, name, own, compound_))), **changes)
+        return moved(top=_frame(path_, name, own, compound_), **changes)
 
     def seen(role: str, qualifier: Column, name: Column, **changes: Column) -> Column:
         return moved(found=F.concat(s["found"], _item(role, path, qualifier, name)), **changes)
@@ -76,7 +99,6 @@ def _step(s: Column, t: Column) -> Column:
     derived = (F.element_at(path, -1) != F.element_at(outer["path"], -1)) & (outer["clause"] == "from") & outer["own"]
     closed = F.when(derived, F.concat(s["found"], _item("table", outer["path"], none, none))).otherwise(s["found"])
 
-    parts = _parts(t["text"])
     name, qualifier = F.element_at(parts, -1), F.when(F.size(parts) > 1, F.get(parts, F.size(parts) - 2))
     no_column = (
         (is_word & keyword & (F.size(parts) == 1)) | (after == "(") | (after == ".") | after.startswith("'")
@@ -93,27 +115,30 @@ def _step(s: Column, t: Column) -> Column:
         .when((prev == "as") | s["operand"], seen("table", name, s["last"]))
         .otherwise(moved()))
 
-    return (
-        F.when(w == "(", moved(frames=F.concat(s["frames"], F.array(opened)), n=s["n"] + opens.cast("int")))
-        .when((w == ")") & (F.size(rest) > 0), moved(frames=rest, found=closed, last=F.when(derived, none).otherwise(s["last"])))
-        .when(~own & ~is_name, moved())
-        .when(own & w.isin("union", "except", "intersect"), in_clause("set", yes))
-        .when(own & (w == "select") & (clause == "set"),
+    # null where the word opens no clause here
+    of_clause = (
+        F.when(w.isin("union", "except", "intersect"), in_clause("set", yes))
+        .when((w == "select") & (clause == "set"),
               in_clause("select", yes, F.concat(F.slice(path, 1, F.size(path) - 1), F.array(s["n"])), n=s["n"] + 1))
-        .when(own & (w == "select"), in_clause("select"))
-        .when(own & (w == "with") & (clause == ""), in_clause("with"))
-        .when(own & (w == "from") & (prev != "distinct"), in_clause("from"))
-        .when(own & clause.isin("from", "on") & ((w == "join") | (w.isin("inner", "left", "right", "full", "cross", "natural", "outer") & (after != "("))),
-              in_clause("from"))
-        .when(own & (clause != "with") & w.isin("on", "using"), in_clause("on"))
-        .when(own & (w == "order") & compound, in_clause("skip"))
-        .when(own & w.isin("where", "group", "having", "order", "qualify") & (clause != "") & (prev != "within"), in_clause(w))
-        .when(own & w.isin("window"), in_clause("on"))
-        .when(own & w.isin("limit", "offset", "fetch") & (clause != "select"), in_clause("skip"))
-        .when(~is_name, moved())
-        .when(own & (clause == "with") & prev.isin("with", "recursive", ","), seen("given", none, name))
+        .when(w == "select", in_clause("select"))
+        .when((w == "with") & (clause == ""), in_clause("with"))
+        .when((w == "from") & (prev != "distinct"), in_clause("from"))
+        .when(clause.isin("from", "on") & ((w == "join") | (w.isin(_SIDES) & (after != "("))), in_clause("from"))
+        .when((clause != "with") & w.isin("on", "using"), in_clause("on"))
+        .when((w == "order") & compound, in_clause("skip"))
+        .when(w.isin(_CLAUSES) & (clause != "") & (prev != "within"), in_clause(w))
+        .when(w == "window", in_clause("on"))
+        .when(w.isin(_ENDS) & (clause != "select"), in_clause("skip")))
+    of_name = (
+        F.when(own & (clause == "with") & prev.isin("with", "recursive", ","), seen("given", none, name))
         .when(own & (clause == "from"), in_from)
         .otherwise(outside))
+    return (
+        F.when(t["is_name"], F.coalesce(F.when(own & t["opening"], of_clause), of_name))
+        .when(w == "(", moved(top=opened, frames=F.concat(rest, F.array(top)), n=s["n"] + opens.cast("int")))
+        .when((w == ")") & (F.size(rest) > 0), moved(
+            top=outer, frames=F.slice(rest, 1, F.size(rest) - 1), found=closed, last=F.when(derived, none).otherwise(s["last"])))
+        .otherwise(moved()))
 
 
 def names(sql: Column | str) -> Column:
@@ -122,10 +147,11 @@ def names(sql: Column | str) -> Column:
     ``path`` holds the numbers of the levels around it, its own last. Roles: ``table`` (``qualifier`` is what columns may call
     it; ``name`` is null for a subquery or function), ``column``, ``named`` (an alias), ``given`` (a name that WITH gives).
     """
-    base = F.array(_frame(F.array(F.lit(0)), "", F.lit(True), F.lit(False)))
+    base = _frame(F.array(F.lit(0)), "", F.lit(True), F.lit(False))
     start = F.struct(F.lit("").alias("prev"), F.lit(False).alias("operand"), F.lit(None).cast("string").alias("last"), F.lit(1).alias("n"),
-                     base.alias("frames"), F.array().cast(f"array<{_ITEM}>").alias("found")).cast(_STATE)
-    return F.aggregate(tokens(sql), start, lambda s, t: _step(s, t).cast(_STATE), lambda s: s["found"])
+                     base.alias("top"), F.array().cast(f"array<{_FRAME}>").alias("frames"), F.array().cast(f"array<{_ITEM}>").alias("found"))
+    # only the start is cast: a cast in the fold would copy all that is found, token by token
+    return F.aggregate(_read(tokens(sql)), start.cast(_STATE), _step, lambda s: s["found"])
 
 
 def declared(schema: Column | str) -> Column:
@@ -147,26 +173,27 @@ def missing_columns(sql: Column | str, schema: Column | str) -> Column:
     declared, bare columns are left open. Quoted and typed literals, row ids and keywords are no columns, nor is a word in
     double quotes that stands alone; ORDER BY behind UNION is not looked at, nor are statements other than SELECT.
     """
-    def look(both: Column) -> Column:
-        found, tables = both["found"], both["tables"]
+    def look(found: Column, tables: Column) -> Column:
         given = F.transform(F.filter(found, lambda x: x["role"] == "given"), lambda x: x["name"])
-        bound = F.transform(F.filter(found, lambda x: x["role"] == "table"), lambda x: F.struct(
+        bound_ = F.transform(F.filter(found, lambda x: x["role"] == "table"), lambda x: F.struct(
             F.element_at(x["path"], -1).alias("level"), x["qualifier"].alias("qualifier"),
             F.when(~F.array_contains(given, F.coalesce(x["name"], F.lit(""))), F.get(F.filter(tables, lambda d: (d["table"] == x["name"]) & (F.size(d["columns"]) > 0)), F.lit(0))["columns"]).alias("columns")))
-        named = F.filter(found, lambda x: x["role"] == "named")
+        named_ = F.filter(found, lambda x: x["role"] == "named")
+        columns = F.filter(found, lambda x: x["role"] == "column")
 
-        def lacking(c: Column) -> Column:
-            reach = F.filter(bound, lambda b: F.array_contains(c["path"], b["level"]))
+        def lacking(c: Column, in_reach: Column, named: Column) -> Column:
+            reach = F.filter(in_reach, lambda b: F.array_contains(c["path"], b["level"]))
             own = F.filter(reach, lambda b: b["qualifier"] == c["qualifier"])
             has = lambda b: F.array_contains(b["columns"], c["name"])
             bare = ~F.exists(reach, lambda b: b["columns"].isNull() | has(b)) & ~F.exists(
                 named, lambda x: (x["name"] == c["name"]) & F.array_contains(c["path"], F.element_at(x["path"], -1)))
             return F.when(c["qualifier"].isNull(), bare).otherwise(~F.exists(own, lambda b: b["columns"].isNull() | has(b)))
 
-        columns = F.filter(found, lambda x: x["role"] == "column")
-        return F.array_distinct(F.transform(F.filter(columns, lacking), lambda c: c["name"]))
+        # the tables in reach are bound once per query, not once per column
+        return bound(F.struct(bound_.alias("tables"), named_.alias("named")), lambda b: F.array_distinct(F.transform(
+            F.filter(columns, lambda c: lacking(c, b["tables"], b["named"])), lambda c: c["name"])))
 
-    plain = col(sql).rlike(fixed.QUERY_START) & (F.size(declared(schema)) > 0)
-    # bound as a function's argument, both are computed once
-    both = F.array(F.struct(names(sql).alias("found"), declared(schema).alias("tables")))
-    return F.when(plain, F.get(F.transform(both, look), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    read = bound(declared(schema), lambda tables: F.when(
+        F.size(tables) > 0, bound(names(sql), lambda found: look(found, tables))).otherwise(none))
+    return F.when(col(sql).rlike(fixed.QUERY_START), read).otherwise(none)

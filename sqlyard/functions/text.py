@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,12 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it: also inside functions over arrays, where
+    Spark computes an expression anew at each mention and for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     """Text without blanks at either end (the blanks Python's ``str.strip`` removes)."""
     return F.btrim(col(c), F.lit(fixed.BLANKS))
@@ -103,7 +111,6 @@ def ddl_statements(c: Column | str) -> Column:
     semicolons in it; a CASE inside has an END of its own.
     """
     found = F.filter(F.transform(F.regexp_extract_all(col(c), F.lit(fixed.DDL_STATEMENT_JAVA), F.lit(0)), strip), lambda s: s != "")
-    has_body = F.exists(found, lambda s: s.rlike(fixed.STATEMENT_WITH_BODY))
 
     def words(piece: Column, pattern: str) -> Column:
         bare = F.regexp_replace(_names_only(piece), r'"[^"]*"|`[^`]*`|\[[^\]]*\]', " ")
@@ -118,7 +125,8 @@ def ddl_statements(c: Column | str) -> Column:
             F.when(s["open"] > 0, body).otherwise(F.concat(s["done"], F.array(piece))).alias("done"))
 
     start = F.struct(F.lit(0).alias("open"), F.array().cast("array<string>").alias("done"))
-    return F.when(has_body, F.aggregate(found, start, join, lambda s: s["done"])).otherwise(found)
+    return bound(found, lambda all_: F.when(
+        F.exists(all_, lambda s: s.rlike(fixed.STATEMENT_WITH_BODY)), F.aggregate(all_, start, join, lambda s: s["done"])).otherwise(all_))
 
 
 def loose_match(a: Column | str, b: Column | str) -> Column:
@@ -146,11 +154,13 @@ def read_tables(sql: Column | str) -> Column:
     Takes the lists after FROM and JOIN with their aliases, qualified and quoted names; names that WITH gives and the FROM
     of functions and of IS DISTINCT FROM are none. Behind a subquery in a list, names are not seen.
     """
-    bare = F.regexp_replace(_names_only(sql), fixed.OTHER_FROM, " ")
-    items = F.flatten(F.transform(_found(bare, fixed.TABLE_LIST), lambda found: F.split(found, ",")))
-    first = F.transform(items, lambda item: F.regexp_extract(item, r"^\s*(" + fixed.FULL_NAME + ")", 1))
-    names = F.transform(F.filter(first, lambda name: name != ""), _last_part)
-    return F.array_except(F.array_distinct(names), F.transform(_found(bare, fixed.WITH_NAME), _last_part))
+    def listed(bare: Column) -> Column:
+        items = F.flatten(F.transform(_found(bare, fixed.TABLE_LIST), lambda found: F.split(found, ",")))
+        first = F.transform(items, lambda item: F.regexp_extract(item, r"^\s*(" + fixed.FULL_NAME + ")", 1))
+        names = F.transform(F.filter(first, lambda name: name != ""), _last_part)
+        return F.array_except(F.array_distinct(names), F.transform(_found(bare, fixed.WITH_NAME), _last_part))
+
+    return bound(F.regexp_replace(_names_only(sql), fixed.OTHER_FROM, " "), listed)
 
 
 def declared_tables(schema: Column | str) -> Column:

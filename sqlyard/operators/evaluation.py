@@ -28,7 +28,7 @@ def join_gold(
     """
     gold = examples.select("ex_id", "gold_sql", *extra).withColumn("gold_norm", normalize_sql("gold_sql", keywords))
     return (
-        predictions.join(gold, "ex_id")
+        predictions.join(gold.hint("merge"), "ex_id")  # shuffled: the work on the texts behind it is shared among all tasks
         .withColumn("pred_norm", normalize_sql("predicted_sql", keywords))
     )
 
@@ -46,11 +46,12 @@ def error_type(
     predicted: Column | str, pred_norm: Column | str, gold_norm: Column | str, run_error: Column | str
 ) -> Column:
     """Error class of one prediction, the first that applies. ``run_error`` is null where it ran."""
-    kind = F.when(~is_valid_sql(predicted), "syntax_error").when(col(run_error).isNotNull(), col(run_error))
+    by_clause = F
     for clause, name in fixed.CLAUSE_CLASSES:
         has = [F.contains(col(c), F.lit(clause)) for c in (gold_norm, pred_norm)]
-        kind = kind.when(has[0] & ~has[1], name)
-    return kind.otherwise("logic_error")
+        by_clause = by_clause.when(has[0] & ~has[1], name)
+    # named once, so that Spark computes a costly ``run_error`` here, only where it decides
+    return F.when(~is_valid_sql(predicted), "syntax_error").otherwise(F.coalesce(col(run_error), by_clause.otherwise("logic_error")))
 
 
 def with_run_errors(predictions: DataFrame, status: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sqlyard.functions import names
+from sqlyard.functions import fixed, names
 
 SCHEMA = """CREATE TABLE players (id INT PRIMARY KEY, name TEXT, "full name" TEXT, season INT, team_id INT, born DATE);
     CREATE TABLE teams (team_id INT, city TEXT, rank INT, CHECK (rank > 0)); CREATE TABLE notes AS SELECT 1"""
@@ -64,3 +64,12 @@ def test_declared(eval_column):
 def test_long_text(eval_column):
     sql = "SELECT name FROM players WHERE " + " OR ".join(f"(season = {i} AND name = 'x')" for i in range(400)) + " AND nope = 1"
     assert eval_column([(sql, SCHEMA)], ["q", "s"], names.missing_columns("q", "s")) == [["nope"]]
+
+
+def test_a_query_is_read_once(spark):
+    """Tokens and the schema's statements are computed once per query: inside functions over arrays each mention of an expression is
+    computed anew, for every token or column."""
+    rows = spark.range(1).select(F.col("id").cast("string").alias("sql"))
+    plan = rows.select(names.missing_columns("sql", "sql").alias("missing"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count(fixed.NAME_TOKEN) == 1
+    assert plan.count(fixed.DDL_STATEMENT_JAVA) == 1
