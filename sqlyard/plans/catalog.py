@@ -206,9 +206,10 @@ def error_class_forms(spark, sf):
     forms = derived.query_forms(spark, sf)
     examples = forms.select("ex_id", "schema", "gold_sql")
     joined = evaluation.join_gold(evaluation.clean_predictions(forms.select("ex_id", "model", "raw_text", "error")), examples, "schema")
-    ran = evaluation.classify_errors(joined.withColumn("run_error", result_sets.error_kind("error")))
-    read = evaluation.classify_errors(evaluation.with_schema_errors(joined))
-    return ran.select("ex_id", F.col("error_type").alias("by_run")).join(read.select("ex_id", F.col("error_type").alias("by_schema")), "ex_id")
+    ran = evaluation.classify_errors(joined.withColumn("run_error", result_sets.error_kind("error"))).withColumnRenamed("error_type", "by_run")
+    read = evaluation.classify_errors(evaluation.with_schema_errors(ran)).withColumnRenamed("error_type", "by_schema")
+    both = tables.stored(read.select("ex_id", "by_run", "by_schema"), "forms")  # joined, cleaned and normalised once for both
+    return both.select("ex_id", "by_run").join(both.select("ex_id", "by_schema"), "ex_id")
 
 
 def error_distribution(spark, sf):
