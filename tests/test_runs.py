@@ -1,11 +1,13 @@
 import random
 import time
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from sqlyard.operators import runs
-from sqlyard.streaming.plateau import OUTPUT, keep_state_on_disk, plateau_stream
+from sqlyard.streaming.plateau import OUTPUT, _Walk, keep_state_on_disk, plateau_stream
 
 TRACE = [(200, 0.05831), (400, 0.05948), (600, 0.05878), (800, 0.06115), (1000, 0.06497), (1200, 0.11050)]
 LOG = "run_id string, step long, eval_loss double"
@@ -177,3 +179,62 @@ def test_hot_run_is_shared_among_tasks(spark):
     log = spark.range(20_000).select(F.lit("hot").alias("run_id"), F.col("id").alias("step"), (20_000 - F.col("id")).cast("double").alias("eval_loss"))
     r = runs.plateau(log, piece=512).first()
     assert (r["n_evals"], r["stop_step"], r["best_loss"]) == (20_000, None, 1.0)
+
+
+class _Held(dict):
+    """A state variable in plain Python that counts its calls."""
+
+    calls, value = 0, None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def getValue(self, key):
+        self.calls += 1
+        return self[key]
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self[key]
+
+
+class _Handle:
+    def getValueState(self, name, schema):
+        self.walk = _Held()
+        return self.walk
+
+    def getMapState(self, name, key, value):
+        self.waiting = _Held()
+        return self.waiting
+
+
+def test_stream_calls_its_state_by_evaluations_not_by_steps():
+    """Each call is a round trip: a short run over far steps makes a few, and a long run's buckets stay small."""
+    def frame(steps, losses):
+        return pd.DataFrame({"step": steps, "eval_loss": losses})
+
+    def walked(steps, parts, bucket):
+        handle, walk = _Handle(), _Walk(10**6, 0.0, None, None, bucket)
+        walk.init(handle)
+        for part in np.array_split(steps, parts):
+            assert not list(walk.handleInputRows(("r",), iter([frame(part, np.sin(part))]), None))
+        held, calls = dict(handle.waiting), handle.walk.calls + handle.waiting.calls
+        out = pd.concat(walk.handleInputRows(("r",), iter([frame([None], [None])]), None))
+        assert out["step"].tolist() == sorted(steps.tolist())
+        assert out["best_loss"].tolist() == np.minimum.accumulate(np.sin(np.sort(steps))).tolist()
+        assert not handle.waiting
+        return held, calls
+
+    mixed = np.random.default_rng(7).permutation(np.concatenate([np.arange(500), np.full(40, 77), -np.arange(1, 200) * 1000]))
+    held, calls = walked(np.arange(70, 0, -1) * 5000, 1, 4096)
+    assert len(held) == 1 and calls <= 3
+    held, _ = walked(mixed, 9, 16)
+    assert len(held) > 20 and max(len(v[0]) // 8 for v in held.values()) <= 40 + 2 * 16
