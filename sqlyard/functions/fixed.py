@@ -81,6 +81,8 @@ BLANK = (
     r"[\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
+# Found in every text whose blanks are not all single spaces, and in some others; much faster to look for than BLANK.
+MAY_COLLAPSE = r"  |[\t\n\x0B\f\r\x1C\x1D\x1E\x1F]|[^\x00-\x7F]"
 WORD = r"[\p{L}\p{N}_]"
 
 OPENING_FENCE = "^```" + WORD + "*" + BLANK + "*"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -78,19 +79,20 @@ def normalize_sql(c: Column | str, keywords: list[str] | None = None) -> Column:
     words = [w.upper() for w in (keywords or fixed.KEYWORDS)]
     words += [w + "(" for w in fixed.KEYWORDS_BEFORE_BRACKET]
 
-    def plain(token: Column) -> Column:
-        is_comment = F.lit(False)
-        for mark in fixed.COMMENT_STARTS:
-            is_comment = is_comment | F.startswith(token, F.lit(mark))
-        return (
-            F.when(F.upper(token).isin(words), F.lower(token))
-            .when(is_comment, F.lit(" "))
-            .otherwise(token)
-        )
-
-    tokens = F.regexp_extract_all(strip(drop_end_marks(c)), F.lit(fixed.SQL_TOKEN), F.lit(0))
-    joined = F.array_join(F.transform(tokens, plain), "")
-    return strip(F.regexp_replace(joined, fixed.BLANK + "+", " "))
+    def plain(token: Column, comments: bool) -> Column:
+        found = F.when(token == " ", token).when(F.upper(token).isin(words), F.lower(token))
+        if comments:
+            found = found.when(reduce(Column.__or__, [F.startswith(token, F.lit(m)) for m in fixed.COMMENT_STARTS]), F.lit(" "))
+        return found.otherwise(token)
+
+    def normal(text: Column) -> Column:
+        found = F.regexp_extract_all(text, F.lit(fixed.SQL_TOKEN), F.lit(0))
+        # most texts hold no mark of a comment, so their tokens are not asked for one
+        marked = reduce(Column.__or__, [F.contains(text, F.lit(m)) for m in fixed.COMMENT_STARTS])
+        joined = F.array_join(F.when(marked, F.transform(found, lambda t: plain(t, True))).otherwise(F.transform(found, lambda t: plain(t, False))), "")
+        return bound(joined, lambda j: strip(F.when(j.rlike(fixed.MAY_COLLAPSE), F.regexp_replace(j, fixed.BLANK + "+", " ")).otherwise(j)))
+
+    return bound(strip(drop_end_marks(c)), normal)
 
 
 def tokens(normalized: Column | str) -> Column:

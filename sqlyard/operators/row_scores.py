@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sqlyard.functions.text import col, tokens
+from sqlyard.functions.text import bound, col, tokens
 
 MAX_ORDER = 4
 _NO_MATCH = 0.1  # stands for zero matches of an order (smoothing method 1)
@@ -22,9 +22,13 @@ def code_runs(codes: Column | str, n: int) -> Column:
     """A number for every run of ``n`` neighbouring words, from their numbers."""
     if n == 1:
         return col(codes)
-    count = F.greatest(F.size(codes) - (n - 1), F.lit(0))
-    shifts = [F.slice(codes, k + 1, count).alias(f"w{k}") for k in range(n)]
-    return F.transform(F.arrays_zip(*shifts), lambda r: F.shiftleft(F.xxhash64(*[r[f"w{k}"] for k in range(n)]), 1))
+    return bound(col(codes), lambda all_: F.transform(
+        F.slice(all_, 1, F.greatest(F.size(all_) - (n - 1), F.lit(0))),
+        lambda c, i: F.shiftleft(F.xxhash64(c, *[F.get(all_, i + k) for k in range(1, n)]), 1)))
+
+
+def unrepeated(codes: Column | str) -> Column:
+    return F.size(F.array_distinct(col(codes))) == F.size(codes)
 
 
 def clipped_matches(pred_runs: Column | str, gold_runs: Column | str) -> Column:
@@ -35,8 +39,7 @@ def clipped_matches(pred_runs: Column | str, gold_runs: Column | str) -> Column:
     shuffled, no text is too long, and no value is larger than a long.
     """
     pred, gold = col(pred_runs), col(gold_runs)
-    unrepeated = (F.size(F.array_distinct(gold)) == F.size(gold)) | (F.size(F.array_distinct(pred)) == F.size(pred))
-    return F.when(unrepeated, F.size(F.array_intersect(pred, gold))).otherwise(_walk_matches(pred, gold))
+    return F.when(unrepeated(gold) | unrepeated(pred), F.size(F.array_intersect(pred, gold))).otherwise(_walk_matches(pred, gold))
 
 
 def _walk_matches(pred: Column, gold: Column) -> Column:
@@ -64,13 +67,15 @@ def with_bleu(rows: DataFrame, pred_norm: str, gold_norm: str, name: str = "bleu
     Words become numbers once, and runs of words numbers of theirs, so that all that is compared and sorted is longs; two different
     words or runs share one with a chance of 2**-63. Each step is its own projection, so Spark computes words, runs and matches
     once. Equal texts
-    match in full. A longer run can only match where a shorter one does, so an order is looked at
-    only if the one before it hit.
+    match in full and get no numbers. A longer run can only match where a shorter one does, so an order is looked at
+    only if the one before it hit; and where a side repeats no word, it repeats no run.
     """
     kept = rows.columns
-    work = rows.withColumns({"_p1": word_codes(tokens(pred_norm)), "_g1": word_codes(tokens(gold_norm))})
-    work = work.withColumns({"_p": F.size("_p1"), "_g": F.size("_g1")})
     same, none = col(pred_norm) == col(gold_norm), F.array().cast("array<long>")
+    work = rows.withColumns({"_p0": tokens(pred_norm), "_g0": tokens(gold_norm)})
+    work = work.withColumns({
+        "_p": F.size("_p0"), "_g": F.size("_g0"), **{f"_{s}1": F.when(same, none).otherwise(word_codes(f"_{s}0")) for s in "pg"}}).drop("_p0", "_g0")
+    work = work.withColumn("_plain", ~same & (unrepeated("_g1") | unrepeated("_p1")))
     for n in range(1, MAX_ORDER + 1):
         open_ = ~same if n == 1 else ~same & (F.col(f"_hits{n - 1}") > 0)
         if n > 1:
@@ -78,7 +83,8 @@ def with_bleu(rows: DataFrame, pred_norm: str, gold_norm: str, name: str = "bleu
                 f"_{side}{n}": F.when(open_, code_runs(f"_{side}1", n)).otherwise(none) for side in "pg"
             })
         full = F.greatest(F.col("_p") - (n - 1), F.lit(0))
-        hits = F.when(same, full).when(open_, clipped_matches(f"_p{n}", f"_g{n}")).otherwise(F.lit(0))
+        found = F.when(F.col("_plain"), F.size(F.array_intersect(f"_p{n}", f"_g{n}"))).otherwise(clipped_matches(f"_p{n}", f"_g{n}"))
+        hits = F.when(same, full).when(open_, found).otherwise(F.lit(0))
         work = work.withColumn(f"_hits{n}", hits)
         if n > 1:
             work = work.drop(f"_p{n}", f"_g{n}")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sqlyard.operators import evaluation, reports, result_sets
-from sqlyard.operators.row_scores import clipped_matches, with_bleu, word_codes
+from sqlyard.operators.row_scores import clipped_matches, code_runs, with_bleu, word_codes
 from sqlyard.schemas import SUMMARY_STATE
 
 
@@ -255,3 +255,16 @@ def test_prediction_samples(scored):
     rows = {(r["ex_id"], r["model"]): r for r in reports.prediction_samples(long).collect()}
     assert len(rows[1, "a"]["prediction"]) == 220 and rows[1, "a"]["verdict"] == "exact" and rows[2, "a"]["verdict"] == "same result"
     assert (rows[4, "a"]["verdict"], rows[4, "a"]["error_type"], rows[1, "a"]["error_type"]) == ("wrong", "logic_error", "")
+
+
+def test_texts_are_read_once_per_row(spark):
+    """Runs of words bind the words' numbers; gold text stands for an equal prediction; the work behind the join is shuffled."""
+    rows = spark.range(1).select(F.col("id").cast("string").alias("text"))
+    runs_ = rows.select(code_runs(word_codes(F.split("text", "!")), 3).alias("r"))
+    assert runs_._jdf.queryExecution().analyzed().toString().count("split(") == 1
+    predictions = spark.createDataFrame([(1, "m", "SELECT  A\u00a0FROM t"), (2, "m", "select a"), (3, "m", None)], "ex_id long, model string, predicted_sql string")
+    examples = spark.createDataFrame([(1, "SELECT  A\u00a0FROM t"), (2, "SELECT a"), (3, "SELECT a")], "ex_id long, gold_sql string")
+    joined = evaluation.join_gold(predictions, examples)
+    assert "SortMergeJoin" in joined._jdf.queryExecution().sparkPlan().toString()
+    assert {r["ex_id"]: (r["pred_norm"], r["gold_norm"]) for r in joined.collect()} == {
+        1: ("select A from t",) * 2, 2: ("select a",) * 2, 3: (None, "select a")}
