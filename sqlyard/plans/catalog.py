@@ -340,7 +340,7 @@ def plateau_stream_rows(spark, sf):
 def exact_match_stream(spark, sf):
     """Clean-up, normalising and exact match on a stream: the same column functions, no state."""
     schema = derived.table(spark, sf, "documents").schema
-    docs = spark.readStream.schema(schema).parquet(_as_source(sf, "documents"))
+    docs = spark.readStream.schema(schema).parquet(_as_source(sf, "documents")).select("doc_id", "text").repartition("doc_id")  # few files feed few tasks
     matched = docs.select(
         "doc_id", (normalize_sql(clean_prediction("text")) == normalize_sql("text")).alias("exact_match")
     )
