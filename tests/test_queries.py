@@ -51,3 +51,15 @@ def part_files(spark, sf, tmp_path_factory):
 @pytest.mark.parametrize("name", ["plateau_stream", "exact_match_stream", "plateau", "exec_pairs", "eval_summary", "bleu_text", "first_examples"])
 def test_part_files(spark, con, part_files, name):
     assert compare(spark, con, part_files, catalog.QUERIES[name], duck_sql.QUERIES[name]) == []
+
+
+def test_document_stream_is_shared_among_tasks(spark, tmp_path):
+    """Documents in one file are cleaned by several tasks, each of which writes its own rows."""
+    rows = spark.createDataFrame([(i, "SELECT 1;") for i in range(50)], "doc_id long, text string").coalesce(1)
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # it would join so few rows
+    try:
+        found = catalog.exact_match_stream(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found.count() == 50 and len(found.inputFiles()) > 1
