@@ -5,7 +5,7 @@ from __future__ import annotations
 import string
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -72,8 +72,29 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(_windows(values, self.window).max() + self.bias, -500, 500))))
 
 
+def _numbered(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, dict[str, int]]:
+    """Word numbers of all texts in a row, four bytes each, how many each text has, and the words in the order of their numbers."""
+    number: dict[str, int] = {}
+    tokens, lengths = array("i"), array("q")
+    for text in texts:
+        found = words(text)
+        tokens.extend([number.setdefault(w, len(number)) for w in found])
+        lengths.append(len(found))
+    return np.array(tokens, np.int32), np.array(lengths, np.int64), number
+
+
+def _spans(sizes: np.ndarray, most: int = 1 << 18) -> list[tuple[int, int]]:
+    """Consecutive items in spans whose sizes add up to ``most`` at most, or one alone."""
+    stops, out, start = np.cumsum(sizes), [], 0
+    while start < len(sizes):
+        stop = int(np.searchsorted(stops, most + (stops[start - 1] if start else 0), "right"))
+        out.append((start, max(stop, start + 1)))
+        start = out[-1][1]
+    return out
+
+
 def train(
-    texts: list[str | None], labels: list[int], buckets: int = 1 << 17, dim: int = 8, window: int = 8, rounds: int = 80, pace: float = 0.2,
+    texts: Iterable[str | None], labels: Sequence[int], buckets: int = 1 << 17, dim: int = 8, window: int = 8, rounds: int = 80, pace: float = 0.2,
     floor: float = 0.003, scale: float = 8.0, decay: float = 0.015, seed: int = 1,
 ) -> Model:
     """Full-batch descent with momentum on embeddings and softmax together.
@@ -82,15 +103,15 @@ def train(
     a clean text by one window drawn at random as well. Classes weigh alike whatever their numbers. Steps are scaled per
     parameter by its own slopes, but by no less than ``floor`` of the largest, so n-grams that many texts share move
     and those of one text hardly do. Repeatable for the same rows in the same order.
+
+    Texts are read once, before the labels, and held as one number a word; sums over words and n-grams go span by span, in the
+    same order as in one piece.
     """
     rng = np.random.default_rng(seed)
     embedding = rng.normal(0, 0.01, (buckets, dim))
     weights, bias = rng.normal(0, scale, (dim, 2)), np.zeros(2)
+    tokens, lengths, number = _numbered(texts)
     y = np.array(labels, np.float64)
-    split = [words(t) for t in texts]
-    number: dict[str, int] = {}
-    rows = [np.array([number.setdefault(w, len(number)) for w in ws], np.int64) for ws in split]
-    del split
     if not number or y.min(initial=1) == y.max(initial=0):
         bias[:] = (0, 50) if len(y) and y.min() == 1 else (0, -50)
         return Model(embedding * 0, weights, bias, window)
@@ -98,33 +119,44 @@ def train(
     for w in number:
         bags.extend(grams(w, buckets))
         ends.append(len(bags))
+    del number
     flat, stops = np.frombuffer(bags, np.int32), np.frombuffer(ends, np.int64)
     sizes = np.diff(stops, prepend=0)
-    begins = stops - sizes
-    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    begins, by_word = stops - sizes, _spans(sizes)
     worth = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+    firsts = np.cumsum(lengths) - lengths
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (embedding, weights, bias)]
     for step in range(rounds):
         apart = weights[:, 1] - weights[:, 0]
         # the average of embeddings meets the softmax as the average of their products with it
-        odds = np.add.reduceat((embedding @ apart)[flat], begins) / sizes
-        places, target, weight = [], [], []
-        for i, row in enumerate(rows):
-            if 3 * step < rounds or len(row) <= window:
-                picks = [row]
-            else:
-                means = _windows(odds[row], window)
-                at = {int(means.argmax())} if y[i] else {int(means.argmax()), int(rng.integers(len(means)))}
-                picks = [row[a: a + window] for a in sorted(at)]
-            places += picks
-            target += [y[i]] * len(picks)
-            weight += [worth[i]] * len(picks)
-        share, target, weight = np.array([len(p) for p in places]), np.array(target), np.array(weight)
-        place, bag = np.concatenate(places), np.repeat(np.arange(len(share)), share)
-        logit = np.bincount(bag, odds[place], len(share)) / np.maximum(share, 1) + bias[1] - bias[0]
-        error = (1 / (1 + np.exp(-np.clip(logit, -500, 500))) - target) * weight
-        per_word = np.bincount(place, (error / np.maximum(share, 1))[bag], len(sizes)) / sizes
-        per_bucket = np.bincount(flat, per_word[owner], buckets)
+        value, odds = embedding @ apart, np.empty(len(sizes))
+        for a, b in by_word:
+            odds[a:b] = np.add.reduceat(value[flat[begins[a]: stops[b - 1]]], begins[a:b] - begins[a]) / sizes[a:b]
+        begin, share, of = firsts, lengths, np.arange(len(lengths))
+        if 3 * step >= rounds:
+            at, picks, text = array("q"), array("q"), array("q")
+            for i, (first, length) in enumerate(zip(firsts.tolist(), lengths.tolist())):
+                starts = [0]
+                if length > window:
+                    means = _windows(odds[tokens[first: first + length]], window)
+                    starts = sorted({int(means.argmax())} if y[i] else {int(means.argmax()), int(rng.integers(len(means)))})
+                for start in starts:
+                    at.append(first + start)
+                    picks.append(min(length, window))
+                    text.append(i)
+            begin, share, of = np.array(at), np.array(picks), np.array(text)
+        target, weight = y[of], worth[of]
+        error, per_word = np.empty(len(share)), np.zeros(len(sizes))
+        for a, b in _spans(share):
+            n = share[a:b]
+            bag = np.repeat(np.arange(b - a), n)
+            place = tokens[np.arange(len(bag)) + np.repeat(begin[a:b] - (np.cumsum(n) - n), n)]
+            logit = np.bincount(bag, odds[place], b - a) / np.maximum(n, 1) + bias[1] - bias[0]
+            error[a:b] = (1 / (1 + np.exp(-np.clip(logit, -500, 500))) - target[a:b]) * weight[a:b]
+            np.add.at(per_word, place, (error[a:b] / np.maximum(n, 1))[bag])
+        per_word, per_bucket = per_word / sizes, np.zeros(buckets)
+        for a, b in by_word:
+            np.add.at(per_bucket, flat[begins[a]: stops[b - 1]], np.repeat(per_word[a:b], sizes[a:b]))
         toward = embedding.T @ per_bucket
         slopes = (np.outer(per_bucket, apart), np.stack([-toward, toward], 1), np.array([-error.sum(), error.sum()]))
         for p, slope, (mean, square) in zip((embedding, weights, bias), slopes, moments):
@@ -152,15 +184,20 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 12_000, **settings)
     rows = id_and_text(docs).join(chosen, "doc_id").select("doc_id", "text", "toxic")
 
     def learn(batches):
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held).sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        model = train(table.column("text").to_pylist(), table.column("toxic").to_pylist(), **settings)
-        parts, bias, width = model.parts()
-        yield pa.RecordBatch.from_arrays([pa.array([parts.tobytes()]), pa.array([bias]), pa.array([width])], ["parts", "bias", "width"])
-
-    found = rows.repartition(1).mapInArrow(learn, "parts binary, bias double, width long").collect()
+        toxic: list[int] = []
+
+        def texts():
+            for batch in batches:
+                toxic.extend(batch.column("toxic").to_pylist())
+                yield from batch.column("text").to_pylist()
+
+        model = train(texts(), toxic, **settings)
+        if toxic:
+            parts, bias, width = model.parts()
+            yield pa.RecordBatch.from_arrays([pa.array([parts.tobytes()]), pa.array([bias]), pa.array([width])], ["parts", "bias", "width"])
+
+    ordered = rows.repartition(1).sortWithinPartitions("doc_id", F.asc_nulls_last("text"))
+    found = ordered.mapInArrow(learn, "parts binary, bias double, width long").collect()
     if not found:
         return train([], [], **settings).parts()
     return np.frombuffer(found[0]["parts"], np.float64), found[0]["bias"], found[0]["width"]
