@@ -36,7 +36,9 @@ def ask(predictor: Predictor, prompts: list[str], budget: int = DEFAULT_BUDGET,
     by one, so an error stays with its prompt."""
     found: list[tuple[str | None, str | None]] = [(None, None)] * len(prompts)
 
-    def batch(places: list[int]) -> None:
+    waiting = batches_by_length([len(p) for p in prompts], budget, most_rows)[::-1]
+    while waiting:  # no function that calls itself: it would keep all texts until a full garbage collection
+        places = waiting.pop()
         try:
             answers = list(predictor([prompts[i] for i in places]))
             wrong = None if len(answers) == len(places) else f"{len(answers)} answers to {len(places)} prompts"
@@ -48,11 +50,7 @@ def ask(predictor: Predictor, prompts: list[str], budget: int = DEFAULT_BUDGET,
         elif len(places) == 1:
             found[places[0]] = (None, wrong)
         else:
-            for i in places:
-                batch([i])
-
-    for places in batches_by_length([len(p) for p in prompts], budget, most_rows):
-        batch(places)
+            waiting += [[i] for i in reversed(places)]
     return found
 
 
