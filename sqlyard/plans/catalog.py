@@ -171,7 +171,8 @@ def result_equality(spark, sf):
 
 def same_rows(spark, sf):
     """Lines of urgent orders, asked in two ways: by semi-join and by join."""
-    orders = derived.table(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    # by hash of the few orders: a sort would hold all lines of a task
+    orders = derived.table(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT").hint("shuffle_hash")
     lines = derived.table(spark, sf, "lineitem")
     wanted = ["l_orderkey", "l_linenumber", "l_quantity"]
     semi = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left_semi").select(*wanted)
