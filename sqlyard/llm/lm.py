@@ -63,22 +63,25 @@ class Network:
             total += table.take(tokens[at + j], axis=0)
         return np.tanh(total, out=total)
 
-    def by_group(self, classes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """``(group, rows, members)`` for the groups that occur."""
+    def by_group(self, classes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]], np.ndarray]:
+        """The order of rows by group, the slice of each group that occurs, and each row's class within its group, in that order."""
         group = classes // self.members
-        order = np.argsort(group, kind="stable")
-        found, begins = np.unique(group[order], return_index=True)
-        for g, rows in zip(found.tolist(), np.split(order, begins[1:])):
-            yield g, rows, classes[rows] - g * self.members
+        order = np.argsort(group.astype(np.int16) if self.groups < 1 << 15 else group, kind="stable")  # small numbers sort in one pass
+        stops = np.cumsum(np.bincount(group, minlength=self.groups)).tolist()
+        spans = [(g, slice(a, b)) for g, (a, b) in enumerate(zip([0, *stops], stops)) if a < b]
+        return order, spans, (classes - group * self.members)[order]
 
-    def log_probabilities(self, tokens: np.ndarray, at: np.ndarray, step: int = 4096) -> np.ndarray:
+    def log_probabilities(self, tokens: np.ndarray, at: np.ndarray, step: int = 16384) -> np.ndarray:
         out = np.empty(len(at), np.float64)
         for i in range(0, len(at), step):
             some = at[i: i + step]
             hidden, classes, total = self.hidden(tokens, some), tokens[some], out[i: i + step]
             total[:] = _log_shares(hidden @ self.to_group + self.group_bias, classes // self.members)
-            for g, rows, member in self.by_group(classes):
-                total[rows] += _log_shares(hidden[rows] @ self.to_member[g] + self.member_bias[g], member)
+            order, spans, member = self.by_group(classes)
+            held, found = hidden[order], np.empty(len(some), np.float32)
+            for g, rows in spans:
+                found[rows] = _log_shares(held[rows] @ self.to_member[g] + self.member_bias[g], member[rows])
+            total[order] += found
         return out
 
     def learn(self, tokens: np.ndarray, at: np.ndarray, squares: list[np.ndarray], rate: float, step: int = 8192) -> None:
@@ -92,13 +95,15 @@ class Network:
             error *= part
             back = error @ self.to_group.T
             slopes = [np.empty_like(self.tables), hidden.T @ error, error.sum(axis=0), np.zeros_like(self.to_member), np.zeros_like(self.member_bias)]
-            for g, rows, member in self.by_group(classes):
-                held = hidden[rows]
-                error = _softmax(held @ self.to_member[g] + self.member_bias[g])
-                error[np.arange(len(rows)), member] -= 1
+            order, spans, member = self.by_group(classes)
+            held, inner = hidden[order], np.empty_like(back)
+            for g, rows in spans:
+                error = _softmax(held[rows] @ self.to_member[g] + self.member_bias[g])
+                error[np.arange(len(error)), member[rows]] -= 1
                 error *= part
-                back[rows] += error @ self.to_member[g].T
-                slopes[3][g], slopes[4][g] = held.T @ error, error.sum(axis=0)
+                inner[rows] = error @ self.to_member[g].T
+                slopes[3][g], slopes[4][g] = held[rows].T @ error, error.sum(axis=0)
+            back[order] += inner
             back *= 1 - hidden * hidden
             columns = np.ascontiguousarray(back.T, np.float64)
             for k, j in enumerate(self.places()):
@@ -188,14 +193,15 @@ def _shared(own, first: int, shared: int):
     return run
 
 
-def _tokens(batch: pa.RecordBatch, row: int, own: tuple[np.ndarray, np.ndarray], first: int, shared: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Classes of all texts of a shard with edges between, the places of real tokens, their codes, and how many each text has."""
+def _tokens(batch: pa.RecordBatch, row: int, own: tuple[np.ndarray, np.ndarray], first: int, shared: int, reach: int) -> tuple[np.ndarray, ...]:
+    """Classes of all texts of a shard with edges between, the places of real tokens, their codes, how many each text has, and the classes of
+    the shard's words."""
     sizes, codes = _array(batch, "sizes", row, np.int64), _array(batch, "codes", row, np.int32)
     of, _ = _classes(_array(batch, "words", row, np.int64), own, first, shared)
     at = np.arange(len(codes)) + reach * (1 + np.repeat(np.arange(len(sizes)), sizes))
     tokens = np.full(len(codes) + reach * (len(sizes) + 1), EDGE, np.int64)
     tokens[at] = of[codes] if len(codes) else 0
-    return tokens, at, codes, sizes
+    return tokens, at, codes, sizes, of
 
 
 def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +216,8 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Shards of a corpus, the classes of its words, ``shares`` (word, class, log-probability in the class), and the network's parameters."""
+    """Shards of a corpus, ``words`` (word, n), ``shares`` (word, class, log-probability in the class) of the words without a class of their
+    own, the sum of their counts per class in ``totals``, and the network's parameters."""
 
     def __init__(self, docs: DataFrame, dim: int, reach: int, rounds: int, rate: float, breadth: float, own_share: float):
         context = docs.sparkSession.sparkContext
@@ -236,7 +243,10 @@ class Model:
 
         rare = words.mapInArrow(rest, "word long, n long, class int")
         totals = rare.groupBy("class").agg(F.sum("n").alias("total"))
-        self.shares = rare.join(totals, "class").select("word", "class", F.log(F.col("n") / F.col("total")).alias("share"))
+        self.words, self.shares = words, rare.join(totals, "class").select("word", "class", F.log(F.col("n") / F.col("total")).alias("share"))
+        self.totals = np.zeros(side * side, np.int64)  # a number per class: some thousands
+        for r in totals.collect():
+            self.totals[r["class"]] = r["total"]
         self.flat = Network(side, side, dim, reach).flat()
         for _ in range(rounds):
             self._learn(rate)
@@ -252,7 +262,7 @@ class Model:
             squares, seen = [np.full_like(p, 1e-6) for p in net.parameters()], 0
             for batch in batches:
                 for row in range(batch.num_rows):
-                    tokens, at, _, _ = _tokens(batch, row, frequent.value, first, shared, reach)
+                    tokens, at, _, _, _ = _tokens(batch, row, frequent.value, first, shared, reach)
                     net.learn(tokens, at, squares, rate)
                     seen += len(at)
             if seen:
@@ -269,17 +279,20 @@ class Model:
         """``(doc_id, n_tokens, total)`` per document: for every token the log-probability of its class, from both sides, and of the word in it."""
         side, dim, reach, first, shared, frequent = self.side, self.dim, self.reach, self.first, self.shared, self.frequent
         start = self.shards.sparkSession.sparkContext.broadcast(self.flat)
+        totals = self.shards.sparkSession.sparkContext.broadcast(self.totals)
         asked = self.shards.select("shard", "words").mapInArrow(_shared(frequent, first, shared), "shard long, code int, word long")
-        known = asked.join(self.shares.select("word", "share").hint("shuffle_hash"), "word").groupBy("shard").agg(F.collect_list(F.struct("code", "share")).alias("shares"))
+        # plain arrays of numbers, both in the order of the rows, take a third of the room of an array of structs
+        known = asked.join(self.words.hint("shuffle_hash"), "word").groupBy("shard").agg(F.collect_list("code").alias("known"), F.collect_list("n").alias("n"))
 
         def run(batches):
             net = Network(side, side, dim, reach).fill(start.value)
             for batch in batches:
                 for row in range(batch.num_rows):
-                    tokens, at, codes, sizes = _tokens(batch, row, frequent.value, first, shared, reach)
-                    share, held = np.zeros(len(_array(batch, "words", row, np.int64))), batch.column("shares")[row]
+                    tokens, at, codes, sizes, classes = _tokens(batch, row, frequent.value, first, shared, reach)
+                    share, held = np.zeros(len(classes)), batch.column("known")[row]
                     if held.is_valid:
-                        share[held.values.field("code").to_numpy()] = held.values.field("share").to_numpy()
+                        rare = held.values.to_numpy()
+                        share[rare] = np.log(batch.column("n")[row].values.to_numpy() / totals.value[classes[rare]])
                     found = net.log_probabilities(tokens, at) + share[codes]
                     total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), found, len(sizes))
                     yield pa.RecordBatch.from_arrays([batch.column("ids")[row].values, pa.array(sizes), pa.array(total)], ["doc_id", "n_tokens", "total"])
